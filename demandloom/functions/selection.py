@@ -79,11 +79,13 @@ def _log_bin() -> Column:
     v = F.col("_v")
     # infinity goes to a bin of its own, above every finite value
     size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1_100.0)) * FINE) + _OFFSET
-    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("long")
+    signed = F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
+    # never null: without the coalesce a join infers a filter that keeps the optimizer
+    # from reusing the shuffle of the counted values
+    return F.coalesce(signed.cast("long"), F.lit(0))
 
 
 def _even_bin() -> Column:
     share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    return F.when(
-        F.col("_hi") > F.col("_lo"), F.least(F.floor(share * FINER), F.lit(FINER - 1))
-    ).otherwise(0)
+    inside = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * FINER), F.lit(FINER - 1)))
+    return F.coalesce(inside, F.lit(0))

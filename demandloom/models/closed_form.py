@@ -7,7 +7,7 @@ JVM and nothing shuffles: a model is one more column on the series row.
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,123 +65,55 @@ def croston(y: Column, steps: int, version: str = "sba", alpha: float = CROSTON_
     return F.array_repeat(rate, steps)
 
 
-# Candidate smoothing parameters of the grid search.
-HW_ALPHAS = (0.1, 0.3, 0.6)
-HW_BETAS = (0.01, 0.1)
-HW_GAMMAS = (0.05, 0.2, 0.4)
-HW_GRID = tuple(itertools.product(HW_ALPHAS, HW_BETAS, HW_GAMMAS))
-
-
-def holt_winters(
-    y: Column,
-    steps: int,
-    period: int = 7,
-    alpha: float | None = None,
-    beta: float | None = None,
-    gamma: float | None = None,
-) -> Column:
-    """Additive trend and season (Winters, 1960).
-
-    The first season gives the level and the seasonal terms, the first two the trend;
-    smoothing runs from the second season on. Parameters left out are taken from a
-    small grid by the squared one-step error, searched inside the row.
-    """
-    given = (alpha, beta, gamma)
-    if any(p is not None for p in given) and any(p is None for p in given):
-        raise ValueError("give all of alpha, beta and gamma, or none for the grid search")
-    grid = [given] if alpha is not None else HW_GRID
-    level = mean(F.slice(y, 1, period))
-    start = F.struct(
-        F.lit(0.0).alias("error"),
-        level.alias("level"),
-        ((mean(F.slice(y, period + 1, period)) - level) / F.lit(float(period))).alias("trend"),
-        F.transform(F.slice(y, 1, period), lambda x: x - level).alias("season"),
-    )
-    later = F.slice(y, period + 1, F.greatest(F.size(y) - period, F.lit(0)))
-
-    def fit(p: Column) -> Column:
-        def step(state: Column, x: Column) -> Column:
-            season = state["season"][0]
-            base = state["level"] + state["trend"]
-            miss = x - base - season
-            level = p["alpha"] * (x - season) + (1.0 - p["alpha"]) * base
-            trend = p["beta"] * (level - state["level"]) + (1.0 - p["beta"]) * state["trend"]
-            renewed = p["gamma"] * (x - level) + (1.0 - p["gamma"]) * season
-            return F.struct(
-                (state["error"] + miss * miss).alias("error"),
-                level.alias("level"),
-                trend.alias("trend"),
-                F.concat(F.slice(state["season"], 2, period - 1), F.array(renewed)).alias("season"),
-            )
-
-        return F.aggregate(later, start, step)
-
-    candidates = F.array(
-        *(
-            F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
-            for a, b, g in grid
-        )
-    )
-    # structs compare by their first field, the squared error
-    best = F.array_min(F.transform(candidates, fit))
-    # a one-element array names the chosen fit, so that it is computed once per row
-    return F.transform(
-        F.array(best),
-        lambda s: F.transform(
-            counting(steps),
-            lambda h: s["level"]
-            + h.cast("double") * s["trend"]
-            + F.element_at(s["season"], F.pmod(h - 1, F.lit(period)) + 1),
-        ),
-    )[0]
-
-
 def trend_seasonal(y: Column, steps: int, period: int = 7) -> Column:
-    """Least-squares line plus the centred mean residual of each day of the week.
+    """Least-squares line plus the centred mean residual of each day of the period.
 
     Additive decomposition in the spirit of Taylor and Letham (2018). Series shorter
     than two periods get the line only.
     """
     n = F.size(y)
-    days = F.sequence(F.lit(1), n)
     sums = F.struct(
         n.cast("double").alias("n"),
         total(y).alias("y"),
-        F.aggregate(
-            F.zip_with(y, days, lambda v, t: v * t), F.lit(0.0), lambda acc, x: acc + x
-        ).alias("ty"),
+        total(F.transform(y, lambda v, i: v * (i + 1))).alias("ty"),
     )
 
     def line(s: Column) -> Column:
         # days are 1..n, so their sum and sum of squares have closed forms
         t = s["n"] * (s["n"] + 1.0) / 2.0
-        tt = s["n"] * (s["n"] + 1.0) * (2.0 * s["n"] + 1.0) / 6.0
+        tt = t * (2.0 * s["n"] + 1.0) / 3.0
         slope = (s["n"] * s["ty"] - t * s["y"]) / (s["n"] * tt - t * t)
         return F.struct(slope.alias("slope"), ((s["y"] - slope * t) / s["n"]).alias("level"))
 
+    def mean_residual(fitted: Column, k: Column) -> Column:
+        """Of days k, k + period, ...: their mean value minus the line at their mean day."""
+        days = F.sequence(k, n, F.lit(period))
+        sold = F.aggregate(days, F.lit(0.0), lambda acc, t: acc + F.element_at(y, t))
+        mid = k + (F.size(days) - 1) * (period / 2.0)
+        return sold / F.size(days) - fitted["level"] - fitted["slope"] * mid
+
     def effects(fitted: Column) -> Column:
-        residual = F.zip_with(y, days, lambda v, t: v - fitted["level"] - fitted["slope"] * t)
-        by_day = F.transform(
-            F.sequence(F.lit(0), F.lit(period - 1)),
-            lambda k: mean(F.filter(residual, lambda _, i: F.pmod(i, F.lit(period)) == k)),
-        )
-        centred = F.transform(
-            F.array(by_day), lambda e: F.transform(e, lambda x: x - mean(e))
-        )[0]
-        return F.when(n >= 2 * period, centred).otherwise(
-            F.array_repeat(F.lit(0.0), period)
+        by_day = F.transform(counting(period), lambda k: mean_residual(fitted, k))
+        centre = F.struct(by_day.alias("effect"), mean(by_day).alias("mean"))
+        return F.when(n >= 2 * period, centre).otherwise(
+            F.struct(F.array_repeat(F.lit(0.0), period).alias("effect"), F.lit(0.0).alias("mean"))
         )
 
     def project(fitted: Column) -> Column:
-        return F.transform(
-            F.array(effects(fitted)),
-            lambda e: F.transform(
+        def path(e: Column) -> Column:
+            return F.transform(
                 counting(steps),
                 lambda h: fitted["level"]
                 + fitted["slope"] * (n + h)
-                + F.element_at(e, F.pmod(n + h - 1, F.lit(period)) + 1),
-            ),
-        )[0]
+                + F.element_at(e["effect"], F.pmod(n + h - 1, F.lit(period)) + 1)
+                - e["mean"],
+            )
+
+        return _let(effects(fitted), path)
+
+    return _let(_let(sums, line), project)
+
 
-    lines = F.transform(F.array(sums), line)
-    return F.transform(lines, project)[0]
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Name a value inside an expression, so that it is computed once per row."""
+    return F.transform(F.array(value), use)[0]

@@ -68,12 +68,15 @@ def training_rows(scaled: DataFrame, cfg: Settings, lags: int) -> DataFrame:
     )
 
 
-def _forecast(known: DataFrame, cfg: Settings, steps: int, label: str, lags: int, regressor) -> DataFrame:
+def _forecast(
+    known: DataFrame, cfg: Settings, steps: int, label: str, lags: int, wanted: Column | None, regressor
+) -> DataFrame:
     """(model, groups, _start, _path): fit on all series, then predict step by step.
 
-    The training rows are written once to the checkpoint folder: the learner passes
-    over them several times, and their order must be the same each time for the fixed
-    seed to give the same trees.
+    The scaled series are written once to the checkpoint folder: the learner passes over
+    them several times, and rows must come back in the same order each time for the
+    fixed seed to give the same trees. Prediction only shifts each series' own lag
+    window, so the steps add no shuffle.
     """
     scaled = durable(_scaled(known, cfg, lags))
     rows = training_rows(scaled, cfg, lags)
@@ -85,7 +88,7 @@ def _forecast(known: DataFrame, cfg: Settings, steps: int, label: str, lags: int
             F.array().cast("array<double>").alias("_path"),
         )
     model = regressor.setFeaturesCol("features").setLabelCol("label").fit(rows)
-    path = scaled.select(
+    path = scaled.filter(F.lit(True) if wanted is None else wanted).select(
         *cfg.groups,
         "_scale",
         F.date_add("first_day", F.size("_z") * cfg.freq_days).alias("_start"),
@@ -119,9 +122,10 @@ def random_forest(
     trees: int = 100,
     depth: int = 6,
     seed: int = 0,
+    wanted: Column | None = None,
 ) -> DataFrame:
     learner = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed)
-    return _forecast(known, cfg, steps, label, lags, learner)
+    return _forecast(known, cfg, steps, label, lags, wanted, learner)
 
 
 def gbt(
@@ -134,6 +138,7 @@ def gbt(
     depth: int = 6,
     step_size: float = 0.3,
     seed: int = 0,
+    wanted: Column | None = None,
 ) -> DataFrame:
     learner = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step_size, seed=seed)
-    return _forecast(known, cfg, steps, label, lags, learner)
+    return _forecast(known, cfg, steps, label, lags, wanted, learner)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import Settings
-from demandloom.models import closed_form, plugin, pooled
+from demandloom.models import closed_form, plugin, pooled, winters
 
 Builder = Callable[..., Column]
 
@@ -27,7 +27,7 @@ CLOSED_FORM: dict[str, ClosedForm] = {
     "mean": ClosedForm(closed_form.mean_forecast, lambda p: 1),
     "moving_average": ClosedForm(closed_form.moving_average, lambda p: p.get("window", 7)),
     "croston": ClosedForm(closed_form.croston, lambda p: 1),
-    "holt_winters": ClosedForm(closed_form.holt_winters, lambda p: 2 * p.get("period", 7)),
+    "holt_winters": ClosedForm(winters.holt_winters, lambda p: 2 * p.get("period", 7)),
     "trend_seasonal": ClosedForm(closed_form.trend_seasonal, lambda p: 3),
 }
 
@@ -116,11 +116,17 @@ def _entries(roster: Mapping[str, Mapping[str, Any]]):
         yield label, model, resolve_params(model, entry.get("params"))
 
 
-def history_of(series: DataFrame, cfg: Settings, horizon: str) -> tuple[DataFrame, int]:
+CHOSEN = "_chosen"
+
+
+def history_of(
+    series: DataFrame, cfg: Settings, horizon: str, champions: DataFrame | None = None
+) -> tuple[DataFrame, int]:
     """Series rows cut to what a horizon may see, and its number of steps.
 
     ``test`` sees the training days and forecasts the test days, ``full`` sees
-    everything and forecasts the days from execution on.
+    everything and forecasts the days from execution on. With champions, each series
+    carries the one model that is to forecast it.
     """
     if horizon == "test":
         seen, steps = F.slice("y", 1, F.col("n_train")), cfg.test_size
@@ -128,8 +134,16 @@ def history_of(series: DataFrame, cfg: Settings, horizon: str) -> tuple[DataFram
         seen, steps = F.col("y"), cfg.steps
     else:
         raise ValueError(f"unknown horizon {horizon!r}: use 'test' or 'full'")
-    known = series.select(*cfg.groups, "first_day", seen.alias("y")).filter(F.size("y") > 0)
-    return known, steps
+    columns = [*cfg.groups, "first_day", seen.alias("y")]
+    if champions is not None:
+        chosen = champions.select(*cfg.groups, F.col("model").alias(CHOSEN))
+        series = series.join(chosen, cfg.groups, "left")
+        columns.append(CHOSEN)
+    return series.select(*columns).filter(F.size("y") > 0), steps
+
+
+def _is_for(known: DataFrame, label: str) -> Column:
+    return F.col(CHOSEN) == label if CHOSEN in known.columns else F.lit(True)
 
 
 def model_eligibility(
@@ -157,20 +171,19 @@ def _min_points(model: str, params: Mapping[str, Any]) -> int:
 
 
 def closed_form_forecasts(
-    series: DataFrame, cfg: Settings, roster: Mapping[str, Mapping[str, Any]], horizon: str
+    known: DataFrame, cfg: Settings, steps: int, roster: Mapping[str, Mapping[str, Any]]
 ) -> DataFrame:
     """Every closed-form model of the roster in one pass over the series rows."""
-    known, steps = history_of(series, cfg, horizon)
-    models = []
-    for label, model, params in _entries(roster):
+    paths, models = [], []
+    for i, (label, model, params) in enumerate(_entries(roster)):
         spec = CLOSED_FORM[model]
-        enough = F.size("y") >= spec.min_points(params)
-        forecast = F.when(enough, spec.build(F.col("y"), steps, **params))
-        models.append(F.struct(F.lit(label).alias("model"), forecast.alias("_path")))
-    stacked = known.select(
-        *cfg.groups,
-        F.date_add("first_day", F.size("y") * cfg.freq_days).alias("_start"),
-        F.inline(F.array(*models)),
+        runs = (F.size("y") >= spec.min_points(params)) & _is_for(known, label)
+        history = F.when(runs, F.col("y"))
+        paths.append(F.when(runs, spec.build(history, steps, **params)).alias(f"_path_{i}"))
+        models.append(F.struct(F.lit(label).alias("model"), F.col(f"_path_{i}").alias("_path")))
+    start = F.date_add("first_day", F.size("y") * cfg.freq_days).alias("_start")
+    stacked = known.select(*cfg.groups, start, *paths).select(
+        *cfg.groups, "_start", F.inline(F.array(*models))
     )
     return unroll(stacked, cfg)
 
@@ -198,22 +211,33 @@ def forecast_series(
 
 
 def forecast_with_errors(
-    series: DataFrame, cfg: Settings, roster: Mapping[str, Mapping[str, Any]], horizon: str
+    series: DataFrame,
+    cfg: Settings,
+    roster: Mapping[str, Mapping[str, Any]],
+    horizon: str,
+    champions: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Forecasts, and the failures of plug-in models (None without plug-ins)."""
+    """Forecasts, and the failures of plug-in models (None without plug-ins).
+
+    With champions a series is forecast by its own champion alone, which gives the rows
+    that choosing from all models' forecasts would. Pooled models still learn from every
+    series.
+    """
     entries = list(_entries(roster))
+    known, steps = history_of(series, cfg, horizon, champions)
     direct = {label: roster[label] for label, model, _ in entries if model in CLOSED_FORM}
     parts, failures = [], []
     if direct:
-        parts.append(closed_form_forecasts(series, cfg, direct, horizon))
+        parts.append(closed_form_forecasts(known, cfg, steps, direct))
     for label, model, params in entries:
-        if model in CLOSED_FORM:
-            continue
-        known, steps = history_of(series, cfg, horizon)
+        wanted = _is_for(known, label)
         if model in POOLED:
-            parts.append(unroll(POOLED[model](known, cfg, steps, label, **params), cfg))
-        else:
-            done, failed = plugin.plugin_forecast(known, cfg, steps, label, model, params)
+            found = POOLED[model](known, cfg, steps, label, wanted=wanted, **params)
+            parts.append(unroll(found, cfg))
+        elif model not in CLOSED_FORM:
+            done, failed = plugin.plugin_forecast(
+                known.filter(wanted), cfg, steps, label, model, params
+            )
             parts.append(done)
             failures.append(failed)
     if not parts:

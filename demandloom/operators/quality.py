@@ -67,14 +67,19 @@ def cap_share(
     )
 
 
-def capped_key_count(located: DataFrame, keys: Sequence[str], cap: float = CAP) -> DataFrame:
-    """How many keys meet the cap at least once."""
-    return (
-        located.filter(lenient_double(F.col("sales")) == F.lit(cap))
-        .select(*keys)
-        .distinct()
-        .agg(F.lit("+".join(keys)).alias("key"), F.count(F.lit(1)).alias("capped_keys"))
+def capped_keys(
+    located: DataFrame, key_sets: Sequence[Sequence[str]], cap: float = CAP
+) -> DataFrame:
+    """How many keys of each kind meet the cap at least once, in one pass."""
+    capped = located.filter(lenient_double(F.col("sales")) == F.lit(cap))
+    wide = capped.agg(
+        *(F.count_distinct(*(F.col(k) for k in keys)).alias(f"_{i}") for i, keys in enumerate(key_sets))
+    )
+    rows = (
+        F.struct(F.lit("+".join(keys)).alias("key"), F.col(f"_{i}").alias("capped_keys"))
+        for i, keys in enumerate(key_sets)
     )
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def unmatched_share(with_city: DataFrame) -> DataFrame:

@@ -21,20 +21,19 @@ def _fill(df: DataFrame, cfg: Settings, stop: Column) -> DataFrame:
     """
     time, target = F.col(cfg.time_column), F.col(cfg.target_column)
     order = Window.partitionBy(*cfg.groups).orderBy(cfg.time_column)
-    following = F.coalesce(F.lead(cfg.time_column).over(order), stop)
+    following = df.select(
+        *cfg.groups, time, target, F.coalesce(F.lead(cfg.time_column).over(order), stop).alias("_next")
+    )
     span = F.when(
-        following > time,
-        F.sequence(time, F.date_sub(following, 1), F.expr(f"interval {cfg.freq_days} day")),
+        F.col("_next") > time,
+        F.sequence(time, F.date_sub("_next", 1), F.expr(f"interval {cfg.freq_days} day")),
     ).otherwise(F.array(time))
     known = F.coalesce(target, F.lit(0.0))
-    return (
-        df.select(*cfg.groups, time, target, span.alias("_span"))
-        .withColumn("_day", F.explode("_span"))
-        .select(
-            *cfg.groups,
-            F.col("_day").alias(cfg.time_column),
-            F.when(F.col("_day") == time, known).otherwise(0.0).alias(cfg.target_column),
-        )
+    # a span is never empty; the outer form only spares the optimizer's filter on its size
+    return following.withColumn("_day", F.explode_outer(span)).select(
+        *cfg.groups,
+        F.col("_day").alias(cfg.time_column),
+        F.when(F.col("_day") == time, known).otherwise(0.0).alias(cfg.target_column),
     )
 
 

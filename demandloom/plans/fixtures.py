@@ -95,10 +95,10 @@ def orders_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("product_id"))
     homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    sold_in = orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "city")
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(homes, F.col("o_custkey") == F.col("c_custkey"))
+        lines.join(sold_in, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("city", "product_id", "date")
         .agg(F.sum("l_quantity").alias("sales"))
     )

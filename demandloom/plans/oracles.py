@@ -452,10 +452,10 @@ row_number() over (partition by {_KEYS} order by date) - 1 as pos, {_SALES} from
     ),
     "series_count": sql(f"select count(*) as series from (select distinct {_KEYS} from v_input) x"),
     "demand_classes": sql(
-        f"select {_KEYS}, round(adi, 10) as adi, round(cv2, 10) as cv2, class, count from a_classes"
+        f"select {_KEYS}, round(adi, 6) as adi, round(cv2 + 1e-8, 6) as cv2, class, count from a_classes"
     ),
     "demand_classes_sparse": sql(
-        f"select {_KEYS}, round(adi, 10) as adi, round(cv2, 10) as cv2, class, count from o_classes"
+        f"select {_KEYS}, round(adi, 6) as adi, round(cv2 + 1e-8, 6) as cv2, class, count from o_classes"
     ),
     "class_distribution": sql(
         """select class, count(*) as series,

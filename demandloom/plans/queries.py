@@ -156,12 +156,8 @@ def cap_share_series(spark, d):
 
 @query
 def capped_keys(spark, d):
-    located = _located(spark, d)
-    counts = [
-        quality.capped_key_count(located, keys)
-        for keys in (["zipcode"], ["product_id"], ["city", "product_id"])
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    key_sets = (["zipcode"], ["product_id"], ["city", "product_id"])
+    return quality.capped_keys(_located(spark, d), key_sets)
 
 
 @query
@@ -239,18 +235,22 @@ def series_count(spark, d):
     return series.series_count(fx.demand(spark, d), CFG)
 
 
+def _classes(df):
+    # the variation of a few whole numbers often has a short decimal that ends in a 5;
+    # the same small shift on both sides keeps rounding away from such ties
+    shifted = df.withColumn("cv2", F.col("cv2") + F.lit(1e-8))
+    return rounded(shifted, "adi", "cv2")
+
+
 @query
 def demand_classes(spark, d):
-    # interval and variation of a few whole numbers have short decimals that end in a 5,
-    # so a tie at the last digit kept is only avoided by keeping many
-    return rounded(classify.demand_classes(_filled(spark, d), CFG), "adi", "cv2", digits=10)
+    return _classes(classify.demand_classes(_filled(spark, d), CFG))
 
 
 @query
 def demand_classes_sparse(spark, d):
     window = series.history_window(fx.orders_demand(spark, d), fx.ORDERS)
-    classes = classify.demand_classes(series.gap_fill(window, fx.ORDERS), fx.ORDERS)
-    return rounded(classes, "adi", "cv2", digits=10)
+    return _classes(classify.demand_classes(series.gap_fill(window, fx.ORDERS), fx.ORDERS))
 
 
 @query

@@ -178,5 +178,4 @@ def champions_of(arrays: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame
         test_rows(arrays, cfg), on_test, cfg, [cfg.selection_metric]
     )
     champions = evaluate.best_models(metrics, cfg)
-    ahead = forecast_with_errors(arrays, cfg, cfg.models, "full")[0]
-    return champions, evaluate.champion_forecast(ahead, champions, cfg)
+    return champions, forecast_with_errors(arrays, cfg, cfg.models, "full", champions)[0]
