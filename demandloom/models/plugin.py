@@ -29,13 +29,18 @@ def registered() -> list[str]:
     return list(_MODELS)
 
 
-def last_value(pdf: pd.DataFrame, steps: int, time_column="date", target_column="sales") -> pd.DataFrame:
-    """The last value carried forward: the worked example of a plug-in."""
-    last = pdf.iloc[-1]
-    days = pd.date_range(pd.Timestamp(last[time_column]) + pd.Timedelta(days=1), periods=steps)
-    return pd.DataFrame({time_column: days.date, target_column: float(last[target_column])})
+def _last_value():
+    # built in here, it travels to the executors by value
+    def last_value(pdf: pd.DataFrame, steps: int, time_column="date", target_column="sales") -> pd.DataFrame:
+        """The last value carried forward: the worked example of a plug-in."""
+        last = pdf.iloc[-1]
+        days = pd.date_range(pd.Timestamp(last[time_column]) + pd.Timedelta(days=1), periods=steps)
+        return pd.DataFrame({time_column: days.date, target_column: float(last[target_column])})
 
+    return last_value
 
+
+last_value = _last_value()
 register_model("last_value", last_value)
 
 

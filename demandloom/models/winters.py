@@ -41,51 +41,55 @@ def holt_winters(
         raise ValueError("give all of alpha, beta and gamma, or none for the grid search")
     grid = GRID if alpha is None else (given,)
 
-    @F.pandas_udf("array<double>")
+    return F.pandas_udf(_forecaster(steps, period, grid), "array<double>")(y)
+
+
+def _forecaster(steps: int, period: int, grid):
+    """The batch function. Built in here, it travels to the executors by value, so they
+    need no copy of this package."""
+
+    def paths_of(rows, lengths: np.ndarray) -> np.ndarray:
+        """One row of ``steps`` forecasts per series of the batch."""
+        longest = int(lengths.max())
+        filled = np.arange(longest) < lengths[:, None]
+        y = np.zeros(filled.shape)
+        y[filled] = np.concatenate(rows)
+
+        alpha, beta, gamma = np.array(grid, dtype=float).T
+        shape = (len(lengths), len(grid))
+        first, second = (y[:, k : k + period].sum(axis=1) / period for k in (0, period))
+        level = np.broadcast_to(first[:, None], shape)
+        trend = np.broadcast_to(((second - first) / period)[:, None], shape)
+        season = np.repeat((y[:, :period] - first[:, None])[:, None, :], len(grid), axis=1)
+        error = np.zeros(shape)
+        for t in range(period, longest):
+            live = filled[:, t, None]
+            # a series that has ended keeps its state: nothing is missed any more
+            base = np.where(live, level + trend, level)
+            slot = season[:, :, t % period]
+            miss = np.where(live, y[:, t, None] - base - slot, 0.0)
+            level = base + alpha * miss
+            trend = trend + alpha * beta * miss
+            season[:, :, t % period] = slot + gamma * (1.0 - alpha) * miss
+            error = error + miss * miss
+
+        each, best = np.arange(len(lengths)), error.argmin(axis=1)
+        ahead = np.arange(steps)
+        slots = (lengths[:, None] + ahead) % period
+        return (
+            level[each, best][:, None]
+            + trend[each, best][:, None] * (ahead + 1)
+            + season[each[:, None], best[:, None], slots]
+        )
+
     def forecast(batch: pd.Series) -> pd.Series:
         paths = [None] * len(batch)
         lengths = np.array([0 if v is None else len(v) for v in batch])
         usable = lengths >= 2 * period
         if usable.any():
-            chosen = batch.to_numpy()[usable]
-            found = _batch_paths(chosen, lengths[usable], steps, period, grid)
+            found = paths_of(batch.to_numpy()[usable], lengths[usable])
             for i, path in zip(np.flatnonzero(usable), found):
                 paths[i] = path
         return pd.Series(paths, dtype=object)
 
-    return forecast(y)
-
-
-def _batch_paths(rows, lengths: np.ndarray, steps: int, period: int, grid) -> np.ndarray:
-    """One row of ``steps`` forecasts per series of the batch."""
-    longest = int(lengths.max())
-    filled = np.arange(longest) < lengths[:, None]
-    y = np.zeros(filled.shape)
-    y[filled] = np.concatenate(rows)
-
-    alpha, beta, gamma = np.array(grid, dtype=float).T
-    shape = (len(lengths), len(grid))
-    first, second = (y[:, k : k + period].sum(axis=1) / period for k in (0, period))
-    level = np.broadcast_to(first[:, None], shape)
-    trend = np.broadcast_to(((second - first) / period)[:, None], shape)
-    season = np.repeat((y[:, :period] - first[:, None])[:, None, :], len(grid), axis=1)
-    error = np.zeros(shape)
-    for t in range(period, longest):
-        live = filled[:, t, None]
-        # a series that has ended keeps its state: nothing is missed any more
-        base = np.where(live, level + trend, level)
-        slot = season[:, :, t % period]
-        miss = np.where(live, y[:, t, None] - base - slot, 0.0)
-        level = base + alpha * miss
-        trend = trend + alpha * beta * miss
-        season[:, :, t % period] = slot + gamma * (1.0 - alpha) * miss
-        error = error + miss * miss
-
-    each, best = np.arange(len(lengths)), error.argmin(axis=1)
-    ahead = np.arange(steps)
-    slots = (lengths[:, None] + ahead) % period
-    return (
-        level[each, best][:, None]
-        + trend[each, best][:, None] * (ahead + 1)
-        + season[each[:, None], best[:, None], slots]
-    )
+    return forecast
