@@ -30,7 +30,7 @@ def moving_average(y: Column, steps: int, window: int = 7) -> Column:
     )
 
 
-# Smoothing constant of both averages, and the SBA correction factor that follows.
+# Fixed value: the smoothing constant of both averages.
 CROSTON_ALPHA = 0.1
 
 

@@ -33,7 +33,8 @@ CLOSED_FORM: dict[str, ClosedForm] = {
 
 POOLED = {"random_forest": pooled.random_forest, "gbt": pooled.gbt}
 
-# Model class names of configuration files, and the model that answers to each.
+# Model class names of configuration files, and the model that answers
+# to each.
 CLASS_NAMES: dict[str, str] = {
     "NaiveMean": "mean",
     "NaiveMovingAverage": "moving_average",
@@ -44,7 +45,7 @@ CLASS_NAMES: dict[str, str] = {
     "XGBModel": "gbt",
 }
 
-# Parameter names of configuration files, and ours.
+# Parameter names of configuration files, and ours.
 PARAMETER_NAMES: dict[str, str] = {
     "input_chunk_length": "window",
     "seasonal_periods": "period",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandloom.config import Settings
 
+# The published thresholds; both compare with a strict "greater than".
 ADI_THRESHOLD = 1.32
 CV2_THRESHOLD = 0.49
 

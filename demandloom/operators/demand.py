@@ -23,10 +23,12 @@ def _lookup(geo: DataFrame | RangeLookup) -> RangeLookup:
     return geo if isinstance(geo, RangeLookup) else measure_ranges(geo)
 
 
-def zip_to_city(sales: DataFrame, geo: DataFrame | RangeLookup) -> DataFrame:
+def zip_to_city(
+    sales: DataFrame, geo: DataFrame | RangeLookup, unique_by: list[str] | None = None
+) -> DataFrame:
     """Sales inside a range of their country; one row per range that matches."""
     located = sales.filter(F.col("zipcode").isNotNull())
-    return match_ranges(located, _lookup(geo), "inner")
+    return match_ranges(located, _lookup(geo), "inner", unique_by)
 
 
 def first_city(sales: DataFrame, geo: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def daily_demand(sales: DataFrame, geo: DataFrame | RangeLookup) -> DataFrame:
             F.sum("sales").alias("sales")
         )
     return (
-        zip_to_city(clean, lookup)
+        zip_to_city(clean, lookup, unique_by=["product_id", "date"])
         .groupBy("city", "product_id", "date")
         .agg(F.sum("sales").alias("sales"))
     )

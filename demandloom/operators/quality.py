@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from demandloom.functions.casts import lenient_double
 
-# The value at which the feed truncates sales.
+# Fixed value: the number at which the feed truncates sales.
 CAP = 9999.0
 
 

@@ -6,8 +6,9 @@ ranges are cut into blocks of ``2**shift`` codes and joined on (key, block).
 
 The ranges are measured first. Small ones are broadcast and the points never move.
 Larger ones are matched against the *distinct* points only, and the resulting
-point -> value map is joined back with the points salted, so that a hot code is
-spread over many tasks.
+point -> value map is joined back. Codes that hold more than a thousandth of the
+points are found by counting and split in proportion, so that no code, however hot,
+is one task's work; there are at most a thousand of them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,12 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+# a code with more than 1/PIECES of the points is split into pieces of that size
+PIECES = 1_000
+# a block holds at most 2**BLOCK_BITS codes, unless a range would touch more than
+# 2**SPAN_BITS blocks
+BLOCK_BITS = 20
+SPAN_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -46,7 +52,7 @@ class RangeLookup:
     shift: int
     broadcast_rows: int
     broadcast_bytes: int
-    salts: int
+    pieces: int
 
     @property
     def broadcasts(self) -> bool:
@@ -58,7 +64,7 @@ def measure_ranges(
     columns: RangeColumns = ZIP_RANGES,
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    pieces: int = PIECES,
 ) -> RangeLookup:
     """Measure the range table with one distributed aggregate.
 
@@ -86,19 +92,25 @@ def measure_ranges(
         shift=max(0, math.ceil(math.log2(max(1.0, size["width"])))),
         broadcast_rows=broadcast_rows,
         broadcast_bytes=broadcast_bytes,
-        salts=salts,
+        pieces=pieces,
     )
 
 
-def match_ranges(points: DataFrame, lookup: RangeLookup, how: str = "inner") -> DataFrame:
+def match_ranges(
+    points: DataFrame,
+    lookup: RangeLookup,
+    how: str = "inner",
+    unique_by: list[str] | None = None,
+) -> DataFrame:
     """Points with the matching range's value.
 
     ``inner`` drops points outside every range and repeats a point that lies in
-    several; ``left`` keeps unmatched points with a null value.
+    several; ``left`` keeps unmatched points with a null value. ``unique_by`` names
+    columns that tell apart the points of one code; without it, copies are expected.
     """
     if lookup.broadcasts:
         return _match_by_broadcast(points, lookup, how)
-    return _match_by_map(points, lookup, how)
+    return _match_by_map(points, lookup, how, unique_by)
 
 
 def first_match_ranges(ranges: DataFrame, columns: RangeColumns = ZIP_RANGES) -> DataFrame:
@@ -136,61 +148,85 @@ def _match_by_broadcast(points: DataFrame, lookup: RangeLookup, how: str) -> Dat
     return matched.select(*_columns("p", points.columns), F.col(f"r.{c.value}"))
 
 
-def _match_by_map(points: DataFrame, lookup: RangeLookup, how: str) -> DataFrame:
+def _match_by_map(
+    points: DataFrame, lookup: RangeLookup, how: str, unique_by: list[str] | None
+) -> DataFrame:
+    """Join with the point map, with hot codes split.
+
+    A point's place among the pieces of its code depends on its content alone, so that a
+    task run again after a lost executor sends every row where it went before. Copies
+    would all get the same place; they are counted instead, and the counts split.
+    """
     c = lookup.columns
-    codes = point_map(points, lookup).withColumn("_salt", _every_salt(lookup.salts))
-    left = points.withColumn("_salt", _row_salt(lookup.salts)).alias("p")
-    right = codes.alias("r")
-    on = _equal([*c.keys, c.point, "_salt"])
-    return left.join(right, on, how).select(
-        *_columns("p", points.columns), F.col(f"r.{c.value}")
+    code, columns = [*c.keys, c.point], points.columns
+    if unique_by is None:
+        packed, content = points.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")), columns
+    else:
+        packed, content = points.withColumn("_copies", F.lit(1).cast("bigint")), unique_by
+
+    counts = (
+        packed.filter(F.col(c.point).isNotNull()).groupBy(*code).agg(F.sum("_copies").alias("_n"))
+    )
+    total = packed.agg(F.coalesce(F.sum("_copies"), F.lit(1))).scalar()
+    piece = F.ceil(total / F.lit(float(lookup.pieces)))
+    # fewer than ``pieces`` codes can hold more than that share each
+    hot = F.broadcast(
+        counts.filter(F.col("_n") > piece).select(*code, F.ceil(F.col("_n") / piece).alias("_pieces"))
+    )
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    right = (
+        point_map(counts.select(*code), lookup)
+        .join(hot, code, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
+    )
+    parts = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / piece) - 1)
+    # a missing code matches nothing and may go anywhere
+    places = F.when(F.col(c.point).isNull(), F.lit(lookup.pieces)).otherwise(pieces)
+    left = (
+        packed.withColumn("_piece", piece)
+        .withColumn("_part", F.explode(parts))
+        .withColumn("_copies", F.least("_piece", F.col("_copies") - F.col("_part") * F.col("_piece")))
+        .join(hot, code, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*content, "_part"), places))
     )
+    matched = left.alias("p").join(right.alias("r"), _equal([*code, "_salt"]), how)
+    found = matched.select(*_columns("p", [*columns, "_copies"]), F.col(f"r.{c.value}"))
+    if unique_by is not None:
+        return found.drop("_copies")
+    one_each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    return found.withColumn("_copy", one_each).select(*columns, c.value)
 
 
-def point_map(points: DataFrame, lookup: RangeLookup) -> DataFrame:
+def point_map(codes: DataFrame, lookup: RangeLookup) -> DataFrame:
     """Distinct (keys, point) with the value of each range around it.
 
-    Ranges are grouped by width class: a range of class ``k`` is at most ``2**k`` wide
-    and touches at most two blocks of that size, so neither a few very wide ranges nor
-    a dense area of narrow ones makes a block expensive. A code probes one block per
-    class that occurs, at most 64.
+    Ranges are cut into blocks by their own width: a range of at most ``2**20`` codes
+    touches two blocks at most, so neither a few very wide ranges nor a dense area of
+    narrow ones makes a block expensive. A code probes one block per block size that
+    occurs, at most 64.
     """
     c = lookup.columns
-    # bits needed for (width - 1), so 2**class is at least the width
-    width_bits = F.when(
-        F.col(c.end) - F.col(c.start) > 1, F.length(F.bin(F.col(c.end) - F.col(c.start) - 1))
-    ).otherwise(0)
-    classed = lookup.ranges.withColumn("_class", width_bits)
-    edges = F.array(_block(c.start, "_class"), _block(f"{c.end} - 1", "_class"))
-    blocks = classed.withColumn("_block", F.explode(F.array_distinct(edges))).withColumn(
-        "_salt", _every_salt(lookup.salts)
+    code = [*c.keys, c.point]
+    # bits of (width - 1): two to that power is at least the width
+    width = F.col(c.end) - F.col(c.start)
+    bits = F.when(width > 1, F.length(F.bin(width - 1))).otherwise(0)
+    sized = lookup.ranges.withColumn(
+        "_shift", F.greatest(F.least(bits, F.lit(BLOCK_BITS)), bits - SPAN_BITS)
     )
-    classes = classed.agg(F.collect_set("_class")).scalar()
-    codes = (
-        points.select(*c.keys, c.point)
-        .filter(F.col(c.point).isNotNull())
-        .distinct()
-        .withColumn("_class", F.explode(classes))
-        .withColumn("_block", _block(c.point, "_class"))
-        .withColumn("_salt", F.pmod(F.xxhash64(c.point), F.lit(lookup.salts)).cast("int"))
+    touched = F.sequence(_block(c.start, "_shift"), _block(f"{c.end} - 1", "_shift"))
+    blocks = sized.withColumn("_block", F.explode(touched))
+    sizes = sized.agg(F.collect_set("_shift")).scalar()
+    probes = codes.withColumn("_shift", F.explode(sizes)).withColumn(
+        "_block", _block(c.point, "_shift")
     )
-    on = _condition(c, [*c.keys, "_class", "_block", "_salt"])
+    on = _condition(c, [*c.keys, "_shift", "_block"])
     return (
-        codes.alias("p")
+        probes.alias("p")
         .join(blocks.alias("r"), on, "inner")
-        .select(*_columns("p", [*c.keys, c.point]), F.col(f"r.{c.value}"))
+        .select(*_columns("p", code), F.col(f"r.{c.value}"))
     )
 
 
-def _row_salt(salts: int) -> Column:
-    # by position, so that identical rows are spread too; every salt has the whole map
-    return (F.monotonically_increasing_id() % salts).cast("int")
-
-
-def _every_salt(salts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-
-
 def _columns(side: str, names) -> list[Column]:
     return [F.col(f"{side}.`{name}`") for name in names]
 

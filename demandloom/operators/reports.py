@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandloom.config import Settings
 
+# Labels of the report rows that are not a model's own.
 CHAMPION = "Champion"
 ACTUAL = "Sales"
 

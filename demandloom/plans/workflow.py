@@ -27,6 +27,7 @@ from demandloom.sources.tables import (
     write_table,
 )
 
+# Names of the two input files.
 SALES_FILE = "product_sales.csv"
 GEO_FILE = "geo.csv"
 

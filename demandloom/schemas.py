@@ -1,4 +1,7 @@
-"""Table layouts, shared by the sources, the stages and the tests."""
+"""Table layouts, shared by the sources, the stages and the tests.
+
+Names, types, order and nullability are fixed values: downstream queries use them.
+"""
 
 from pyspark.sql import types as T
 

@@ -25,7 +25,7 @@ def sales_of(spark, rows):
 
 def lookups(geo):
     """The broadcast way, and the way taken when the ranges are too large for it."""
-    return [measure_ranges(geo), measure_ranges(geo, broadcast_rows=0, salts=3)]
+    return [measure_ranges(geo), measure_ranges(geo, broadcast_rows=0, pieces=5)]
 
 
 def test_daily_demand(spark):
@@ -123,5 +123,20 @@ def test_large_ranges_are_not_broadcast(spark):
     assert not measure_ranges(geo, broadcast_bytes=10).broadcasts
     plan = demand.daily_demand(sales, small)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [country" in plan and "NestedLoop" not in plan
-    plan = demand.daily_demand(sales, large)._jdf.queryExecution().optimizedPlan().toString()
-    assert "hint" not in plan.lower() and "_salt" in plan
+    plan = demand.daily_demand(sales, large)._jdf.queryExecution().executedPlan().toString()
+    # only the hot codes, fewer than the pieces asked for, are broadcast
+    assert "s_zipcode" in plan and "BroadcastHashJoin [country" in plan
+    for line in plan.splitlines():
+        assert not ("BroadcastHashJoin" in line and "_shift" in line)
+
+
+def test_copies_of_a_hot_code_are_spread_and_kept(spark):
+    geo = geo_of(spark, [("B", 0, 10, "X"), ("B", 5, 20, "Y")])
+    rows = [("B", P1, day("2024-08-01"), 7, "1")] * 500 + [("B", P1, day("2024-08-01"), None, "1")] * 300
+    rows += [("B", P1, day("2024-08-01"), 60, "2")] * 3
+    sales = sales_of(spark, rows)
+    lookup = measure_ranges(geo, broadcast_rows=0, pieces=10)
+    assert sorted(
+        (r["zipcode"] or 0, r["city"] or "", r["count"])
+        for r in match_ranges(sales, lookup, "left").groupBy("zipcode", "city").count().collect()
+    ) == [(0, "", 300), (7, "X", 500), (7, "Y", 500), (60, "", 3)]
