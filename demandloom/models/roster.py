@@ -121,13 +121,18 @@ CHOSEN = "_chosen"
 
 
 def history_of(
-    series: DataFrame, cfg: Settings, horizon: str, champions: DataFrame | None = None
+    series: DataFrame,
+    cfg: Settings,
+    horizon: str,
+    champions: DataFrame | None = None,
+    keep_all: bool = False,
 ) -> tuple[DataFrame, int]:
     """Series rows cut to what a horizon may see, and its number of steps.
 
     ``test`` sees the training days and forecasts the test days, ``full`` sees
     everything and forecasts the days from execution on. With champions, each series
-    carries the one model that is to forecast it.
+    carries the one model that is to forecast it, and series without one are left out
+    unless all are to be kept to learn from. ``_actual`` holds the days not seen.
     """
     if horizon == "test":
         seen, steps = F.slice("y", 1, F.col("n_train")), cfg.test_size
@@ -135,10 +140,12 @@ def history_of(
         seen, steps = F.col("y"), cfg.steps
     else:
         raise ValueError(f"unknown horizon {horizon!r}: use 'test' or 'full'")
-    columns = [*cfg.groups, "first_day", seen.alias("y")]
+    unseen = F.slice("y", F.size(seen) + 1, F.size("y"))
+    columns = [*cfg.groups, "first_day", seen.alias("y"), unseen.alias("_actual")]
     if champions is not None:
         chosen = champions.select(*cfg.groups, F.col("model").alias(CHOSEN))
-        series = series.join(chosen, cfg.groups, "left")
+        # inner, so that both sides drop null keys alike and can share one shuffle
+        series = series.join(chosen, cfg.groups, "left" if keep_all else "inner")
         columns.append(CHOSEN)
     return series.select(*columns).filter(F.size("y") > 0), steps
 
@@ -171,10 +178,11 @@ def _min_points(model: str, params: Mapping[str, Any]) -> int:
     return 1
 
 
-def closed_form_forecasts(
+def closed_form_paths(
     known: DataFrame, cfg: Settings, steps: int, roster: Mapping[str, Mapping[str, Any]]
 ) -> DataFrame:
-    """Every closed-form model of the roster in one pass over the series rows."""
+    """Every closed-form model of the roster in one pass over the series rows:
+    (model, *groups, _actual, _start, _path)."""
     paths, models = [], []
     for i, (label, model, params) in enumerate(_entries(roster)):
         spec = CLOSED_FORM[model]
@@ -183,10 +191,28 @@ def closed_form_forecasts(
         paths.append(F.when(runs, spec.build(history, steps, **params)).alias(f"_path_{i}"))
         models.append(F.struct(F.lit(label).alias("model"), F.col(f"_path_{i}").alias("_path")))
     start = F.date_add("first_day", F.size("y") * cfg.freq_days).alias("_start")
-    stacked = known.select(*cfg.groups, start, *paths).select(
-        *cfg.groups, "_start", F.inline(F.array(*models))
+    return known.select(*cfg.groups, "_actual", start, *paths).select(
+        *cfg.groups, "_actual", "_start", F.inline(F.array(*models))
+    )
+
+
+def closed_form_pairs(
+    series: DataFrame, cfg: Settings, roster: Mapping[str, Mapping[str, Any]]
+) -> DataFrame | None:
+    """Test days with their forecasts, (model, *groups, target, prediction), paired inside
+    the series row without a join; None if the roster has other models as well."""
+    if any(model not in CLOSED_FORM for _, model, _ in _entries(roster)):
+        return None
+    known, steps = history_of(series, cfg, "test")
+    target = cfg.target_column
+    paired = F.zip_with(
+        "_actual", "_path", lambda y, p: F.struct(y.alias(target), p.alias("prediction"))
+    )
+    pairs = closed_form_paths(known, cfg, steps, roster).select(
+        "model", *cfg.groups, F.inline(paired)
     )
-    return unroll(stacked, cfg)
+    prediction = F.col("prediction")
+    return pairs.filter(F.col(target).isNotNull() & prediction.isNotNull() & ~F.isnan(prediction))
 
 
 def unroll(paths: DataFrame, cfg: Settings) -> DataFrame:
@@ -225,11 +251,12 @@ def forecast_with_errors(
     series.
     """
     entries = list(_entries(roster))
-    known, steps = history_of(series, cfg, horizon, champions)
+    learns = any(model in POOLED for _, model, _ in entries)
+    known, steps = history_of(series, cfg, horizon, champions, keep_all=learns)
     direct = {label: roster[label] for label, model, _ in entries if model in CLOSED_FORM}
     parts, failures = [], []
     if direct:
-        parts.append(closed_form_forecasts(known, cfg, steps, direct))
+        parts.append(unroll(closed_form_paths(known, cfg, steps, direct), cfg))
     for label, model, params in entries:
         wanted = _is_for(known, label)
         if model in POOLED:

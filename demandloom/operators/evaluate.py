@@ -58,8 +58,17 @@ def forecast_metrics(
     Metrics are names, functions of two columns, or ``PandasMetric`` around a function
     of two pandas Series. ``mase`` needs the training rows.
     """
+    return score(paired_with_actuals(test, forecasts, cfg), cfg, metrics, train)
+
+
+def score(
+    pairs: DataFrame,
+    cfg: Settings,
+    metrics: Sequence[str | Callable] | None = None,
+    train: DataFrame | None = None,
+) -> DataFrame:
+    """Metrics of (model, *groups, target, prediction) rows."""
     metrics = check_metrics(metrics if metrics is not None else cfg.metrics)
-    pairs = paired_with_actuals(test, forecasts, cfg)
     keys = ["model", *cfg.groups]
     y, p = F.col(cfg.target_column), F.col("prediction")
 

@@ -71,9 +71,7 @@ def _scored(spark, d, metrics=None):
 def _cold(spark, d):
     """Demand, champions' forecasts and rolling sums with two cities never forecast."""
     daily = durable(fx.cold_start_demand(spark, d))
-    arrays = durable(series.series_arrays(series.prepare_series(daily, CFG), CFG))
-    cfg = replace(CFG, models=ROSTER)
-    forecast = durable(workflow.champions_of(arrays, cfg)[1])
+    forecast = workflow.champions_from(daily, CFG, ROSTER)
     return daily, publish.weekly_forecast(forecast, CFG)
 
 
@@ -347,12 +345,12 @@ def forecast_metrics(spark, d):
 @query
 def extended_metrics(spark, d):
     arrays = durable(_arrays(spark, d))
-    seen = F.slice("y", 1, F.col("n_train"))
-    train = arrays.select("city", "product_id", F.posexplode(seen).alias("_i", "sales")).select(
-        "city", "product_id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("_i")).alias("date"), "sales"
-    )
     scored = evaluate.forecast_metrics(
-        workflow.test_rows(arrays, CFG), _on_test(arrays), CFG, EXTENDED, train=train
+        workflow.test_rows(arrays, CFG),
+        _on_test(arrays),
+        CFG,
+        EXTENDED,
+        train=workflow.train_rows(arrays, CFG),
     )
     # squares of sums are large: keep fewer digits of them
     digits = F.when(F.col("metric") == "mse", F.round("value", 2)).otherwise(F.round("value", 6))

@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
-from dataclasses import asdict, replace
+from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import schemas
 from demandloom.config import Settings
 from demandloom.durable import durable
-from demandloom.models.roster import FULL_ROSTER, check_models, forecast_with_errors
+from demandloom.models.roster import (
+    FULL_ROSTER,
+    check_models,
+    closed_form_pairs,
+    forecast_with_errors,
+)
 from demandloom.operators import demand, evaluate, publish, series
 from demandloom.sources.files import read_csv_cast
 from demandloom.sources.tables import (
@@ -148,35 +153,46 @@ def run_workflow(spark: SparkSession, cfg: Settings) -> DataFrame:
 def published_demand(
     daily: DataFrame, cfg: Settings, roster: dict | None = None
 ) -> DataFrame:
-    """From daily demand to published demand without tables.
+    """From daily demand to published demand without tables."""
+    daily = durable(daily)
+    return publish.publish_demand(daily, champions_from(daily, cfg, roster), cfg)
+
+
+def champions_from(daily: DataFrame, cfg: Settings, roster: dict | None = None) -> DataFrame:
+    """Champions' forecasts from daily demand, written to the checkpoint folder.
 
-    Series arrays, test forecasts and metrics hang together by series, so what is shared
-    by several branches is written once to the checkpoint folder: the arrays, one row per
-    series, and the champions' forecasts.
+    With closed-form models alone the metrics follow from the series rows where they are,
+    and choosing and forecasting share their shuffle. Other models need forecasts of
+    several kinds brought together, so the arrays are written once for all of them.
     """
-    cfg = replace(cfg, models=roster or cfg.models or FULL_ROSTER)
-    daily = durable(daily)
-    arrays = durable(series.series_arrays(series.prepare_series(daily, cfg), cfg))
-    forecasts = durable(champions_of(arrays, cfg)[1])
-    return publish.publish_demand(daily, forecasts, cfg)
+    roster = roster or cfg.models or FULL_ROSTER
+    arrays = series.series_arrays(series.prepare_series(daily, cfg), cfg)
+    pairs = closed_form_pairs(arrays, cfg, roster)
+    if pairs is None:
+        arrays = durable(arrays)
+        on_test = forecast_with_errors(arrays, cfg, roster, "test")[0]
+        pairs = evaluate.paired_with_actuals(test_rows(arrays, cfg), on_test, cfg)
+    train = train_rows(arrays, cfg)
+    metrics = evaluate.score(pairs, cfg, [cfg.selection_metric], train)
+    champions = evaluate.best_models(metrics, cfg)
+    return durable(forecast_with_errors(arrays, cfg, roster, "full", champions)[0])
+
+
+def train_rows(arrays: DataFrame, cfg: Settings) -> DataFrame:
+    """Training days of the series arrays in long form."""
+    seen = F.slice("y", 1, F.col("n_train"))
+    return _days(arrays, cfg, F.col("first_day"), seen)
 
 
 def test_rows(arrays: DataFrame, cfg: Settings) -> DataFrame:
     """Test days of the series arrays in long form."""
-    held_out = F.slice("y", F.col("n_train") + 1, F.size("y") - F.col("n_train"))
-    start = F.date_add("first_day", F.col("n_train") * cfg.freq_days)
-    days = arrays.select(*cfg.groups, start.alias("_start"), F.posexplode(held_out).alias("_i", "_v"))
+    held_out = F.slice("y", F.col("n_train") + 1, F.size("y"))
+    return _days(arrays, cfg, F.date_add("first_day", F.col("n_train") * cfg.freq_days), held_out)
+
+
+def _days(arrays: DataFrame, cfg: Settings, start: Column, values: Column) -> DataFrame:
+    days = arrays.select(*cfg.groups, start.alias("_start"), F.posexplode(values).alias("_i", "_v"))
     when = F.date_add("_start", F.col("_i") * cfg.freq_days)
     return days.select(
         *cfg.groups, when.alias(cfg.time_column), F.col("_v").alias(cfg.target_column)
     )
-
-
-def champions_of(arrays: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:
-    """Champion models of the series arrays, and the champions' forecasts."""
-    on_test = forecast_with_errors(arrays, cfg, cfg.models, "test")[0]
-    metrics = evaluate.forecast_metrics(
-        test_rows(arrays, cfg), on_test, cfg, [cfg.selection_metric]
-    )
-    champions = evaluate.best_models(metrics, cfg)
-    return champions, forecast_with_errors(arrays, cfg, cfg.models, "full", champions)[0]
