@@ -1,7 +1,6 @@
 """User models: any function ``(pdf, steps, **params) -> pdf`` run per series.
 
-The only place where series leave the JVM. The function gets one series as a pandas
-frame (groups, time, target), whose length is bounded by the history window, and
+The function gets one series as a pandas frame (time, target, groups), whose length is bounded by the history window, and
 returns ``steps`` rows with the time and target columns.
 """
 
@@ -31,11 +30,13 @@ def registered() -> list[str]:
 
 def _last_value():
     # built in here, it travels to the executors by value
-    def last_value(pdf: pd.DataFrame, steps: int, time_column="date", target_column="sales") -> pd.DataFrame:
+    def last_value(pdf: pd.DataFrame, steps: int) -> pd.DataFrame:
         """The last value carried forward: the worked example of a plug-in."""
-        last = pdf.iloc[-1]
-        days = pd.date_range(pd.Timestamp(last[time_column]) + pd.Timedelta(days=1), periods=steps)
-        return pd.DataFrame({time_column: days.date, target_column: float(last[target_column])})
+        time, target = pdf.columns[:2]
+        days = pd.to_datetime(pdf[time])
+        period = days.iloc[-1] - days.iloc[-2] if len(days) > 1 else pd.Timedelta(days=1)
+        ahead = [(days.iloc[-1] + k * period).date() for k in range(1, steps + 1)]
+        return pd.DataFrame({time: ahead, target: float(pdf[target].iloc[-1])})
 
     return last_value
 

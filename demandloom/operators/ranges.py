@@ -113,23 +113,39 @@ def match_ranges(
     return _match_by_map(points, lookup, how, unique_by)
 
 
-def first_match_ranges(ranges: DataFrame, columns: RangeColumns = ZIP_RANGES) -> DataFrame:
+def first_match_ranges(
+    ranges: DataFrame, columns: RangeColumns = ZIP_RANGES, chunk_bits: int = 16
+) -> DataFrame:
     """Ranges clipped so that they no longer overlap and the first one wins.
 
     In order of start, every earlier range that reaches past this start covers it
     from there up to the furthest earlier end, so what is left of a range begins at
-    that end. The work is on the range table; the points need no de-duplication.
+    that end. The work is on the range table; the points need no de-duplication. The
+    running maximum is taken over chunks of ``2**chunk_bits`` codes first, then inside
+    each chunk, so that a key with most of the ranges is not one task's work.
     """
     c = columns
+    chunk = [*c.keys, "_chunk"]
+    usable = ranges.filter(F.col(c.end) > F.col(c.start)).withColumn(
+        "_chunk", _block(c.start, chunk_bits)
+    )
+    before = Window.partitionBy(*c.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    reached = (
+        usable.groupBy(*chunk)
+        .agg(F.max(c.end).alias("_end"))
+        .select(*chunk, F.max("_end").over(before).alias("_reached"))
+    )
     earlier = (
-        Window.partitionBy(*c.keys)
+        Window.partitionBy(*chunk)
         .orderBy(c.start, c.value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    usable = ranges.filter(F.col(c.end) > F.col(c.start))
-    reached = F.max(c.end).over(earlier)
-    return usable.withColumn(c.start, F.greatest(F.col(c.start), reached)).filter(
-        F.col(c.end) > F.col(c.start)
+    covered = F.greatest(F.col(c.start), F.col("_reached"), F.max(c.end).over(earlier))
+    return (
+        usable.join(reached, chunk)
+        .withColumn(c.start, covered)
+        .filter(F.col(c.end) > F.col(c.start))
+        .select(*ranges.columns)
     )
 
 

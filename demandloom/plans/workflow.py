@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 from dataclasses import asdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,11 +97,13 @@ def build_forecasts(
         _write(spark, cfg, forecasts, table)
         if errors is not None:
             failures.append(errors)
-    if failures:
-        every = failures[0]
-        for more in failures[1:]:
-            every = every.unionByName(more)
-        _write(spark, cfg, every.distinct(), "model_errors")
+    # errors of models that did not run stay; the table is rewritten, so they are read out
+    if labels is None:
+        kept = spark.createDataFrame([], schemas.MODEL_ERRORS)
+    else:
+        past = _read(spark, cfg, "model_errors")
+        kept = durable(past.filter(~F.col("model").isin(list(roster))))
+    _write(spark, cfg, reduce(DataFrame.unionByName, failures, kept).distinct(), "model_errors")
     _log(spark, cfg, f"model[{','.join(roster)}]")
 
 

@@ -111,7 +111,8 @@ def test_range_match_against_brute_force(spark, seed):
     for lookup in lookups(geo):
         found = demand.zip_to_city(sales, lookup)
         assert values(found, "country", "zipcode", "city") == sorted(every, key=key)
-    for lookup in lookups(first_match_ranges(geo)):
+    chunked = lookups(first_match_ranges(geo, chunk_bits=5))
+    for lookup in lookups(first_match_ranges(geo)) + chunked:
         found = match_ranges(sales, lookup, "left")
         assert values(found, "country", "zipcode", "city") == sorted(first, key=key)
 

@@ -10,7 +10,7 @@ from demandloom.durable import checkpoint_dir, durable
 from demandloom.models import plugin, roster
 from demandloom.operators import series
 from demandloom.plans import workflow
-from demandloom.sources.tables import read_table
+from demandloom.sources.tables import read_table, write_table
 
 SMALL = {
     **roster.DEFAULT_ROSTER,
@@ -84,8 +84,12 @@ def test_workflow_end_to_end(spark, cfg):
 def test_one_model_replaces_only_its_partition(spark, cfg):
     workflow.run_workflow(spark, replace(cfg, models=roster.DEFAULT_ROSTER))
     before = values(read_table(spark, cfg.database, "all_models_forecast").filter("model != 'NaiveMean'"))
+    errors = [("Picky", "B1", P1, "old"), ("NaiveMean", "B1", P1, "old")]
+    old = spark.createDataFrame(errors, schemas.MODEL_ERRORS)
+    write_table(spark, old, schemas.MODEL_ERRORS, cfg.database, "model_errors")
     changed = {**roster.DEFAULT_ROSTER, "NaiveMean": {"model": "croston", "params": {}}}
     workflow.build_forecasts(spark, replace(cfg, models=changed), labels=["NaiveMean"])
+    assert values(read_table(spark, cfg.database, "model_errors"), "model") == [("Picky",)]
     table = read_table(spark, cfg.database, "all_models_forecast")
     assert values(table.filter("model != 'NaiveMean'")) == before
     columns = ("product_id", "date", "sales")
