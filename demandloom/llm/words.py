@@ -36,10 +36,10 @@ def slices(texts: pa.Array, most: int):
 def word_lists(texts: pa.Array, lower: bool = True):
     """Distinct words, the number of each word in the text's order, and where each text's
     words begin. A-Z are lower-cased; words are runs without space and \\t\\n\\v\\f\\r."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    # taken into an array of its own: string kernels misread a slice of a larger one
+    texts = pc.fill_null(texts, "").take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-    flat = split.values.slice(split.offsets[0].as_py(), len(split.values))
-    offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+    flat, offsets = split.values, split.offsets.to_numpy()
     coded = flat.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     names = coded.dictionary.to_pylist()
