@@ -10,7 +10,7 @@ PPJoin+, 2008). The order here is rare first. The steps:
    the others return with the level of their frequency. A class whose prefix holds only
    n-grams of its own ends here, which most do.
 3. Classes that share a prefix n-gram are candidates. They pass a length, a positional
-   and a suffix filter, once per pair, and then the intersection of the sets decides.
+   and a suffix filter, and then the intersection of the sets decides, once per pair.
 
 Candidates are not all pairs: within an n-gram's group each class first meets the
 smallest one (hot groups are split, and their parts' smallest meet). Groups that this
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -155,10 +155,20 @@ def _shared(requests: DataFrame, groups: int) -> DataFrame:
     )
 
 
+def _seen_before(grams: np.ndarray) -> list[list[int]]:
+    """For each n-gram, the n-grams before it as marks in 2 * 64 bits."""
+    at = ((grams >> np.uint64(49)) & np.uint64(127)).astype(np.int64)
+    marks = np.zeros((len(grams), 2), np.uint64)
+    marks[np.arange(len(grams)), at >> 6] = np.uint64(1) << (at & 63).astype(np.uint64)
+    upto = np.bitwise_or.accumulate(marks, axis=0)
+    before = np.concatenate((np.zeros((1, 2), np.uint64), upto[:-1]))
+    return before.view(np.int64).tolist()
+
+
 def _prefixes(shared: DataFrame, units: int) -> DataFrame:
     """Per class with a shared n-gram in its prefix: the set size, the shared n-grams in
-    hash order, those of the prefix in rare-first order with their levels, the place of
-    the first of these in the whole order, and counts by part of the hash space."""
+    hash order and their counts by part of the hash space, those of the prefix in
+    rare-first order with their levels, and marks of the n-grams before each of these."""
 
     def joined(column, kind):
         return np.frombuffer(b"".join(column.to_pylist()), kind)
@@ -175,7 +185,7 @@ def _prefixes(shared: DataFrame, units: int) -> DataFrame:
         grams, levels, owner = grams[once], levels[once], owner[once]
         firsts = np.flatnonzero(np.diff(owner, prepend=owner[0] - 1 if len(owner) else 0))
         size_of = dict(zip(docs.tolist(), sizes.tolist()))
-        out = {k: [] for k in ("doc_id", "n", "shared", "first", "lanes", "grams", "prefix", "levels")}
+        out = {k: [] for k in ("doc_id", "n", "shared", "lanes", "grams", "prefix", "levels", "seen")}
         for a, b in zip(firsts.tolist(), [*firsts[1:].tolist(), len(owner)]):
             n = size_of[int(owner[a])]
             alone = n - (b - a)
@@ -187,49 +197,66 @@ def _prefixes(shared: DataFrame, units: int) -> DataFrame:
             out["doc_id"].append(int(owner[a]))
             out["n"].append(n)
             out["shared"].append(b - a)
-            out["first"].append(alone)
             out["lanes"].append(lanes.tolist())
             out["grams"].append(np.sort(grams[a:b]).tobytes())
             out["prefix"].append(grams[head].view(np.int64))
             out["levels"].append(levels[head].astype(np.int16))
+            out["seen"].append(_seen_before(grams[head]))
         return pa.table(
             out,
             schema=pa.schema(
                 [
                     ("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()),
-                    ("first", pa.int64()), ("lanes", pa.list_(pa.int32())), ("grams", pa.binary()),
+                    ("lanes", pa.list_(pa.int32())), ("grams", pa.binary()),
                     ("prefix", pa.list_(pa.int64())), ("levels", pa.list_(pa.int16())),
+                    ("seen", pa.list_(pa.list_(pa.int64()))),
                 ]
             ),
         )
 
     return shared.groupBy("part").applyInArrow(
         run,
-        "doc_id long, n long, shared long, first long, lanes array<int>, grams binary, "
-        "prefix array<long>, levels array<short>",
+        "doc_id long, n long, shared long, lanes array<int>, grams binary, "
+        "prefix array<long>, levels array<short>, seen array<array<long>>",
+    )
+
+
+def _once(pairs: DataFrame, units: int) -> DataFrame:
+    """Pairs of (x, y) once each, with the overlap they need."""
+    x, y = F.col("x.meta"), F.col("y.meta")
+    return (
+        pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        .agg(F.first(x.n).alias("n_a"), F.first(y.n).alias("n_b"), F.first(_need(x, y, units)).alias("need"))
     )
 
 
-def _passing(pairs: DataFrame, units: int) -> DataFrame:
-    """Pairs once each, after the length, positional and suffix filters.
+def _need(x: Column, y: Column, units: int) -> Column:
+    """The overlap that two sets of these sizes need."""
+    return F.ceil((x.n + y.n) * units / F.lit(MAX_UNITS + units))
 
-    ``pairs`` has (x, y) structs of one shared prefix n-gram. At the first they share,
-    the overlap is at most one more than what follows in the shorter rest. Parts of the
-    hash space whose counts differ hold n-grams that the other text has not.
+
+def _may_link(units: int) -> Column:
+    """Length, positional and suffix filter of x and y, which share a prefix n-gram.
+
+    Their sizes must be near. The overlap is at most what they share before the n-gram,
+    itself, and the shorter rest behind it; each mark of x that y lacks is an n-gram of x
+    before the shared one that is not in y's prefix there. Parts of the hash space whose
+    counts differ hold n-grams that the other text has not.
     """
-    once = pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(
-        F.first("x.meta").alias("x"), F.first("y.meta").alias("y"),
-        F.min("x.place").alias("i"), F.min("y.place").alias("j"),
-    )
-    need = F.ceil((F.col("x.n") + F.col("y.n")) * units / F.lit(MAX_UNITS + units)).alias("need")
-    differing = sum(F.abs(F.col("x.lanes")[k] - F.col("y.lanes")[k]) for k in range(LANES))
+    x, y = F.col("x.meta"), F.col("y.meta")
+    need = _need(x, y, units)
+
+    def common_before(p: Column, q: Column) -> Column:
+        alone = sum(F.bit_count(p.seen[k].bitwiseAND(F.bitwise_not(q.seen[k]))) for k in range(2))
+        return p["at"] - alone
+
+    p, q = F.col("x"), F.col("y")
+    behind = F.least(x.shared - p["at"], y.shared - q["at"])
+    differing = sum(F.abs(x.lanes[k] - y.lanes[k]) for k in range(LANES))
     return (
-        once.withColumn("need", need)
-        .where(F.least("x.n", "y.n") * MAX_UNITS >= F.greatest("x.n", "y.n") * units)
-        .where(F.least(F.col("x.n") - F.col("i"), F.col("y.n") - F.col("j")) >= F.col("need"))
-        .where(F.least("x.shared", "y.shared") >= F.col("need"))
-        .where(differing <= F.col("x.shared") + F.col("y.shared") - 2 * F.col("need"))
-        .select("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"), "need")
+        (F.least(x.n, y.n) * MAX_UNITS >= F.greatest(x.n, y.n) * units)
+        & (F.least(common_before(p, q), common_before(q, p)) + behind >= need)
+        & (differing <= x.shared + y.shared - 2 * need)
     )
 
 
@@ -266,19 +293,21 @@ class _Candidates:
         shared = _shared(_requests(first.select("doc_id", "text"), width, buckets), buckets)
         self.sets = durable(_prefixes(shared, units))
         self.units = units
+        # in the condition of each join, so that only pairs that may link leave it
+        self._room = _may_link(units)
         meta = F.struct("n", "shared", "lanes").alias("meta")
         self.tokens = self.sets.select(
-            "doc_id", meta, "first", F.posexplode("prefix").alias("at", "gram"), "levels"
+            "doc_id", meta, F.posexplode("prefix").alias("at", "gram"), "levels", "seen"
         ).select(
             "gram",
-            F.element_at("levels", F.col("at") + 1).alias("level"),
-            F.struct("doc_id", "meta", (F.col("first") + F.col("at")).alias("place")).alias("x"),
+            F.col("levels")[F.col("at")].alias("level"),
+            F.struct("doc_id", "meta", "at", F.col("seen")[F.col("at")].alias("seen")).alias("x"),
         )
 
     def every_pair(self) -> DataFrame:
         tokens = self.tokens.select("gram", "x")
         other = tokens.select("gram", F.col("x").alias("y"))
-        return tokens.join(other, "gram").where("x.doc_id < y.doc_id")
+        return tokens.join(other, "gram").where("x.doc_id < y.doc_id").where(self._room)
 
     def star_pairs(self) -> DataFrame:
         """Each class with the smallest of its n-gram's group, or of its part of a hot
@@ -294,7 +323,7 @@ class _Candidates:
         across = Window.partitionBy("gram").orderBy("x.doc_id")
         tops = heads.withColumn("y", F.first("x").over(across.rowsBetween(Window.unboundedPreceding, 0)))
         tops = tops.where("x.doc_id <> y.doc_id").select(F.col("y").alias("x"), F.col("x").alias("y"))
-        return stars.unionByName(tops)
+        return stars.unionByName(tops).where(self._room)
 
     def open_pairs(self, labels: DataFrame) -> DataFrame:
         """Pairs within an n-gram's group whose classes are in different components: those
@@ -314,6 +343,7 @@ class _Candidates:
         return (
             outside.join(others, "gram")
             .where("c <> d and (d = main or x.doc_id < y.doc_id)")
+            .where(self._room)
             .select(
                 F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("x")).otherwise(F.col("y")).alias("x"),
                 F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("y")).otherwise(F.col("x")).alias("y"),
@@ -321,7 +351,7 @@ class _Candidates:
         )
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        return _linked(_passing(pairs, self.units), self.sets)
+        return _linked(_once(pairs, self.units), self.sets)
 
 
 def _prepared(docs: DataFrame, width: int, similarity: float):
