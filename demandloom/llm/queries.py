@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from demandloom.llm.line_dedup import line_groups
+from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
+from demandloom.llm.toxicity import held_out, toxicity_scores, train_from_labels
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +19,25 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"), width=5, similarity=0.8)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_groups(_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_from_labels(docs, _table(spark, sf_dir, "labels"))
+    return toxicity_scores(docs, model, threshold=0.3).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_entropy_mixing": op7_entropy_mixing,
 }
