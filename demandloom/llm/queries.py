@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.llm.durable import fresh
 from demandloom.llm.line_dedup import line_groups
 from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
+from demandloom.llm.topk_search import top_k
 from demandloom.llm.toxicity import held_out, toxicity_scores, train_from_labels
+from demandloom.llm.warc import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +22,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"), width=5, similarity=0.8)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = fresh(spark, "warc")
+    write_archives(_table(spark, sf_dir, "pages"), archives, least=0)
+    return read_archives(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(_table(spark, sf_dir, "documents"))
 
@@ -35,9 +46,16 @@ def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_warc": op2_warc,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_entropy_mixing": op7_entropy_mixing,
+    "op9_exact_topk": op9_exact_topk,
 }
