@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.llm.decontamination import contaminated
 from demandloom.llm.durable import fresh
+from demandloom.llm.html_text import extract_pages
 from demandloom.llm.line_dedup import line_groups
 from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
@@ -30,6 +32,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,10 @@ def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -54,8 +64,10 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_warc": op2_warc,
+    "op3_decontamination": op3_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_entropy_mixing": op7_entropy_mixing,
+    "op8_html_text": op8_html_text,
     "op9_exact_topk": op9_exact_topk,
 }
