@@ -11,6 +11,7 @@ from demandloom.llm.html_text import extract_pages
 from demandloom.llm.line_dedup import line_groups
 from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
+from demandloom.llm.secret_scan import scan_secrets
 from demandloom.llm.topk_search import top_k
 from demandloom.llm.toxicity import held_out, toxicity_scores, train_from_labels
 from demandloom.llm.warc import read_archives, write_archives
@@ -36,6 +37,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
+    "op4_secret_scan": op4_secret_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_entropy_mixing": op7_entropy_mixing,
