@@ -227,3 +227,15 @@ def _corrections(copied: DataFrame, targets: DataFrame, most: int) -> DataFrame:
             "f.source", (F.col("left") - F.coalesce(F.col("move") * F.col("size"), F.lit(0))).alias("left")
         )
     return moves
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
+    """The documents that the mix takes, with ``size``, ``source_size``, ``target``,
+    ``copies`` and ``taken`` beside their own columns. Columns of ``docs`` with these names
+    give way. A doc_id stands for one row; rows without doc_id cannot be told apart and are
+    not taken."""
+    names = ("size", "source_size", "target", "copies", "taken")
+    plan = mix(docs.where("doc_id is not null"), weights, most).where("copies > 0").select("doc_id", *names)
+    return docs.drop(*names).join(plan.dropDuplicates(["doc_id"]), "doc_id").select(
+        *(c for c in docs.columns if c not in names), *names
+    )

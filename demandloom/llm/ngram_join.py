@@ -403,3 +403,18 @@ def ngram_components(docs: DataFrame, width: int = 5, similarity: float = 0.8) -
     return counts.join(named, ["n", "s1", "s2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with the document of smallest doc_id of each component; all columns kept.
+
+    Documents without words, and rows without doc_id, are in no component and stay. A row
+    given twice stays once.
+    """
+    found = durable(ngram_components(docs, width, similarity))
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return named.unionByName(kept.where("doc_id is null"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from demandloom.llm.decontamination import contaminated
 from demandloom.llm.durable import fresh
 from demandloom.llm.html_text import extract_pages
+from demandloom.llm.license_scan import scan_licenses
 from demandloom.llm.line_dedup import line_groups
 from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
@@ -66,6 +67,10 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_warc": op2_warc,
@@ -76,4 +81,5 @@ QUERIES = {
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_html_text": op8_html_text,
     "op9_exact_topk": op9_exact_topk,
+    "op10_license_scan": op10_license_scan,
 }
