@@ -36,8 +36,15 @@ class ToxicityModel:
     shift: float
 
 
-def subwords(names: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of all subwords, and the word each belongs to."""
+def subwords(names: list[str], buckets: int, at_once: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of all subwords, and the word each belongs to; so many words at once that
+    the 64-bit arrays in between stay small."""
+    found = [_subwords(names[i : i + at_once], buckets) for i in range(0, max(len(names), 1), at_once)]
+    rows = np.concatenate([rows for rows, _ in found])
+    return rows, np.concatenate([words + np.int32(i * at_once) for i, (_, words) in enumerate(found)])
+
+
+def _subwords(names: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w}>" for w in names]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.fromiter((len(w) for w in marked), np.int64, len(marked))
@@ -83,7 +90,7 @@ def _calibration(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def fit_toxicity(
-    texts: list[str],
+    texts: pa.Array,
     labels: np.ndarray,
     buckets: int = 1 << 17,
     dims: int = 8,
@@ -99,7 +106,7 @@ def fit_toxicity(
     mean = (labels.sum() + 0.5) / (len(labels) + 1)
     if not 0 < labels.sum() < len(labels):
         return ToxicityModel(np.zeros(1, np.float32), -20.0, 0.0, float(np.log(mean / (1 - mean))))
-    names, codes, offsets = word_lists(pa.array(texts, pa.large_string()))
+    names, codes, offsets = word_lists(texts)
     rows, words = subwords(names, buckets)
     bag = np.bincount(words, minlength=len(names))
     text_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
@@ -159,11 +166,11 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
     Whole texts are scored; null, empty and blank texts score near 0. Repeated rows get
     equal scores; a row without doc_id is scored as any other.
     """
-    # the model is one number per table row, of fixed size
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # one number per table row, of fixed size; plain values need no import on executors
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(batches):
-        m = shared.value
+        m = ToxicityModel(*shared.value)
         for batch in batches:
             for start, length in slices(batch.column(1), SLICE_BYTES):
                 score = score_texts(m, batch.column(1).slice(start, length))
@@ -184,7 +191,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 12_000) -> ToxicityModel:
+def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 8_000) -> ToxicityModel:
     """Fit on at most ``most`` labelled rows, those of smallest hash, none held out.
 
     Labels that are null are skipped; of several labels of a document the largest holds.
@@ -203,4 +210,20 @@ def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 12_000) ->
         .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     )
-    return fit_toxicity(rows["text"].to_pylist(), np.array(rows["toxic"].to_pylist(), float))
+    return fit_toxicity(rows["text"].combine_chunks(), np.array(rows["toxic"].to_pylist(), float))
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the rows whose text scores ``threshold`` or more; rows do not move,
+    and all columns are kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        m = ToxicityModel(*shared.value)
+        for batch in batches:
+            for start, length in slices(batch.column(at), SLICE_BYTES):
+                part = batch.slice(start, length)
+                yield part.filter(pa.array(score_texts(m, part.column(at)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
