@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    A folder of our own is set only where none is named and the session is local
-    (tests); on a cluster a machine-local folder would be lost with its machine.
-    """
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, or none."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="demandloom-")
-    context.setCheckpointDir(named)
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named and not context.getCheckpointDir():
+        context.setCheckpointDir(named)
     return named
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the checkpoint folder.
+    """The same rows, computed once where several branches read them.
 
-    Used where one frame feeds several branches, so that its upstream work is done
-    once and a lost executor re-reads files instead of recomputing the lineage.
+    With a checkpoint folder they are written there, so that a lost executor re-reads
+    files. Where the session names none nothing is written: rows stay in the session's
+    storage, and what is lost is computed again from the lineage.
     """
-    checkpoint_dir(df.sparkSession)
+    if checkpoint_dir(df.sparkSession) is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df.checkpoint(eager=True)

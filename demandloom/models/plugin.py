@@ -1,14 +1,18 @@
 """User models: any function ``(pdf, steps, **params) -> pdf`` run per series.
 
-The function gets one series as a pandas frame (time, target, groups), whose length is bounded by the history window, and
-returns ``steps`` rows with the time and target columns.
+The function gets one series as a pandas frame (time, target, groups), whose length is
+bounded by the history window, and returns ``steps`` rows with the time and target
+columns: a finite value for each of the days ahead. Anything else is an error of that
+series, and no forecast.
 """
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Mapping
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +28,32 @@ def register_model(name: str, function: Callable[..., pd.DataFrame]) -> None:
     _MODELS[name] = function
 
 
+def register_class(name: str, model: type | str) -> None:
+    """A class with ``fit(series)`` and ``predict(n)``, or its name in dotted form.
+
+    Each series gets an object of its own, built with the model's parameters; the series is
+    pandas, indexed by day. ``predict`` returns one value per day ahead; a result of
+    several columns is an error of the series.
+    """
+    if isinstance(model, str):
+        module, _, attribute = model.rpartition(".")
+        model = getattr(importlib.import_module(module), attribute)
+
+    def run(pdf: pd.DataFrame, steps: int, **params) -> pd.DataFrame:
+        time, target = pdf.columns[:2]
+        days = pd.DatetimeIndex(pd.to_datetime(pdf[time]))
+        fitted = model(**params)
+        fitted.fit(pd.Series(pdf[target].to_numpy(), index=days))
+        values = np.asarray(fitted.predict(steps), dtype=float)
+        if values.ndim != 1:
+            raise ValueError("incomplete forecast: not one value per day")
+        period = days[-1] - days[-2] if len(days) > 1 else pd.Timedelta(days=1)
+        ahead = [(days[-1] + k * period).date() for k in range(1, len(values) + 1)]
+        return pd.DataFrame({time: ahead, target: values})
+
+    register_model(name, run)
+
+
 def registered() -> list[str]:
     return list(_MODELS)
 
@@ -88,7 +118,12 @@ def _run(known, cfg, steps, label, model, params) -> DataFrame:
                     target: found[target].astype("float64").to_numpy(),
                     "error": None,
                 }
-            )
+            ).sort_values(time, ignore_index=True)
+            ahead = pd.date_range(days[-1], periods=steps + 1, freq=f"{freq}D")[1:]
+            if list(forecast[time]) != list(ahead.date):
+                raise ValueError(f"incomplete forecast: not the {steps} days ahead")
+            if not np.isfinite(forecast[target]).all():
+                raise ValueError("incomplete forecast: values that are not finite")
         except Exception as failure:  # one bad series must not fail the others
             forecast = pd.DataFrame(
                 {time: [None], target: [None], "error": [f"{type(failure).__name__}: {failure}"]}
@@ -107,5 +142,4 @@ def _run(known, cfg, steps, label, model, params) -> DataFrame:
         ]
     )
     found = known.groupBy(*groups).applyInPandas(run, schema)
-    usable = F.col("error").isNotNull() | ~F.isnan(F.coalesce(F.col(target), F.lit(float("nan"))))
-    return found.filter(usable).select(F.lit(label).alias("model"), *columns)
+    return found.select(F.lit(label).alias("model"), *columns)

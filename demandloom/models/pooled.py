@@ -16,6 +16,7 @@ from demandloom.durable import durable
 from demandloom.functions.arrays import mean
 
 LAGS = 7
+ROWS_PER_TASK = 50_000
 
 
 def lag_features(df: DataFrame, cfg: Settings, lags: int = LAGS) -> DataFrame:
@@ -37,7 +38,7 @@ def _features(window: Column, day: Column) -> Column:
     return array_to_vector(F.concat(window, F.array(F.weekday(day).cast("double"))))
 
 
-def _scaled(known: DataFrame, cfg: Settings, lags: int) -> DataFrame:
+def scaled_series(known: DataFrame, cfg: Settings, lags: int) -> DataFrame:
     level = mean(F.col("y"))
     return (
         known.filter(F.size("y") > lags)
@@ -73,20 +74,22 @@ def _forecast(
 ) -> DataFrame:
     """(model, groups, _start, _path): fit on all series, then predict step by step.
 
-    The scaled series are written once to the checkpoint folder: the learner passes over
-    them several times, and rows must come back in the same order each time for the
-    fixed seed to give the same trees. Prediction only shifts each series' own lag
-    window, so the steps add no shuffle.
+    The scaled series are kept for the learner's several passes, in an order that a lost
+    part is computed again in: the fixed seed then gives the same trees. Prediction only
+    shifts each series' own lag window, so the steps add no shuffle.
     """
-    scaled = durable(_scaled(known, cfg, lags))
+    scaled = durable(scaled_series(known, cfg, lags).sortWithinPartitions(*cfg.groups))
     rows = training_rows(scaled, cfg, lags)
-    if rows.isEmpty():
+    count = rows.count()
+    if not count:
         return scaled.select(
             F.lit(label).alias("model"),
             *cfg.groups,
             F.col("first_day").alias("_start"),
             F.array().cast("array<double>").alias("_path"),
         )
+    # a tree level is a job: few rows need few tasks in each of hundreds
+    rows = rows.coalesce(max(1, count // ROWS_PER_TASK))
     model = regressor.setFeaturesCol("features").setLabelCol("label").fit(rows)
     path = scaled.filter(F.lit(True) if wanted is None else wanted).select(
         *cfg.groups,

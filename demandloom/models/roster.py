@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import Settings
+from demandloom.durable import durable
 from demandloom.models import closed_form, plugin, pooled, winters
 
 Builder = Callable[..., Column]
@@ -57,6 +59,14 @@ PARAMETER_NAMES: dict[str, str] = {
     "version": "version",
 }
 
+# Library parameters that change no forecast, and those that would.
+IGNORED = frozenset(("n_jobs", "nthread", "verbosity", "verbose", "objective", "tree_method", "output_chunk_length"))
+WITHOUT_EFFECT = frozenset(
+    ("gamma", "lambda", "reg_lambda", "reg_alpha", "subsample", "colsample_bytree", "min_child_weight",
+     "trend", "damped", "seasonal", "yearly_seasonality", "weekly_seasonality", "daily_seasonality",
+     "changepoint_prior_scale", "seasonality_mode", "growth")
+)
+
 # Parameters each model takes.
 PARAMETERS: dict[str, tuple[str, ...]] = {
     "mean": (),
@@ -99,10 +109,20 @@ def resolve(name: str) -> str:
 
 
 def resolve_params(model: str, params: Mapping[str, Any] | None) -> dict[str, Any]:
-    """The parameters a model takes, under our names; the others do not apply to it."""
+    """The parameters a model takes, under our names.
+
+    Names that only steer a library's machinery are left out; those of its mathematics
+    that no method here has are left out with a warning; any other name is an error.
+    """
     renamed = {PARAMETER_NAMES.get(k, k): v for k, v in (params or {}).items()}
     if model not in PARAMETERS:
         return renamed
+    foreign = [k for k in renamed if k not in PARAMETERS[model]]
+    unknown = [k for k in foreign if k not in IGNORED and k not in WITHOUT_EFFECT and k not in PARAMETER_NAMES.values()]
+    if unknown:
+        raise ValueError(f"unknown parameters of {model}: {', '.join(sorted(unknown))}")
+    if lost := sorted(k for k in foreign if k in WITHOUT_EFFECT):
+        warnings.warn(f"{model} has no {', '.join(lost)}: its forecasts do not depend on them", stacklevel=2)
     return {k: v for k, v in renamed.items() if k in PARAMETERS[model]}
 
 
@@ -119,6 +139,15 @@ def _entries(roster: Mapping[str, Mapping[str, Any]]):
 
 CHOSEN = "_chosen"
 
+# Fixed value: why a forecast that is short or not finite does not count.
+INCOMPLETE = "incomplete forecast"
+
+
+def is_complete(path: Column, steps: int) -> Column:
+    """A path counts only with a finite value for every step; null paths do not."""
+    usable = F.forall(path, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce((F.size(path) == steps) & usable, F.lit(False))
+
 
 def history_of(
     series: DataFrame,
@@ -208,23 +237,24 @@ def closed_form_pairs(
     paired = F.zip_with(
         "_actual", "_path", lambda y, p: F.struct(y.alias(target), p.alias("prediction"))
     )
-    pairs = closed_form_paths(known, cfg, steps, roster).select(
-        "model", *cfg.groups, F.inline(paired)
-    )
-    prediction = F.col("prediction")
-    return pairs.filter(F.col(target).isNotNull() & prediction.isNotNull() & ~F.isnan(prediction))
+    paths = closed_form_paths(known, cfg, steps, roster).filter(is_complete(F.col("_path"), steps))
+    pairs = paths.select("model", *cfg.groups, F.inline(paired))
+    return pairs.filter(F.col(target).isNotNull() & F.col("prediction").isNotNull())
 
 
-def unroll(paths: DataFrame, cfg: Settings) -> DataFrame:
-    """One row per forecast day from (model, groups, _start, _path)."""
-    days = paths.select(
+def unroll(paths: DataFrame, cfg: Settings, steps: int) -> DataFrame:
+    """One row per forecast day of the complete paths of (model, groups, _start, _path)."""
+    days = paths.filter(is_complete(F.col("_path"), steps)).select(
         "model", *cfg.groups, "_start", F.posexplode("_path").alias("_step", cfg.target_column)
     )
     when = F.date_add("_start", F.col("_step") * cfg.freq_days)
-    value = F.col(cfg.target_column)
-    return days.filter(value.isNotNull() & ~F.isnan(value)).select(
-        "model", *cfg.groups, when.alias(cfg.time_column), cfg.target_column
-    )
+    return days.select("model", *cfg.groups, when.alias(cfg.time_column), cfg.target_column)
+
+
+def incomplete(paths: DataFrame, cfg: Settings, steps: int) -> DataFrame:
+    """One error row per path that a model gave and that does not count."""
+    given = F.col("_path").isNotNull() & ~is_complete(F.col("_path"), steps)
+    return paths.filter(given).select("model", *cfg.groups, F.lit(INCOMPLETE).alias("error"))
 
 
 def forecast_series(
@@ -243,32 +273,52 @@ def forecast_with_errors(
     roster: Mapping[str, Mapping[str, Any]],
     horizon: str,
     champions: DataFrame | None = None,
+    errors: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Forecasts, and the failures of plug-in models (None without plug-ins).
+    """Forecasts, and one row per series and model that failed or gave no complete path
+    (None unless asked for; the paths are then written once for both).
 
     With champions a series is forecast by its own champion alone, which gives the rows
     that choosing from all models' forecasts would. Pooled models still learn from every
-    series.
+    series, and are fitted only if some series chose them.
     """
     entries = list(_entries(roster))
-    learns = any(model in POOLED for _, model, _ in entries)
+    chosen = None
+    if champions is not None and any(model in POOLED for _, model, _ in entries):
+        # one row per model of the roster
+        chosen = {row["model"] for row in champions.select("model").distinct().collect()}
+    runs = [e for e in entries if chosen is None or e[1] not in POOLED or e[0] in chosen]
+    learns = any(model in POOLED for _, model, _ in runs)
     known, steps = history_of(series, cfg, horizon, champions, keep_all=learns)
-    direct = {label: roster[label] for label, model, _ in entries if model in CLOSED_FORM}
+    direct = {label: roster[label] for label, model, _ in runs if model in CLOSED_FORM}
     parts, failures = [], []
+
+    def add(paths: DataFrame) -> None:
+        if errors:
+            paths = durable(paths)
+            failures.append(incomplete(paths, cfg, steps))
+        parts.append(unroll(paths, cfg, steps))
+
     if direct:
-        parts.append(unroll(closed_form_paths(known, cfg, steps, direct), cfg))
-    for label, model, params in entries:
+        add(closed_form_paths(known, cfg, steps, direct).drop("_actual"))
+    for label, model, params in runs:
         wanted = _is_for(known, label)
         if model in POOLED:
-            found = POOLED[model](known, cfg, steps, label, wanted=wanted, **params)
-            parts.append(unroll(found, cfg))
+            add(POOLED[model](known, cfg, steps, label, wanted=wanted, **params))
         elif model not in CLOSED_FORM:
-            done, failed = plugin.plugin_forecast(
-                known.filter(wanted), cfg, steps, label, model, params
-            )
+            ran = known.filter(wanted)
+            if errors:
+                done, failed = plugin.plugin_forecast(ran, cfg, steps, label, model, params)
+                failures.append(failed)
+            else:
+                done = plugin.plugin_forecast_only(ran, cfg, steps, label, model, params)
             parts.append(done)
-            failures.append(failed)
-    if not parts:
+    if not entries:
         raise ValueError("the roster has no models")
-    errors = reduce(DataFrame.unionByName, failures) if failures else None
-    return reduce(DataFrame.unionByName, parts), errors
+    if not parts:
+        empty = known.select(
+            F.lit("").alias("model"), *cfg.groups,
+            F.col("first_day").alias(cfg.time_column), F.lit(0.0).alias(cfg.target_column),
+        )
+        parts.append(empty.limit(0))
+    return reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, failures) if failures else None

@@ -50,6 +50,7 @@ class RangeLookup:
     rows: int
     bytes: int
     shift: int
+    classes: tuple[int, ...]
     broadcast_rows: int
     broadcast_bytes: int
     pieces: int
@@ -82,7 +83,9 @@ def measure_ranges(
     size = ranges.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(text), F.lit(0)).alias("bytes"),
-        F.coalesce(F.avg((F.col(c.end) - F.col(c.start)).cast("double")), F.lit(1.0)).alias("width"),
+        F.coalesce(F.avg(F.col(c.end).cast("double") - F.col(c.start).cast("double")), F.lit(1.0)).alias("width"),
+        # at most 17 values
+        F.sort_array(F.collect_set(_class(c))).alias("classes"),
     ).first()
     return RangeLookup(
         ranges=ranges,
@@ -90,6 +93,7 @@ def measure_ranges(
         rows=3 * size["rows"],
         bytes=3 * size["bytes"],
         shift=max(0, math.ceil(math.log2(max(1.0, size["width"])))),
+        classes=tuple(size["classes"]),
         broadcast_rows=broadcast_rows,
         broadcast_bytes=broadcast_bytes,
         pieces=pieces,
@@ -154,8 +158,30 @@ def _block(code: str, shift: int | str) -> Column:
     return F.expr(f"shiftright({code}, {shift})")
 
 
+def _bits(c: RangeColumns) -> Column:
+    """Bits of (width - 1): two to that power is at least the width of the range."""
+    width = F.try_subtract(F.col(c.end), F.col(c.start))
+    return F.when(width.isNull(), 64).when(width > 1, F.length(F.bin(width - 1))).otherwise(0)
+
+
+def _class(c: RangeColumns) -> Column:
+    """Block size of a range by its own width, in steps of four bits, at most 60: few sizes
+    occur, and a range touches 17 blocks at most."""
+    return F.least(F.ceil(_bits(c) / 4) * 4, F.lit(60)).cast("int")
+
+
 def _match_by_broadcast(points: DataFrame, lookup: RangeLookup, how: str) -> DataFrame:
     c = lookup.columns
+    if how == "inner":
+        # a point probes one block per size, so a few wide ranges cost narrow ones nothing
+        sized = lookup.ranges.withColumn("_shift", _class(c))
+        touched = F.sequence(_block(c.start, "_shift"), _block(f"{c.end} - 1", "_shift"))
+        blocks = F.broadcast(sized.withColumn("_block", F.explode(touched)))
+        probes = points.withColumn(
+            "_shift", F.explode(F.array(*(F.lit(k) for k in lookup.classes)).cast("array<int>"))
+        ).withColumn("_block", _block(c.point, "_shift"))
+        matched = probes.alias("p").join(blocks.alias("r"), _condition(c, [*c.keys, "_shift", "_block"]))
+        return matched.select(*_columns("p", points.columns), F.col(f"r.{c.value}"))
     first, last = _block(c.start, lookup.shift), _block(f"{c.end} - 1", lookup.shift)
     blocks = lookup.ranges.withColumn("_block", F.explode(F.sequence(first, last)))
     left = points.withColumn("_block", _block(c.point, lookup.shift)).alias("p")
@@ -223,9 +249,7 @@ def point_map(codes: DataFrame, lookup: RangeLookup) -> DataFrame:
     """
     c = lookup.columns
     code = [*c.keys, c.point]
-    # bits of (width - 1): two to that power is at least the width
-    width = F.col(c.end) - F.col(c.start)
-    bits = F.when(width > 1, F.length(F.bin(width - 1))).otherwise(0)
+    bits = _bits(c)
     sized = lookup.ranges.withColumn(
         "_shift", F.greatest(F.least(bits, F.lit(BLOCK_BITS)), bits - SPAN_BITS)
     )

@@ -357,10 +357,48 @@ select {_KEYS}, avg(abs(change)) as scale from (
     )
 
 
+def _duplicates(columns: str) -> str:
+    return sql(
+        f"""select cast(sum(n) as bigint) as rows, cast(sum(n - 1) as bigint) as duplicates,
+round(100.0 * sum(n - 1) / cast(sum(n) as double), 2) as pct
+from (select count(*) as n from v_sales group by {columns}) x"""
+    )
+
+
+# rows that the pooled models learn from: every day with seven days before it, as shares
+# of the series' mean
+CTES["p_series"] = """
+select city, product_id, y, n, last_day,
+       case when list_avg(y) <> 0 then abs(list_avg(y)) else 1.0 end as scale
+from a_arr where h = 'full' and n > 7"""
+CTES["p_rows"] = """
+select [x / scale for x in y[i : i + 6]] as lags, y[i + 7] / scale as label,
+       isodow(last_day - cast(n - i - 7 as integer)) - 1 as weekday
+from (select *, unnest(range(1, n - 6)) as i from p_series) x"""
+
+# the plug-in of ``model_failures``: the last value carried forward, complete for every
+# fourth city only
+CTES["f_series"] = f"""
+select t.city, t.product_id, cast(split_part(t.city, '_', 2) as bigint) % 4 as kind, t.y[-1] as last_value,
+       list_avg(t.y) as mean_value
+from a_arr t where h = 'test'"""
+CTES["f_champions"] = f"""
+select s.city, s.product_id,
+       case when s.kind = 0 and avg(abs(f.sales - last_value)) < avg(abs(f.sales - mean_value))
+            then 'Patchy' else 'NaiveMean' end as model
+from f_series s join a_filled f on f.city = s.city and f.product_id = s.product_id and f.date > {TRAIN_END}
+group by s.city, s.product_id, s.kind"""
+
+_POOLED_DAYS = """
+select city, product_id, last_day + cast(k as integer) as date
+from (select *, unnest(range(1, 10)) as k from p_series) x"""
+
 ORACLES: dict[str, str] = {
     # demand
     "daily_demand": sql(f"select {_KEYS}, date, {_SALES} from v_input"),
     "zip_to_city": sql("select * from v_located"),
+    "zip_to_city_large_ranges": sql("select * from v_located"),
+    "daily_demand_large_ranges": sql(f"select {_KEYS}, date, {_SALES} from v_input"),
     "zip_to_city_overlapping": sql(
         """select s.country, s.product_id, s.date, s.zipcode, s.sales, g.city
 from v_sales s join v_overlap g on s.country = g.country
@@ -420,11 +458,8 @@ select (select count(distinct product_id) from v_sales) * (select count(distinct
         """select 'sales' as "column", round(avg(sales), 4) as mean, round(stddev_samp(sales), 4) as std,
 count(*) filter (where sales = 0) as zeros, count(*) filter (where sales < 0) as negatives from v_input"""
     ),
-    "duplicate_rate": sql(
-        """select cast(sum(n) as bigint) as rows, cast(sum(n - 1) as bigint) as duplicates,
-round(100.0 * sum(n - 1) / cast(sum(n) as double), 2) as pct
-from (select count(*) as n from v_sales group by country, product_id, date) x"""
-    ),
+    "duplicate_rate": _duplicates("country, product_id, date, zipcode, sales"),
+    "duplicate_rate_of_keys": _duplicates("country, product_id, date"),
     # series
     "history_window": sql(
         f"select {_KEYS}, date, {_SALES} from v_input "
@@ -452,10 +487,10 @@ row_number() over (partition by {_KEYS} order by date) - 1 as pos, {_SALES} from
     ),
     "series_count": sql(f"select count(*) as series from (select distinct {_KEYS} from v_input) x"),
     "demand_classes": sql(
-        f"select {_KEYS}, round(adi, 6) as adi, round(cv2 + 1e-8, 6) as cv2, class, count from a_classes"
+        f"select {_KEYS}, round(adi, 4) as adi, round(cv2, 4) as cv2, class, count from a_classes"
     ),
     "demand_classes_sparse": sql(
-        f"select {_KEYS}, round(adi, 6) as adi, round(cv2 + 1e-8, 6) as cv2, class, count from o_classes"
+        f"select {_KEYS}, round(adi, 4) as adi, round(cv2, 4) as cv2, class, count from o_classes"
     ),
     "class_distribution": sql(
         """select class, count(*) as series,
@@ -488,6 +523,27 @@ where k.class = 'erratic' and k.count >= 7"""
         f"""select 'last_value' as model, {_KEYS}, last_day + cast(k as integer) as date,
 round(y[-1], 6) as sales
 from (select *, unnest(range(1, steps + 1)) as k from a_arr where h = 'full') x"""
+    ),
+    "forecast_plugin_class": sql(
+        f"""select 'drift' as model, {_KEYS}, last_day + cast(k as integer) as date,
+round(list_avg(y) + 2.0, 6) as sales
+from (select *, unnest(range(1, steps + 1)) as k from a_arr where h = 'full') x"""
+    ),
+    "pooled_training_rows": sql(
+        "select " + ", ".join(f"round(lags[{8 - k}], 6) as lag_{k}" for k in range(1, 8))
+        + ", weekday, round(label, 6) as label from p_rows"
+    ),
+    "forecast_random_forest_bounds": sql(
+        f"select 'random_forest' as model, {_KEYS}, date, true as within from ({_POOLED_DAYS}) x"
+    ),
+    "forecast_gbt_days": sql(f"select 'gbt' as model, {_KEYS}, date, true as finite from ({_POOLED_DAYS}) x"),
+    "model_failures": sql(
+        f"""select 'error' as kind, 'Patchy' as model, {_KEYS},
+case kind when 1 then 'ValueError: incomplete forecast: values that are not finite'
+else 'ValueError: incomplete forecast: not the 7 days ahead' end as detail
+from f_series where kind <> 0
+union all
+select 'champion' as kind, model, {_KEYS}, 'mae' as detail from f_champions"""
     ),
     "lag_features": _lags(),
     "model_eligibility": sql(
@@ -529,7 +585,8 @@ count(*) as count from a_metrics where metric = 'mae' group by model"""
     "fallback_forecast": sql(f"select {_KEYS}, date, {_SALES} from c_fallback"),
     "demand_output": sql(f"select {_KEYS}, date, {_SALES} from c_output"),
     "output_by_date": sql("select date, round(sum(sales), 4) as sales from c_output group by date"),
-    "published_demand": sql(f"select {_KEYS}, date, {_SALES} from a_output"),
+    "published_demand_closed_form": sql(f"select {_KEYS}, date, {_SALES} from a_output"),
+    "published_demand_all_models": sql(f"select {_KEYS}, date, true as usable from a_output"),
     # reports
     "metrics_with_champion": sql(
         f"""select model, {_KEYS}, metric, {_VALUE} from (

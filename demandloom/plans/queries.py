@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.durable import durable
 from demandloom.models import plugin, pooled, roster
 from demandloom.operators import classify, demand, evaluate, publish, quality, reports, series
+from demandloom.operators.ranges import measure_ranges
 from demandloom.plans import fixtures as fx
 from demandloom.plans import workflow
 
@@ -88,6 +92,21 @@ def zip_to_city(spark, d):
     return _located(spark, d)
 
 
+def _beyond_broadcast(spark, d):
+    """The range table as one too large to send to every task."""
+    return measure_ranges(fx.geo(spark, d), broadcast_rows=0)
+
+
+@query
+def zip_to_city_large_ranges(spark, d):
+    return demand.zip_to_city(fx.sales(spark, d), _beyond_broadcast(spark, d))
+
+
+@query
+def daily_demand_large_ranges(spark, d):
+    return rounded(demand.daily_demand(fx.sales(spark, d), _beyond_broadcast(spark, d)), "sales")
+
+
 @query
 def zip_to_city_overlapping(spark, d):
     return demand.zip_to_city(fx.sales(spark, d), fx.overlapping_geo(spark, d))
@@ -185,6 +204,11 @@ def numeric_profile(spark, d):
 
 @query
 def duplicate_rate(spark, d):
+    return quality.duplicate_rate(fx.sales(spark, d))
+
+
+@query
+def duplicate_rate_of_keys(spark, d):
     # transactions without their row id repeat, as in a feed of single sales
     return quality.duplicate_rate(fx.sales(spark, d).select("country", "product_id", "date"))
 
@@ -234,10 +258,7 @@ def series_count(spark, d):
 
 
 def _classes(df):
-    # the variation of a few whole numbers often has a short decimal that ends in a 5;
-    # the same small shift on both sides keeps rounding away from such ties
-    shifted = df.withColumn("cv2", F.col("cv2") + F.lit(1e-8))
-    return rounded(shifted, "adi", "cv2")
+    return rounded(df, "adi", "cv2", digits=4)
 
 
 @query
@@ -291,7 +312,7 @@ QUERIES["forecast_holt_winters"] = _single("holt_winters", period=7, alpha=0.3,
 QUERIES["forecast_holt_winters_grid"] = _single("holt_winters", period=7)
 QUERIES["forecast_trend_seasonal"] = _single("trend_seasonal", period=7)
 QUERIES["forecast_random_forest"] = _single("random_forest", lags=7, trees=100, depth=6, seed=0)
-QUERIES["forecast_gbt"] = _single("gbt", lags=7, trees=20, depth=6, step_size=0.3, seed=0)
+QUERIES["forecast_gbt"] = _single("gbt", lags=7, trees=100, depth=6, step_size=0.3, seed=0)
 
 
 @query
@@ -309,6 +330,101 @@ def forecast_plugin_naive(spark, d):
     return rounded(naive, "sales")
 
 
+def _drift():
+    # built in here, it travels to the executors by value
+    class Drift:
+        """A model in class form: the mean of the series, and ``by``."""
+
+        def __init__(self, by=0.0):
+            self.by = by
+
+        def fit(self, series):
+            self.level = series.mean()
+
+        def predict(self, n):
+            return [self.level + self.by] * n
+
+    return Drift
+
+
+def _patchy():
+    # built in here, it travels to the executors by value
+    def patchy(pdf, steps):
+        """The last value carried forward, spoilt in three of four cities."""
+        days = [pdf["date"].iloc[-1] + timedelta(days=k) for k in range(1, steps + 1)]
+        found = pd.DataFrame({"date": days, "sales": float(pdf["sales"].iloc[-1])})
+        kind = int(pdf["city"].iloc[0].split("_")[1]) % 4
+        if kind == 1:
+            found.loc[0, "sales"] = float("nan")
+        elif kind == 2:
+            found = found.iloc[1:]
+        elif kind == 3:
+            found["date"] = [day + timedelta(days=1) for day in days]
+        return found
+
+    return patchy
+
+
+plugin.register_model("patchy", _patchy())
+
+
+@query
+def forecast_plugin_class(spark, d):
+    plugin.register_class("drift", _drift())
+    known, steps = roster.history_of(_arrays(spark, d), CFG, "full")
+    found = plugin.plugin_forecast_only(known, CFG, steps, "drift", "drift", {"by": 2.0})
+    return rounded(found, "sales")
+
+
+@query
+def model_failures(spark, d):
+    models = {"Patchy": {"model": "patchy"}, "NaiveMean": {"model": "mean"}}
+    arrays = durable(_arrays(spark, d))
+    found, errors = roster.forecast_with_errors(arrays, CFG, models, "test", errors=True)
+    metrics = evaluate.forecast_metrics(workflow.test_rows(arrays, CFG), found, CFG, ["mae"])
+    champions = evaluate.best_models(metrics, CFG).withColumnRenamed("metric", "detail")
+    columns = ("model", "city", "product_id", "detail")
+    return (
+        errors.withColumnRenamed("error", "detail").select(F.lit("error").alias("kind"), *columns)
+        .unionByName(champions.select(F.lit("champion").alias("kind"), *columns))
+    )
+
+
+@query
+def pooled_training_rows(spark, d):
+    known, _ = roster.history_of(_arrays(spark, d), CFG, "full")
+    rows = pooled.training_rows(pooled.scaled_series(known, CFG, pooled.LAGS), CFG, pooled.LAGS)
+    values = vector_to_array("features")
+    return rows.select(
+        *(F.round(values[pooled.LAGS - k], 6).alias(f"lag_{k}") for k in range(1, pooled.LAGS + 1)),
+        values[pooled.LAGS].cast("long").alias("weekday"), F.round("label", 6).alias("label"),
+    )
+
+
+@query
+def forecast_random_forest_bounds(spark, d):
+    """Days forecast, and whether each value lies between the smallest and the largest share
+    of a mean that a forest of averages can give."""
+    arrays = durable(_arrays(spark, d))
+    entry = {"random_forest": {"model": "random_forest", "params": roster.FULL_ROSTER["RandomForest"]["params"]}}
+    found = roster.forecast_series(arrays, CFG, entry, "full")
+    known, _ = roster.history_of(arrays, CFG, "full")
+    scaled = pooled.scaled_series(known, CFG, pooled.LAGS)
+    # one row
+    ends = pooled.training_rows(scaled, CFG, pooled.LAGS).agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
+    share = F.col("sales") / F.col("_scale")
+    within = (share >= ends["low"] - 1e-9) & (share <= ends["high"] + 1e-9)
+    return found.join(scaled.select(*CFG.groups, "_scale"), CFG.groups).select(
+        "model", *CFG.groups, "date", within.alias("within")
+    )
+
+
+@query
+def forecast_gbt_days(spark, d):
+    finite = F.col("sales").isNotNull() & ~F.isnan("sales") & (F.abs("sales") < float("inf"))
+    return QUERIES["forecast_gbt"](spark, d).select("model", *CFG.groups, "date", finite.alias("finite"))
+
+
 @query
 def lag_features(spark, d):
     lags = pooled.lag_features(_filled(spark, d), CFG)
@@ -421,16 +537,20 @@ def output_by_date(spark, d):
 
 
 @query
-def published_demand(spark, d):
+def published_demand_closed_form(spark, d):
     return rounded(workflow.published_demand(fx.demand(spark, d), CFG, ROSTER), "sales")
 
 
+@query
+def published_demand(spark, d):
+    return rounded(workflow.published_demand(fx.demand(spark, d), CFG, roster.FULL_ROSTER), "sales")
+
+
 @query
 def published_demand_all_models(spark, d):
-    models = {**roster.FULL_ROSTER, "GradientBoostedTrees": {
-        "model": "gbt", "params": {"lags": 7, "trees": 20, "depth": 6, "step_size": 0.3, "seed": 0}
-    }}
-    return rounded(workflow.published_demand(fx.demand(spark, d), CFG, models), "sales")
+    # what SQL can say of a roster with learners: which series and days are published
+    usable = F.col("sales").isNotNull() & ~F.isnan("sales") & (F.col("sales") >= 0)
+    return published_demand(spark, d).select("city", "product_id", "date", usable.alias("usable"))
 
 
 # ---- reports -------------------------------------------------------------------------

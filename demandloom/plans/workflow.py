@@ -26,11 +26,13 @@ from demandloom.models.roster import (
 from demandloom.operators import demand, evaluate, publish, series
 from demandloom.sources.files import read_csv_cast
 from demandloom.sources.tables import (
+    TableSpec,
     append_run_log,
     create_database,
     create_tables,
     read_table,
-    write_table,
+    replace_partitions,
+    replace_table,
 )
 
 # Names of the two input files.
@@ -42,9 +44,8 @@ def _read(spark: SparkSession, cfg: Settings, table: str) -> DataFrame:
     return read_table(spark, cfg.database, table)
 
 
-def _write(spark: SparkSession, cfg: Settings, df: DataFrame, table: str) -> None:
-    schema, partition_cols = schemas.TABLES[table]
-    write_table(spark, df, schema, cfg.database, table, partition_cols=partition_cols)
+def _write(cfg: Settings, df: DataFrame, table: str) -> None:
+    replace_table(df, cfg.database, TableSpec.of(table))
 
 
 def _log(spark: SparkSession, cfg: Settings, stage: str, metric=None, value=None) -> None:
@@ -60,31 +61,32 @@ def ingest(spark: SparkSession, cfg: Settings) -> None:
     """CSV files to ``sales`` and ``geo``; the city list limits geo only."""
     sales = read_csv_cast(spark, os.path.join(cfg.dir, SALES_FILE), schemas.SALES, cfg.sep)
     geo = read_csv_cast(spark, os.path.join(cfg.dir, GEO_FILE), schemas.GEO, cfg.sep)
-    _write(spark, cfg, sales, "sales")
-    _write(spark, cfg, demand.keep_cities(geo, cfg.cities), "geo")
+    _write(cfg, sales, "sales")
+    _write(cfg, demand.keep_cities(geo, cfg.cities), "geo")
     _log(spark, cfg, "ingestion")
 
 
 def build_input(spark: SparkSession, cfg: Settings) -> None:
     """``sales`` and ``geo`` to daily demand in ``input``."""
     daily = demand.daily_demand(_read(spark, cfg, "sales"), _read(spark, cfg, "geo"))
-    _write(spark, cfg, daily, "input")
+    _write(cfg, daily, "input")
     _log(spark, cfg, "input")
 
 
 def build_split(spark: SparkSession, cfg: Settings) -> None:
     """``input`` to gapless, labelled series in ``split``."""
-    _write(spark, cfg, series.prepare_series(_read(spark, cfg, "input"), cfg), "split")
+    _write(cfg, series.prepare_series(_read(spark, cfg, "input"), cfg), "split")
     _log(spark, cfg, "split")
 
 
 def build_forecasts(
     spark: SparkSession, cfg: Settings, labels: Iterable[str] | None = None
 ) -> None:
-    """``split`` to ``forecast_on_test`` and ``all_models_forecast``.
+    """``split`` to ``forecast_on_test``, ``all_models_forecast`` and ``model_errors``.
 
     One array per series feeds all models and both horizons. With ``labels`` only those
-    models run and only their partitions are replaced.
+    models run and only their partitions are replaced; without, those of models that are
+    no longer in the roster go.
     """
     roster = cfg.models or FULL_ROSTER
     if labels is not None:
@@ -93,37 +95,34 @@ def build_forecasts(
     arrays = durable(series.series_arrays(_read(spark, cfg, "split"), cfg))
     failures = []
     for horizon, table in (("test", "forecast_on_test"), ("full", "all_models_forecast")):
-        forecasts, errors = forecast_with_errors(arrays, cfg, roster, horizon)
-        _write(spark, cfg, forecasts, table)
-        if errors is not None:
-            failures.append(errors)
-    # errors of models that did not run stay; the table is rewritten, so they are read out
-    if labels is None:
-        kept = spark.createDataFrame([], schemas.MODEL_ERRORS)
-    else:
-        past = _read(spark, cfg, "model_errors")
-        kept = durable(past.filter(~F.col("model").isin(list(roster))))
-    _write(spark, cfg, reduce(DataFrame.unionByName, failures, kept).distinct(), "model_errors")
+        forecasts, errors = forecast_with_errors(arrays, cfg, roster, horizon, errors=True)
+        replace_partitions(forecasts, cfg.database, TableSpec.of(table), roster, drop_others=labels is None)
+        failures.append(errors)
+    # errors of models that did not run stay
+    found = reduce(DataFrame.unionByName, failures).distinct()
+    replace_partitions(found, cfg.database, TableSpec.of("model_errors"), roster, drop_others=labels is None)
     _log(spark, cfg, f"model[{','.join(roster)}]")
 
 
 def build_evaluation(spark: SparkSession, cfg: Settings) -> None:
-    """Forecasts to ``metrics``, ``best_models`` and the champions' ``forecast``."""
+    """Forecasts of the roster's models to ``metrics``, ``best_models`` and the champions'
+    ``forecast``."""
+    of_roster = F.col("model").isin(list(cfg.models or FULL_ROSTER))
     split = _read(spark, cfg, "split")
     metrics = evaluate.forecast_metrics(
         split.filter(F.col("split") == "test"),
-        _read(spark, cfg, "forecast_on_test"),
+        _read(spark, cfg, "forecast_on_test").filter(of_roster),
         cfg,
         train=split.filter(F.col("split") == "train"),
     )
-    _write(spark, cfg, metrics, "metrics")
-    _write(spark, cfg, evaluate.best_models(_read(spark, cfg, "metrics"), cfg), "best_models")
+    _write(cfg, metrics, "metrics")
+    _write(cfg, evaluate.best_models(_read(spark, cfg, "metrics"), cfg), "best_models")
 
     champions = _read(spark, cfg, "best_models")
     summary = evaluate.champion_mean_metric(champions).first()["value"]
     _log(spark, cfg, "evaluation", cfg.selection_metric, summary)
-    forecast = evaluate.champion_forecast(_read(spark, cfg, "all_models_forecast"), champions, cfg)
-    _write(spark, cfg, forecast, "forecast")
+    ahead = _read(spark, cfg, "all_models_forecast").filter(of_roster)
+    _write(cfg, evaluate.champion_forecast(ahead, champions, cfg), "forecast")
 
 
 def build_output(spark: SparkSession, cfg: Settings) -> None:
@@ -131,7 +130,7 @@ def build_output(spark: SparkSession, cfg: Settings) -> None:
     published = publish.publish_demand(
         _read(spark, cfg, "input"), _read(spark, cfg, "forecast"), cfg
     )
-    _write(spark, cfg, published, "output")
+    _write(cfg, published, "output")
     _log(spark, cfg, "output")
 
 

@@ -80,12 +80,7 @@ TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "metrics": (METRICS, []),
     "best_models": (METRICS, []),
     "output": (OUTPUT, []),
-    "model_errors": (MODEL_ERRORS, []),
+    "model_errors": (MODEL_ERRORS, ["model"]),
     "run_log": (RUN_LOG, []),
 }
 
-
-def without_columns(schema: T.StructType, columns) -> T.StructType:
-    """The same layout minus the named columns."""
-    dropped = set(columns)
-    return T.StructType([f for f in schema.fields if f.name not in dropped])

@@ -1,5 +1,6 @@
 import random
 from dataclasses import replace
+from datetime import timedelta
 
 import pandas as pd
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom.models import closed_form, plugin, pooled, roster, winters
 from demandloom.operators import series
+from demandloom.plans import workflow
 
 
 def fold(spark, ys, build):
@@ -155,7 +157,7 @@ def test_lag_features(spark):
 
 def test_training_rows_are_the_lag_features_of_the_scaled_series(spark):
     known, _ = roster.history_of(arrays(spark, dense("2024-07-20", 19)), CFG, "full")
-    scaled = pooled._scaled(known, CFG, 7)
+    scaled = pooled.scaled_series(known, CFG, 7)
     found = [(list(r["features"]), r["label"]) for r in pooled.training_rows(scaled, CFG, 7).collect()]
     expected = pooled.lag_features(inputs(spark, dense("2024-07-20", 19)), CFG).collect()
     mean = sum(range(1, 20)) / 19
@@ -199,7 +201,7 @@ def test_plugin_failures_are_kept_apart(spark):
     plugin.register_model("picky", picky)
     known = arrays(spark, dense("2024-07-04", 35) + dense("2024-08-03", 5, product="q"))
     entry = {"Picky": {"model": "picky", "params": {"limit": 6}}}
-    found, errors = roster.forecast_with_errors(known, CFG, entry, "full")
+    found, errors = roster.forecast_with_errors(known, CFG, entry, "full", errors=True)
     assert values(found, "model", "product_id", "date", "sales") == [
         ("Picky", P1, d, 35.0) for d in days("2024-08-08", 9)
     ]
@@ -211,9 +213,63 @@ def test_plugin_failures_are_kept_apart(spark):
 def test_plugin_sees_the_series_as_a_frame(spark):
     def check(pdf, steps):
         assert list(pdf.columns) == ["date", "sales", "city", "product_id"]
-        return pd.DataFrame({"date": [pdf["date"].iloc[-1]], "sales": [pdf["sales"].sum()]})
+        ahead = [pdf["date"].iloc[-1] + timedelta(days=k) for k in range(1, steps + 1)]
+        return pd.DataFrame({"date": ahead, "sales": pdf["sales"].sum()})
 
     plugin.register_model("check", check)
     known, steps = roster.history_of(arrays(spark, dense("2024-07-29", 10)), CFG, "test")
     found = plugin.plugin_forecast_only(known, CFG, steps, "check", "check")
-    assert values(found, "date", "sales") == [(day("2024-07-31"), 6.0)]
+    assert values(found, "date", "sales") == [(d, 6.0) for d in days("2024-08-01", 7)]
+
+
+def test_partial_paths_are_errors_and_win_nothing(spark):
+    def spoilt(pdf, steps):
+        found = plugin.last_value(pdf, steps)
+        found.loc[1:, "sales"] = float("nan")
+        return found
+
+    plugin.register_model("spoilt", spoilt)
+    daily = inputs(spark, dense("2024-07-04", 35))
+    models = {"Spoilt": {"model": "spoilt"}, "NaiveMean": {"model": "mean"}}
+    known = series.series_arrays(series.prepare_series(daily, CFG), CFG)
+    found, errors = roster.forecast_with_errors(known, CFG, models, "test", errors=True)
+    assert values(found.select("model").distinct()) == [("NaiveMean",)]
+    assert values(errors, "model") == [("Spoilt",)]
+    assert workflow.published_demand(daily, CFG, models).count() == 3
+
+
+def test_a_closed_form_path_that_is_not_finite_is_an_error(spark):
+    known = arrays(spark, dense("2024-07-04", 35, value=lambda i: float("inf") if i == 3 else 1.0))
+    entry = {"NaiveMean": {"model": "mean"}}
+    found, errors = roster.forecast_with_errors(known, CFG, entry, "full", errors=True)
+    assert found.count() == 0
+    assert values(errors) == [("NaiveMean", "B1", P1, "incomplete forecast")]
+
+
+def test_class_style_models(spark):
+    class Twice:
+        def fit(self, series):
+            assert list(series.index.day)[:2] == [29, 30]
+            self.last = series.iloc[-1]
+
+        def predict(self, n):
+            return [2 * self.last] * n
+
+    class Wide(Twice):
+        def predict(self, n):
+            return [[1.0, 2.0]] * n
+
+    plugin.register_class("twice", Twice)
+    plugin.register_class("wide", Wide)
+    known = arrays(spark, dense("2024-07-29", 10))
+    entry = {"Twice": {"model": "twice"}, "Wide": {"model": "wide"}}
+    found, errors = roster.forecast_with_errors(known, CFG, entry, "full", errors=True)
+    assert values(found, "model", "date", "sales") == [("Twice", d, 20.0) for d in days("2024-08-08", 9)]
+    assert values(errors, "model", "error") == [("Wide", "ValueError: incomplete forecast: not one value per day")]
+
+
+def test_unknown_parameters_are_rejected():
+    with pytest.raises(ValueError, match="windw"):
+        roster.resolve_params("moving_average", {"windw": 3})
+    with pytest.warns(UserWarning, match="gamma"):
+        assert roster.resolve_params("gbt", {"gamma": 1, "n_jobs": 4, "n_estimators": 5}) == {"trees": 5}

@@ -1,4 +1,5 @@
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pytest
@@ -58,14 +59,15 @@ def test_csv_with_enforced_schema(spark, tmp_path):
 
 
 @pytest.mark.parametrize("external", [False, True])
-@pytest.mark.parametrize("partition_cols", [None, ["city"]])
-def test_table_round_trip(spark, database, tmp_path, external, partition_cols):
-    path = str(tmp_path / "table") if external else None
+@pytest.mark.parametrize("partitions", [(), ("city",)])
+def test_table_round_trip(spark, database, tmp_path, external, partitions):
+    spec = tables.TableSpec("t", schemas.INPUT, partitions, str(tmp_path / "table") if external else None)
     df = inputs(spark, dense("2024-07-09", 30))
     for _ in range(2):
-        tables.write_table(
-            spark, df, schemas.INPUT, database, "t", partition_cols=partition_cols, path=path
-        )
+        if partitions:
+            tables.replace_partitions(df, database, spec, ["B1"])
+        else:
+            tables.replace_table(df, database, spec)
     found = tables.read_table(spark, database, "t").select(*schemas.INPUT.fieldNames())
     assert values(found) == values(df)
     info = tables.table_info(spark, database, "t")
@@ -73,21 +75,50 @@ def test_table_round_trip(spark, database, tmp_path, external, partition_cols):
     assert info["sales"] == "double"
 
 
-def test_only_partitions_in_the_data_are_replaced(spark, database):
-    rows = [("A", "c", "p", day("2024-08-01"), 1.0), ("B", "c", "p", day("2024-08-01"), 2.0)]
-    both = spark.createDataFrame(rows, schemas.FORECAST)
-    only_b = spark.createDataFrame([("B", "c", "q", day("2024-08-02"), 9.0)], schemas.FORECAST)
-    for df in (both, only_b):
-        tables.write_table(spark, df, schemas.FORECAST, database, "f", partition_cols=["model"])
+FORECAST = tables.TableSpec("f", schemas.FORECAST, ("model",))
+
+
+def forecasts(spark, *rows):
+    return spark.createDataFrame([(m, "c", p, day("2024-08-01"), v) for m, p, v in rows], schemas.FORECAST)
+
+
+def test_only_named_partitions_are_replaced(spark, database):
+    tables.replace_partitions(forecasts(spark, ("A", "p", 1.0), ("B", "p", 2.0)), database, FORECAST, ["A", "B"])
+    tables.replace_partitions(forecasts(spark, ("A", "x", 5.0), ("B", "q", 9.0)), database, FORECAST, ["B"])
     found = tables.read_table(spark, database, "f")
     assert values(found, "model", "product_id", "sales") == [("A", "p", 1.0), ("B", "q", 9.0)]
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+def test_a_value_without_rows_leaves_nothing_behind(spark, database):
+    tables.replace_partitions(forecasts(spark, ("A", "p", 1.0), ("B", "p", 2.0)), database, FORECAST, ["A", "B"])
+    tables.replace_partitions(forecasts(spark, ("A", "p", 3.0)), database, FORECAST, ["A", "B"])
+    assert values(tables.read_table(spark, database, "f"), "model", "sales") == [("A", 3.0)]
+    tables.replace_partitions(forecasts(spark, ("C", "p", 4.0)), database, FORECAST, ["C"], drop_others=True)
+    assert values(tables.read_table(spark, database, "f"), "model", "sales") == [("C", 4.0)]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writers_of_two_partitions_share_a_session(spark, database, mode):
+    tables.create_table(spark, database, FORECAST)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        with ThreadPoolExecutor(2) as pool:
+            list(
+                pool.map(
+                    lambda m: tables.replace_partitions(forecasts(spark, (m, "p", 1.0)), database, FORECAST, [m]),
+                    ["A", "B"],
+                )
+            )
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert values(tables.read_table(spark, database, "f"), "model") == [("A",), ("B",)]
 
 
 def test_overwriting_an_unpartitioned_table_replaces_it(spark, database):
+    spec = tables.TableSpec("t", schemas.INPUT)
     for start, n in (("2024-07-01", 5), ("2024-08-01", 2)):
-        df = inputs(spark, dense(start, n))
-        tables.write_table(spark, df, schemas.INPUT, database, "t")
+        tables.replace_table(inputs(spark, dense(start, n)), database, spec)
     assert tables.read_table(spark, database, "t").count() == 2
 
 
@@ -96,7 +127,7 @@ def test_all_tables_are_created_and_listed(spark, database):
     tables.create_tables(spark, database)
     assert tables.list_tables(spark, database) == sorted(schemas.TABLES)
     partitions = {name: cols for name, (_, cols) in schemas.TABLES.items() if cols}
-    assert set(partitions) == {"forecast_on_test", "all_models_forecast"}
+    assert set(partitions) == {"forecast_on_test", "all_models_forecast", "model_errors"}
 
 
 def test_run_log_is_appended(spark, database):
@@ -111,9 +142,7 @@ def test_run_log_is_appended(spark, database):
 
 def test_local_frame_catalog_and_schema_helpers(spark, database):
     pdf = pd.DataFrame(dense("2024-08-01", 2), columns=schemas.INPUT.fieldNames())
-    tables.write_local(spark, pdf, schemas.INPUT, database, "t")
+    tables.write_local(pdf, spark, database, tables.TableSpec("t", schemas.INPUT))
     assert tables.read_table(spark, database, "t").count() == 2
     tables.use_catalog(spark, "spark_catalog")
     assert spark.catalog.currentCatalog() == "spark_catalog"
-    left = schemas.without_columns(schemas.FORECAST, ["model", "sales"])
-    assert left == T.StructType([f for f in schemas.INPUT.fields if f.name != "sales"])

@@ -10,7 +10,7 @@ from demandloom.durable import checkpoint_dir, durable
 from demandloom.models import plugin, roster
 from demandloom.operators import series
 from demandloom.plans import workflow
-from demandloom.sources.tables import read_table, write_table
+from demandloom.sources.tables import TableSpec, read_table, replace_partitions
 
 SMALL = {
     **roster.DEFAULT_ROSTER,
@@ -86,7 +86,7 @@ def test_one_model_replaces_only_its_partition(spark, cfg):
     before = values(read_table(spark, cfg.database, "all_models_forecast").filter("model != 'NaiveMean'"))
     errors = [("Picky", "B1", P1, "old"), ("NaiveMean", "B1", P1, "old")]
     old = spark.createDataFrame(errors, schemas.MODEL_ERRORS)
-    write_table(spark, old, schemas.MODEL_ERRORS, cfg.database, "model_errors")
+    replace_partitions(old, cfg.database, TableSpec.of("model_errors"), ["Picky", "NaiveMean"])
     changed = {**roster.DEFAULT_ROSTER, "NaiveMean": {"model": "croston", "params": {}}}
     workflow.build_forecasts(spark, replace(cfg, models=changed), labels=["NaiveMean"])
     assert values(read_table(spark, cfg.database, "model_errors"), "model") == [("Picky",)]
@@ -115,6 +115,21 @@ def test_test_rows_are_the_test_part_of_the_split(spark):
 def test_durable_cuts_the_lineage(spark):
     df = durable(inputs(spark, [("c", P1, days("2024-08-01", 1)[0], 1.0)]).selectExpr("sales + 1 AS x"))
     assert values(df) == [(2.0,)]
-    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert named is None or checkpoint_dir(spark).startswith((named, f"file:{named}"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert ("ExistingRDD" if checkpoint_dir(spark) else "InMemory") in plan
+
+
+def test_retired_and_silent_models_are_not_chosen(spark, cfg):
+    def silent(pdf, steps):
+        raise ValueError("nothing today")
+
+    two = {label: roster.DEFAULT_ROSTER[label] for label in ("NaiveMean", "Croston")}
+    workflow.run_workflow(spark, replace(cfg, models=two))
+    plugin.register_model("silent", silent)
+    models = {"NaiveMean": two["NaiveMean"], "Croston": {"model": "silent"}}
+    for kept in (models, {"NaiveMean": two["NaiveMean"]}):
+        workflow.build_forecasts(spark, replace(cfg, models=kept))
+        workflow.build_evaluation(spark, replace(cfg, models=kept))
+        for table in ("best_models", "forecast_on_test", "all_models_forecast"):
+            found = read_table(spark, cfg.database, table).select("model").distinct()
+            assert values(found) == [("NaiveMean",)], table
