@@ -14,6 +14,8 @@ records are fetched by a second read and joined.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -127,25 +129,63 @@ def _payload(value: Column, header_bytes: Column, length: Column) -> Column:
 def reachable(candidates: DataFrame) -> DataFrame:
     """(file, offset) of the candidates that a chain from offset 0 of their file reaches.
 
-    ``candidates`` has (file, offset, successor) with successor > offset. Round k knows the
-    nodes less than 2**k records from the start and each node's 2**k-th successor, so the
-    rounds are the logarithm of the records in the longest file.
+    ``candidates`` has (file, split, offset, successor) with successor > offset. Within a
+    split, which is of bounded size, jumping pointers finds where the chain of each
+    candidate leaves it. Those that a chain enters a split by, a few per split, are then
+    the nodes of each file's chain of splits. Last, the candidates that a split's reached
+    entries lead to are marked. Each jump doubles its length, so a chain of n records takes
+    the logarithm of n rounds.
     """
-    jumps = durable(candidates.select("file", "offset", F.col("successor").alias("jump")))
-    reached = durable(jumps.where("offset = 0").select("file", "offset"))
-    known, before = reached.count(), 0
-    while known > before:
-        further = reached.join(jumps, ["file", "offset"]).select("file", F.col("jump").alias("offset"))
-        landed = further.join(jumps.select("file", "offset"), ["file", "offset"], "left_semi")
-        reached = durable(reached.unionByName(landed))
-        then = jumps.select("file", F.col("offset").alias("jump"), F.col("jump").alias("then"))
-        jumps = durable(
-            jumps.join(then, ["file", "jump"], "left")
-            # an end of a chain stays a node that can be landed on
-            .select("file", "offset", F.coalesce("then", F.lit(-1)).alias("jump"))
-        )
-        known, before = reached.count(), known
-    return reached
+    nodes = durable(candidates)
+    leaving = durable(
+        nodes.groupBy("file", "split").applyInPandas(_exits, "file string, split long, offset long, successor long")
+    )
+    landings = leaving.select("file", F.col("successor").alias("offset"), F.lit(True).alias("landing")).distinct()
+    between = leaving.join(landings, ["file", "offset"], "left").where("offset = 0 or landing")
+    entries = between.withColumn("entry", F.col("offset") == 0).groupBy("file").applyInPandas(
+        _marked, "file string, split long, offset long"
+    )
+    reached = entries.groupBy("file", "split")
+    return nodes.groupBy("file", "split").cogroup(reached).applyInPandas(_entered, "file string, offset long")
+
+
+def _inside(nodes: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """A split's candidates by offset, and the place of each one's successor among them, or
+    one past the last where it is not among them."""
+    nodes = nodes.drop_duplicates("offset").sort_values("offset")
+    offsets, after = nodes["offset"].to_numpy(), nodes["successor"].to_numpy()
+    place = np.searchsorted(offsets, after)
+    found = (place < len(offsets)) & (offsets[np.minimum(place, len(offsets) - 1)] == after)
+    return nodes, np.where(found, place, len(offsets))
+
+
+def _exits(nodes: pd.DataFrame) -> pd.DataFrame:
+    """Each candidate with the successor that its chain leaves the split by."""
+    nodes, place = _inside(nodes)
+    own = np.arange(len(nodes))
+    last = np.where(place < len(nodes), place, own)
+    while (last[last] != last).any():
+        last = last[last]
+    return nodes[["file", "split", "offset"]].assign(successor=nodes["successor"].to_numpy()[last])
+
+
+def _marked(nodes: pd.DataFrame) -> pd.DataFrame:
+    """The candidates that chains from those with ``entry`` lead to."""
+    nodes, place = _inside(nodes)
+    end = len(nodes)
+    jump = np.append(place, end)
+    hit = np.append(nodes["entry"].to_numpy(bool), False)
+    for _ in range(max(1, end).bit_length()):
+        hit[jump[hit]] = True
+        hit[end] = False
+        jump = jump[jump]
+    return nodes.loc[hit[:end], ["file", "split", "offset"]]
+
+
+def _entered(nodes: pd.DataFrame, reached: pd.DataFrame) -> pd.DataFrame:
+    if nodes.empty or reached.empty:
+        return pd.DataFrame({"file": [], "offset": []})
+    return _marked(nodes.assign(entry=nodes["offset"].isin(reached["offset"])))[["file", "offset"]]
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -179,17 +219,17 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         pieces.withColumn("inside", F.coalesce(F.sum(F.col("bytes") + size).over(within), F.lit(0)))
         .join(splits, ["file", "split"])
         .withColumn("offset", F.col("before") + F.col("inside") - size)
-        .drop("split", "at", "before", "inside")
+        .drop("at", "before", "inside")
     )
     end = F.col("offset") + size + F.col("header_bytes") + len(END) + F.col("length") + len(END)
-    candidates = placed.where("offset >= 0 and length is not null").select("file", "offset", end.alias("successor"))
+    candidates = placed.where("offset >= 0 and length is not null").select("file", "split", "offset", end.alias("successor"))
     chain = reachable(candidates).withColumn("reached", F.lit(True))
-    records = placed.join(chain, ["file", "offset"], "left")
-    single = records.where("reached and whole")
-    joined = _joined(spark, path, records)
+    records = durable(placed.join(chain, ["file", "offset"], "left").drop("split"))
+    found = records.where("reached and whole")
+    if not records.where("reached and not whole").isEmpty():
+        found = found.unionByName(_joined(spark, path, records))
     return (
-        single.unionByName(joined, allowMissingColumns=True)
-        .select(
+        found.select(
             "file", "offset", "page_id", "url", "record_type", "refers_to",
             F.when(F.col("record_type") == "revisit", F.col("declared_bytes")).otherwise(F.col("length")).alias("payload_bytes"),
             F.when(F.col("record_type") == "revisit", F.col("declared_digest")).otherwise(F.col("digest")).alias("payload_digest"),
@@ -210,10 +250,13 @@ def _joined(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
         "file", "offset", "bytes", "hash",
         F.last(F.when(F.col("reached"), F.struct("offset", "whole")), True).over(upto).alias("owner"),
     ).where("not owner.whole")
-    again = _pieces(spark, path).select("bytes", "hash", "value")
+    owned = durable(owned)
+    wanted = owned.select("bytes", "hash").distinct()
+    if owned.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    again = _pieces(spark, path).select("bytes", "hash", "value").join(wanted, ["bytes", "hash"], "left_semi")
     found = owned.select("file", "offset", "owner", "bytes", "hash").join(
-        again.join(owned.select("bytes", "hash").distinct(), ["bytes", "hash"], "left_semi").dropDuplicates(["bytes", "hash"]),
-        ["bytes", "hash"],
+        again.dropDuplicates(["bytes", "hash"]), ["bytes", "hash"]
     )
     bodies = found.groupBy("file", F.col("owner.offset").alias("offset")).agg(
         F.array_join(
