@@ -51,6 +51,8 @@ def _accumulate(queries: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Scores of all queries and candidates, one term after the other."""
     # sums of integers: exact in 32 bits to 2**24, in 64 to 2**53, beyond that in integers
     most = np.abs(queries).max(axis=0, initial=0) @ np.abs(weights).max(axis=1, initial=0)
+    if most >= 2**63:
+        raise OverflowError("an inner product may not fit in 64 bits: use a smaller scale")
     kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
     queries, weights = queries.astype(kind), weights.astype(kind)
     scores = np.zeros((len(queries), weights.shape[1]), kind)
@@ -83,7 +85,7 @@ def top_k(
     Both tables have (vec_id, embedding). Ties go to the smaller vec_id; candidates with
     the query's id are left out. Vectors that are null or hold a null or non-finite
     component, and rows without vec_id, take no part; where lengths differ, missing
-    components count 0, so an empty vector scores 0. Of queries that share an id one is
+    components count 0, so an empty vector scores 0; products beyond 64 bits are an error. Of queries that share an id one is
     searched; candidates given twice are found twice. Empty tables give no rows.
     """
     terms = integer_terms(F.col("embedding"), scale)
