@@ -1,0 +1,89 @@
+import pytest
+
+from demandloom.llm.html_text import extract_pages, host_paths, page_text, parsed
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def own_text(source):
+    return page_text(source, [])
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("", ""),
+        ("plain text", "plain text"),
+        ("<p>a<p>b", "a\n\nb"),
+        ("<article><h1>T &amp; t</h1><p>x  <b>y</b>z<br>w</p></article>", "T & t\n\nx yz w"),
+        ("<p>a</p><script>var t='</p><p>no</p>'</script><p>b</p>", "a\n\nb"),
+        ("<style>p{}</style><!-- <p>no</p> --><p>&#x41;&eacute;&nbsp;&bogus;</p>", "Aé &bogus;"),
+        ("<body><nav><a href=x>menu</a></nav><p>text</p><footer>f</footer></body>", "text"),
+        ("<div class='cookie-notice'>c</div><div id=sidebar>s</div><p>text</p>", "text"),
+        ("<body class='has-sidebar no-comments'><p>text</p></body>", "text"),
+        ("<article><p>long enough text</p><div class=comments><p>me too</p></div></article>", "long enough text"),
+        ("<header>site</header><article><header><h1>Title</h1></header><p>text of it</p></article>", "Title\n\ntext of it"),
+        ("<article><p>long enough text</p><form><label>mail</label><button>go</button></form></article>", "long enough text"),
+        ("<form><div><p>all in a form</p></div></form>", "all in a form"),
+        ("<ul><li>one<li>two</ul>", "one\n\ntwo"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+        ("<p>cut off <a href='x", "cut off <a href='x"),
+        ("a < b and <b>c</b> > d", "a < b and c > d"),
+        ("<div hidden>no</div><div style='display: none'>no</div><p role=alert>no</p><p>yes</p>", "yes"),
+        ("<article><p>tail", "tail"),
+        ("</div></p>x", "x"),
+    ],
+)
+def test_pages(source, text):
+    assert own_text(source) == text
+
+
+def test_deep_and_long_pages():
+    assert own_text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
+    assert own_text("<b>" * 20_000 + "x") == "x"
+    assert len(own_text("<p>" + "word " * 200_000 + "</p>")) == 999_999
+
+
+ARTICLE = "<div class='post-{0}'><p>{1}</p></div>"
+
+
+def page(i, body, extra):
+    return f"<body><div class='top'>{extra}</div>{ARTICLE.format(i, body)}<div class='more'>{extra}</div></body>"
+
+
+def test_pages_follow_the_paths_of_their_host(spark):
+    long = "words of a long article that say something. " * 20
+    rows = [(i, f"http://H.example/{i}", page(i, long + str(i), "buy now")) for i in range(8)]
+    # alone, this page's best container would be its body
+    rows.append((8, "http://h.example:80/8", page(8, "short", "all our offers of the week in one place")))
+    rows.append((9, "http://other.example/8", page(8, "short", "all our offers of the week in one place")))
+    found = {r.page_id: r for r in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[8].text == "short" and found[8].n_chars == 5
+    assert found[0].text == " ".join((long + "0").split())
+    assert "offers" in found[9].text
+
+
+def test_two_layouts_of_a_host_both_win(spark):
+    long = "words of a long article that say something. " * 20
+    html = [f"<body><div class='a'>{long}</div><i>x</i></body>", f"<body><section class='b'>{long}</section><i>y</i></body>"]
+    rows = [(i, "http://h/", html[i % 2]) for i in range(10)]
+    df = spark.createDataFrame([(r[1][7:], r[2]) for r in rows], "host string, html string").replace("/", "")
+    paths = {r.host: r.paths for r in host_paths(df.selectExpr("'h' as host", "html")).collect()}
+    assert paths == {"h": ["body>div.a", "body>section.b"]}
+    found = extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.text for r in found} == {" ".join(long.split())}
+
+
+def test_nulls_repeats_other_columns_and_empty_tables(spark):
+    rows = [(1, None, "<p>a</p>"), (2, "http://h/", None), (3, "not a url", "<p>b</p>"), (None, "http://h/", "<p>c</p>"),
+            (3, "not a url", "<p>b</p>")]
+    pages = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'p' as paths", "'h' as host", "1 as salt", "'t' as text")
+    found = extract_pages(pages).collect()
+    assert sorted(((r.page_id or 0), r.text) for r in found) == [(0, "c"), (1, "a"), (2, ""), (3, "b"), (3, "b")]
+    assert extract_pages(pages.limit(0)).count() == 0
+
+
+def test_winning_path_is_used_only_where_a_page_has_it():
+    source = "<body><div class='x'><p>text here</p></div></body>"
+    assert page_text(source, ["body>div.y"]) == "text here"
+    assert parsed(source).path(parsed(source).best()) == "body>div.x"
