@@ -22,8 +22,10 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from demandloom.llm.durable import durable
+from demandloom.llm.sampling import smallest_hashes
 from demandloom.llm.words import slices, word_lists
 
 SLICE_BYTES = 8_000_000
@@ -70,7 +72,8 @@ def find_candidates(docs: DataFrame) -> DataFrame:
 
 
 def frequent_words(docs: DataFrame, most: int = DICTIONARY) -> list[tuple[str, int]]:
-    """The corpus's most frequent words of four letters or more, with their counts."""
+    """The corpus's most frequent words of four letters or more, with their counts: all
+    that occur at least so often that no more than ``most`` words do, but not only once."""
 
     def run(batches):
         for batch in batches:
@@ -83,7 +86,12 @@ def frequent_words(docs: DataFrame, most: int = DICTIONARY) -> list[tuple[str, i
                 )
 
     counted = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [tuple(r) for r in counted.orderBy(F.col("n").desc(), "word").limit(most).collect()]
+    counted = durable(counted.where("n > 1"))
+    # one row per number of occurrences; tasks send no words to the driver but those chosen
+    words = F.sum("words").over(Window.orderBy(F.col("n").desc()))
+    kept = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("upto", words).where(F.col("upto") <= most)
+    least = kept.agg(F.min("n")).first()[0]
+    return [] if least is None else [tuple(r) for r in counted.where(F.col("n") >= least).orderBy("word").collect()]
 
 
 @dataclass
@@ -188,10 +196,8 @@ def scan_secrets(
     if labelled is None:
         labelled = findings.withColumn("label", F.col("named"))
     # bounded by ``most``
-    rows = (
-        labelled.where("label is not null").select("path", "candidate", "before", "after", "start", "label")
-        .orderBy(F.xxhash64("candidate", "before", "after"), "candidate", "before", "after", "start").limit(most).collect()
-    )
+    columns = ["path", "candidate", "before", "after", "start", "label"]
+    rows = smallest_hashes(labelled.where("label is not null").select(*columns), columns, most).collect()
     kinds = {r.label for r in rows}
     out = ["doc_id", "start", F.char_length("candidate").alias("length"), F.sha2("candidate", 256).alias("digest"), "path"]
     if len(kinds) < 2:

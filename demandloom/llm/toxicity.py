@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.llm.sampling import smallest_hashes
 from demandloom.llm.words import STEP, mixed, slices, word_lists
 
 SLICE_BYTES = 8_000_000
@@ -203,7 +204,8 @@ def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 8_000) ->
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
     have = docs.where("text is not null").select(F.col("doc_id").alias("id")).distinct()
-    chosen = known.join(have, known.doc_id == have.id, "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    present = known.join(have, known.doc_id == have.id, "left_semi")
+    chosen = smallest_hashes(present, ["doc_id"], most)
     # at most ``most`` rows
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
