@@ -37,7 +37,7 @@ class ToxicityModel:
     shift: float
 
 
-def subwords(names: list[str], buckets: int, at_once: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+def subwords(names: list[str], buckets: int, at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of all subwords, and the word each belongs to; so many words at once that
     the 64-bit arrays in between stay small."""
     found = [_subwords(names[i : i + at_once], buckets) for i in range(0, max(len(names), 1), at_once)]
@@ -66,9 +66,17 @@ def _subwords(names: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.concatenate(words).astype(np.int32)
 
 
+def _sums(to: np.ndarray, of: np.ndarray, values: np.ndarray, n: int, at_once: int = 1 << 20) -> np.ndarray:
+    """Sums of ``values[of]`` by ``to``, some at once to hold few of them."""
+    out = np.zeros(n)
+    for i in range(0, len(to), at_once):
+        out += np.bincount(to[i : i + at_once], values[of[i : i + at_once]], n)
+    return out
+
+
 def _clean(logits: np.ndarray, codes: np.ndarray, text_of: np.ndarray, n: int) -> np.ndarray:
     """Log probability that all words of a text are clean."""
-    return np.bincount(text_of, -np.logaddexp(0, logits)[codes], n)
+    return _sums(text_of, codes, -np.logaddexp(0, logits), n)
 
 
 def _log_odds(clean: np.ndarray) -> np.ndarray:
@@ -108,9 +116,15 @@ def fit_toxicity(
     if not 0 < labels.sum() < len(labels):
         return ToxicityModel(np.zeros(1, np.float32), -20.0, 0.0, float(np.log(mean / (1 - mean))))
     names, codes, offsets = word_lists(texts)
-    rows, words = subwords(names, buckets)
-    bag = np.bincount(words, minlength=len(names))
     text_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
+    # a word that occurs once tells of its text alone; most words do
+    again = np.bincount(codes, minlength=len(names)) > 1
+    text_of, codes = text_of[again[codes]], (np.cumsum(again) - 1).astype(np.int32)[codes[again[codes]]]
+    names = [w for w, kept in zip(names, again) if kept] or ["-"]
+    n_words = len(names)
+    rows, words = subwords(names, buckets)
+    del names
+    bag = np.bincount(words, minlength=n_words)
     learn = np.arange(len(texts)) % 5 != 0
     share = learn / learn.sum()
 
@@ -122,15 +136,15 @@ def fit_toxicity(
 
     def logits():
         margin = table @ (head[:, 1] - head[:, 0])
-        return np.bincount(words, margin[rows], len(names)) / bag + bias
+        return _sums(words, rows, margin, n_words) / bag + bias
 
     for step in range(1, rounds + 1):
         z = logits()
         # of the log likelihood by each text's, then each word's logit
         odds = np.exp(np.clip(-_log_odds(_clean(z, codes, text_of, len(texts))), -30, 30))
         pull = np.where(labels > 0, odds, -1.0) * share
-        by_word = np.bincount(codes, pull[text_of], len(names)) / (1 + np.exp(-z))
-        by_row = np.bincount(rows, (by_word / bag)[words], buckets)
+        by_word = _sums(codes, text_of, pull, n_words) / (1 + np.exp(-z))
+        by_row = _sums(rows, words, by_word / bag, buckets)
         pushed = table.T @ by_row
         slopes = (
             decay * table - np.outer(by_row, head[:, 1] - head[:, 0]),
@@ -154,7 +168,7 @@ def score_texts(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
     """Probability of label 1 for each whole text; texts without words score near 0."""
     names, codes, offsets = word_lists(texts)
     rows, words = subwords(names, len(model.margins))
-    logits = np.bincount(words, model.margins[rows], len(names))
+    logits = _sums(words, rows, model.margins, len(names))
     logits = logits / np.bincount(words, minlength=len(names)) + model.bias
     text_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
     odds = np.clip(_log_odds(_clean(logits, codes, text_of, len(texts))), -30, 30)
@@ -192,7 +206,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 8_000) -> ToxicityModel:
+def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 6_000) -> ToxicityModel:
     """Fit on at most ``most`` labelled rows, those of smallest hash, none held out.
 
     Labels that are null are skipped; of several labels of a document the largest holds.
