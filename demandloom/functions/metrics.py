@@ -73,6 +73,21 @@ def rmsle(y: Column, p: Column) -> Column:
     return F.when(defined, F.sqrt(F.avg(gap * gap)))
 
 
+def marre(y: Column, p: Column) -> Column:
+    """Mean absolute error as a percentage of the actuals' range."""
+    return 100.0 * _guarded(F.avg(F.abs(y - p)), F.max(y) - F.min(y))
+
+
+def ope(y: Column, p: Column) -> Column:
+    """Difference of the totals as a percentage of the actual total."""
+    return 100.0 * F.abs(_guarded(F.sum(y) - F.sum(p), F.sum(y)))
+
+
+def coefficient_of_variation(y: Column, p: Column) -> Column:
+    """Root mean squared error as a percentage of the mean actual."""
+    return 100.0 * _guarded(rmse(y, p), F.avg(y))
+
+
 # name -> metric over (actual, predicted)
 METRICS: dict[str, MetricColumn] = {
     "mae": mae,
@@ -84,11 +99,15 @@ METRICS: dict[str, MetricColumn] = {
     "smape": smape,
     "bias": bias,
     "r2": r2,
+    "r2_score": r2,
     "rmsle": rmsle,
+    "marre": marre,
+    "ope": ope,
+    "coefficient_of_variation": coefficient_of_variation,
 }
 
 # metrics that also need the series' own training history
-SCALED_METRICS = ("mase",)
+SCALED_METRICS = ("mase", "rmsse")
 
 
 @dataclass(frozen=True)

@@ -39,11 +39,12 @@ def paired_with_actuals(test: DataFrame, forecasts: DataFrame, cfg: Settings) ->
 
 
 def training_scale(train: DataFrame, cfg: Settings) -> DataFrame:
-    """Mean absolute one-step change of each series' training days."""
+    """Mean absolute and mean squared one-step change of each series' training days."""
     order = Window.partitionBy(*cfg.groups).orderBy(cfg.time_column)
     change = F.abs(F.col(cfg.target_column) - F.lag(cfg.target_column).over(order))
     steps = train.select(*cfg.groups, change.alias("_change"))
-    return steps.groupBy(*cfg.groups).agg(F.avg("_change").alias("_scale"))
+    squared = F.col("_change") * F.col("_change")
+    return steps.groupBy(*cfg.groups).agg(F.avg("_change").alias("_scale"), F.avg(squared).alias("_square"))
 
 
 def forecast_metrics(
@@ -56,7 +57,7 @@ def forecast_metrics(
     """One row per model, series and metric: (model, *groups, metric, value).
 
     Metrics are names, functions of two columns, or ``PandasMetric`` around a function
-    of two pandas Series. ``mase`` needs the training rows.
+    of two pandas Series. ``mase`` and ``rmsse`` need the training rows.
     """
     return score(paired_with_actuals(test, forecasts, cfg), cfg, metrics, train)
 
@@ -81,10 +82,14 @@ def score(
     scaled = [m for m in metrics if m in SCALED_METRICS]
     if scaled:
         if train is None:
-            raise ValueError("mase needs the training rows: pass train=")
+            raise ValueError(f"{scaled[0]} needs the training rows: pass train=")
         pairs = pairs.join(training_scale(train, cfg), cfg.groups, "left")
-        scale = F.first("_scale")
-        native["mase"] = F.when(scale > 0, F.avg(F.abs(y - p)) / scale)
+        scale, square = F.first("_scale"), F.first("_square")
+        found = {
+            "mase": F.when(scale > 0, F.avg(F.abs(y - p)) / scale),
+            "rmsse": F.when(square > 0, F.sqrt(F.avg((y - p) * (y - p)) / square)),
+        }
+        native |= {name: found[name] for name in scaled}
 
     parts = []
     if native:

@@ -341,15 +341,20 @@ def _extended() -> str:
         "rmsle": "case when min(least(y, p)) > -1.0 then sqrt(avg("
         "power(ln(1 + greatest(y, -0.5)) - ln(1 + greatest(p, -0.5)), 2))) end",
         "mase": "avg(abs(y - p)) / nullif(any_value(scale), 0)",
+        "marre": "100.0 * " + ratio("avg(abs(y - p))", "(max(y) - min(y))").join("()"),
+        "ope": "100.0 * abs(" + ratio("(sum(y) - sum(p))", "sum(y)") + ")",
+        "coefficient_of_variation": "100.0 * " + ratio("sqrt(avg((y - p) * (y - p)))", "avg(y)").join("()"),
+        "rmsse": "sqrt(avg((y - p) * (y - p)) / nullif(any_value(square), 0))",
     }
+    values["r2_score"] = values["r2"]
     rows = "\nunion all\n".join(
         f"select model, {_KEYS}, '{name}' as metric, "
         f"round({value}, {2 if name == 'mse' else 6}) as value from q group by 1, 2, 3"
         for name, value in values.items()
     )
     return sql(
-        f"""select * from (with q as (select p.*, t.scale from a_pairs p left join (
-select {_KEYS}, avg(abs(change)) as scale from (
+        f"""select * from (with q as (select p.*, t.scale, t.square from a_pairs p left join (
+select {_KEYS}, avg(abs(change)) as scale, avg(change * change) as square from (
   select {_KEYS}, sales - lag(sales) over (partition by {_KEYS} order by date) as change
   from a_filled where date <= {TRAIN_END}) c group by {_KEYS}) t
   on t.city = p.city and t.product_id = p.product_id)

@@ -29,7 +29,8 @@ CFG = fx.EVENTS
 
 # Models whose forecasts plain SQL can reproduce.
 ROSTER = roster.DEFAULT_ROSTER
-EXTENDED = ("mae", "mse", "rmse", "mape", "mape_pct", "wmape", "smape", "bias", "r2", "rmsle", "mase")
+EXTENDED = ("mae", "mse", "rmse", "mape", "mape_pct", "wmape", "smape", "bias", "r2", "rmsle", "mase",
+            "r2_score", "marre", "ope", "coefficient_of_variation", "rmsse")
 
 
 def query(function: Query) -> Query:
@@ -65,9 +66,9 @@ def _on_test(arrays):
 
 
 def _scored(spark, d, metrics=None):
-    """Split rows, test forecasts and metrics from series arrays written once."""
+    """Split rows, test forecasts and metrics, from series arrays and forecasts made once."""
     arrays = durable(_arrays(spark, d))
-    on_test = _on_test(arrays)
+    on_test = durable(_on_test(arrays))
     actual = workflow.test_rows(arrays, CFG)
     return arrays, actual, on_test, evaluate.forecast_metrics(actual, on_test, CFG, metrics)
 
@@ -279,14 +280,14 @@ def class_distribution(spark, d):
 
 @query
 def class_samples(spark, d):
-    filled = _filled(spark, d)
+    filled = durable(_filled(spark, d))
     sample = classify.class_samples(filled, classify.demand_classes(filled, CFG), CFG)
     return rounded(sample, "sales", "adi", "cv2")
 
 
 @query
 def erratic_series(spark, d):
-    filled = _filled(spark, d)
+    filled = durable(_filled(spark, d))
     rows = classify.class_samples(
         filled, classify.demand_classes(filled, CFG), CFG, per_class=None, only="erratic"
     )
