@@ -38,3 +38,11 @@ def parts_for(spark: SparkSession, amount: int, each: int) -> int:
     than the session's shuffle partitions, which all get work."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(least, math.ceil((amount or 0) / each))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder, for tables that a
+    checkpoint, which does not pack columns, would make much larger."""
+    path = fresh(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
