@@ -56,8 +56,41 @@ select query_id, cast(row_number() over (partition by query_id order by score de
        vec_id, score
 from s qualify rank <= 5"""
 
+COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+f as (
+  select lang, array_to_string(p, ' ') as phrase, len(p) as words, count(*) as f
+  from (select lang, unnest(list_concat([w[i : i] for i in range(1, len(w) + 1)],
+                 [w[i : i + 1] for i in range(1, len(w))], [w[i : i + 2] for i in range(1, len(w) - 1)])) as p from words)
+  group by lang, phrase, words),
+total as (select lang, cast(sum(f) as bigint) as n from f where words = 1 group by lang),
+c as (select lang, phrase, words, f as a, string_split(phrase, ' ') as w from f where words >= 2 and f >= 10),
+cuts as (select *, unnest(range(1, words)) as k from c),
+scored as (
+  select cuts.lang, cuts.phrase, cuts.a, k, x.f as l, y.f as r,
+         cast((1000000::hugeint * a * a) // (x.f::hugeint * y.f) as bigint) as score
+  from cuts
+  join f x on x.lang = cuts.lang and x.phrase = array_to_string(w[1 : k], ' ')
+  join f y on y.lang = cuts.lang and y.phrase = array_to_string(w[k + 1 :], ' ')
+  qualify row_number() over (partition by cuts.lang, cuts.phrase order by score, k) = 1),
+held as (
+  select lang, phrase, max(a) as held
+  from (select lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) as phrase
+        from c where words = 3)
+  group by lang, phrase),
+kept as (
+  select scored.* from scored left join held using (lang, phrase) where held is null or 100 * held < 50 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join total using (lang) qualify rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op2_warc": WARC,
     "op9_exact_topk": TOP_K,
+    "op12_collocations": COLLOCATIONS,
 }

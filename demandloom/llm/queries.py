@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.llm.collocations import collocations
 from demandloom.llm.decontamination import contaminated
 from demandloom.llm.durable import fresh
 from demandloom.llm.html_text import extract_pages
@@ -13,6 +15,9 @@ from demandloom.llm.line_dedup import line_groups
 from demandloom.llm.mixing import mix
 from demandloom.llm.ngram_join import ngram_components
 from demandloom.llm.secret_scan import scan_secrets
+from demandloom.llm.token_alignment import token_alignment
+from demandloom.llm.token_counts import token_counts
+from demandloom.llm.tokenizers import TokenizerFile
 from demandloom.llm.topk_search import top_k
 from demandloom.llm.toxicity import held_out, toxicity_scores, train_from_labels
 from demandloom.llm.warc import read_archives, write_archives
@@ -71,6 +76,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # strings of special tokens inside texts are plain text here
+    a = TokenizerFile.read(public_tokenizers.path("byte_bpe_50k.json"), special_as_text=True)
+    b = TokenizerFile.read(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations(_table(spark, sf_dir, "documents"), longest=3, support=10, most=2000, absorbed=50)
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = TokenizerFile.read(public_tokenizers.path("word_bpe_49k.json"))
+    # a cache of its own, so that every run encodes all distinct texts
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer, fresh(spark, "token-cache"), limit=2048)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_warc": op2_warc,
@@ -82,4 +105,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_exact_topk": op9_exact_topk,
     "op10_license_scan": op10_license_scan,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_token_counts": op13_token_counts,
 }
