@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm.durable import stored
-from demandloom.llm.tokenizers import TokenizerFile, seams
+from demandloom.llm.tokenizers import ENDS, SEAM, TokenizerFile
 from demandloom.llm.words import slices
 
 SLICE_BYTES = 1 << 20  # of texts aligned at once
-PART_CHARS = 1 << 20  # longer texts are encoded in parts
+TOGETHER = 8192  # words encoded as one text
+KNOWN_PARTS = 1 << 17  # parts of texts whose alignment a task remembers
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<long>"
 
@@ -95,79 +96,150 @@ def _left(ends_a, ends_b, at, first_a, first_b):
 
 
 class _Side:
-    """One tokenizer in a task: encodes texts and knows its tokens' bytes."""
+    """One tokenizer in a task, and how long its tokens are."""
 
     def __init__(self, tokenizer: TokenizerFile):
         self.tokenizer = tokenizer
         self.bytes = tokenizer.token_bytes()
         self.lengths = np.array([len(b) for b in self.bytes])
 
-    def encoded(self, parts: list[str]) -> list[list[int]]:
-        return [self.tokenizer.ids_of(e) for e in self.tokenizer.encode(parts)]
-
-    def spells(self, ids: list[int], wanted: bytes) -> bool:
-        return b"".join(map(self.bytes.__getitem__, ids)) == wanted
-
-
-def _token_lists(texts: list[str], sides) -> list[tuple[list[int], list[int]]]:
-    """Both sides' token ids per text; none where they do not spell a space and the text."""
-    parts, owners = [], []
-    for i, text in enumerate(texts):
-        if text:
-            cut = seams(text, PART_CHARS)
-            # every part but the first begins with its space, as the first does for one side
-            parts += [" " + cut[0], *cut[1:]]
-            owners += [i] * len(cut)
-    found = [([], []) for _ in texts]
-    for side, own in enumerate(sides):
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of a text behind a space."""
         # the pieces' model puts the space there itself
-        given = [p[1:] for p in parts] if own.tokenizer.is_pieces else parts
-        for i, ids in zip(owners, own.encoded(given)):
-            found[i][side].extend(ids)
-    for i, text in enumerate(texts):
-        if text and not all(own.spells(ids, b" " + text.encode()) for own, ids in zip(sides, found[i])):
-            found[i] = ([], [])
-    return found
-
-
-def _aligned(texts: list[str], sides, spelled) -> list[tuple]:
-    """(n_a, n_b, n_groups, n_links, groups_sha256, links) of each text."""
-    lists = _token_lists(texts, sides)
-    rows = [(0, 0, 0, 0, "", [])] * len(texts)
-    full = [i for i, (a, _) in enumerate(lists) if a]
-    if not full:
+        given = text if self.tokenizer.is_pieces else " " + text
+        return np.array(self.tokenizer.ids_of(self.tokenizer.encode([given])[0]), np.int64)
+
+    def marks(self, marks: str) -> np.ndarray:
+        """Ids of marks right behind a letter."""
+        # behind one letter, whose own tokens are left out
+        return self.ids("a" + marks)[len(self.ids("a")) :]
+
+    def spell(self, ids: np.ndarray, wanted: bytes) -> bool:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == wanted
+
+    def words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The words that the tokens spell, their ids one behind the other, and how many tokens
+        there are up to the end of each. All are encoded as one text, with seams between them;
+        where that is not spelled, halves of it."""
+        if not words:
+            return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        text = " ".join(words)
+        ids = self.ids(text)
+        if self.spell(ids, b" " + text.encode()):
+            ends = np.cumsum([len(w.encode()) + 1 for w in words])
+            return words, ids, np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+        half = len(words) // 2
+        if not half:
+            return self.words([])
+        (left, ids, upto), (right, more, after) = self.words(words[:half]), self.words(words[half:])
+        return left + right, np.concatenate([ids, more]), np.concatenate([upto, after + len(ids)])
+
+
+# the groups of a text or part of one, each followed by a semicolon; its links, as bytes; and
+# its tokens on both sides
+Found = tuple[str, bytes, int, int]
+
+
+class _Pair:
+    """Both tokenizers in a task.
+
+    Texts are taken in parts, between spaces that no token of either crosses: each begins and
+    ends at shared cuts. Marks behind words are apart for the same reason. What a part's
+    alignment is, is remembered, so most parts are aligned once in a task.
+    """
+
+    def __init__(self, a: TokenizerFile, b: TokenizerFile):
+        self.sides = (_Side(a), _Side(b))
+        self.cut = a.cuts_at_seams and b.cuts_at_seams
+        self.marks_apart = self.cut and a.marks_apart and b.marks_apart
+        tokens = max(len(side.bytes) for side in self.sides)
+        # ids in decimal with what follows them: a's inside and at the end of a group, b's alike
+        self.told = [f"{i}{mark}" for i in range(tokens) for mark in (",", "|", ",", ";")]
+        self.known: dict[str, Found | None] = {}
+        self.known_words: dict[str, Found | None] = {}
+
+    def grouped(self, ids, upto) -> list[Found]:
+        """The groups of several parts; ``upto`` counts the tokens up to each part's end."""
+        a, b = ids
+        ends = [np.cumsum(side.lengths[i]) for side, i in zip(self.sides, ids)]
+        cut_a, cut_b = shared_cuts(*ends, *upto)
+        links = (a[cut_a] * len(self.sides[1].bytes) + b[cut_b]).tobytes()
+        # a's tokens come before b's in a group: each moves behind the other side's earlier ones
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[cut_a], last_b[cut_b] = 1, 1
+        before_b = np.append(0, cut_b + 1)[np.cumsum(last_a) - last_a]
+        before_a = (cut_a + 1)[np.cumsum(last_b) - last_b]
+        codes = np.zeros(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + before_b] = a * 4 + last_a
+        codes[np.arange(len(b)) + before_a] = b * 4 + 2 + last_b
+        pieces = list(map(self.told.__getitem__, codes.tolist()))
+        links_upto = np.searchsorted(cut_a, upto[0] - 1) + 1
+        found, token, link, n_a, n_b = [], 0, 0, 0, 0
+        for to_a, to_b, to_link in zip(upto[0].tolist(), upto[1].tolist(), links_upto.tolist()):
+            found.append(("".join(pieces[token : to_a + to_b]), links[8 * link : 8 * to_link], to_a - n_a, to_b - n_b))
+            token, link, n_a, n_b = to_a + to_b, to_link, to_a, to_b
+        return found
+
+    def words(self, words: list[str]) -> dict[str, Found]:
+        """The alignment of those words that both sides spell."""
+        kept, a, upto_a = self.sides[0].words(words)
+        spelt, b, upto_b = self.sides[1].words(kept)
+        if not spelt:
+            return {}
+        if len(spelt) < len(kept):
+            spelt, a, upto_a = self.sides[0].words(spelt)
+        return dict(zip(spelt, self.grouped((a, b), (upto_a, upto_b))))
+
+    def marks(self, marks: str) -> Found | None:
+        ids = [side.marks(marks) for side in self.sides]
+        if not all(side.spell(i, marks.encode()) for side, i in zip(self.sides, ids)):
+            return None
+        return self.grouped(ids, [np.array([len(i)]) for i in ids])[0]
+
+    def learn(self, parts: set[str]) -> None:
+        """Remember the alignment of these parts."""
+        unmet = [p for p in parts if p not in self.known]
+        if len(self.known) + len(unmet) > KNOWN_PARTS:
+            self.known.clear()
+            unmet = list(parts)
+        if len(self.known_words) + len(unmet) > KNOWN_PARTS:
+            self.known_words.clear()
+        if not self.cut:
+            for p in unmet:
+                self.known[p] = self.words([p]).get(p)
+            return
+        words = [p.rstrip(ENDS) for p in unmet] if self.marks_apart else unmet
+        # marks that do not follow a letter are part of the word
+        words = [w if w and w[-1].isalpha() else p for w, p in zip(words, unmet)]
+        new = list({w for w in words if w not in self.known_words})
+        # the library needs a hundred times the memory of what it encodes at once
+        for start in range(0, len(new), TOGETHER):
+            some = new[start : start + TOGETHER]
+            found = self.words(some)
+            self.known_words.update((w, found.get(w)) for w in some)
+        behind = {m: self.marks(m) for m in {p[len(w) :] for w, p in zip(words, unmet)} if m}
+        for p, w in zip(unmet, words):
+            word = self.known_words[w]
+            if len(w) < len(p):
+                mark = behind[p[len(w) :]]
+                word = word and mark and (word[0] + mark[0], word[1] + mark[1], word[2] + mark[2], word[3] + mark[3])
+            self.known[p] = word
+
+    def aligned(self, texts: list[str]) -> list[tuple]:
+        """(n_a, n_b, n_groups, n_links, groups_sha256, links) of each text."""
+        parts = [(SEAM.split(t) if self.cut else [t]) if t else [] for t in texts]
+        self.learn({p for own in parts for p in own})
+        rows = []
+        for own in parts:
+            found = [self.known[p] for p in own]
+            if not found or None in found:
+                rows.append((0, 0, 0, 0, "", np.zeros(0, np.int64)))
+                continue
+            told = "".join([f[0] for f in found])[:-1]
+            links = np.frombuffer(b"".join([f[1] for f in found]), np.int64)
+            n_a, n_b = sum([f[2] for f in found]), sum([f[3] for f in found])
+            rows.append((n_a, n_b, len(links), len(links), hashlib.sha256(told.encode()).hexdigest(), links))
         return rows
-    ids = [np.concatenate([np.array(lists[i][side], np.int64) for i in full]) for side in (0, 1)]
-    ends = [np.cumsum(own.lengths[i]) for own, i in zip(sides, ids)]
-    docs = [np.cumsum([len(lists[i][side]) for i in full]) for side in (0, 1)]
-    cut_a, cut_b = shared_cuts(*ends, *docs)
-    links = ids[0][cut_a] * len(sides[1].bytes) + ids[1][cut_b]
-    # a's tokens come before b's in a group: each moves behind the other side's earlier ones
-    group_a = np.searchsorted(cut_a, np.arange(len(ids[0])))
-    group_b = np.searchsorted(cut_b, np.arange(len(ids[1])))
-    codes = np.zeros(len(ids[0]) + len(ids[1]), np.int64)
-    before_b = np.append(0, cut_b + 1)[group_a]
-    before_a = (cut_a + 1)[group_b]
-    last_a, last_b = np.zeros(len(ids[0]), np.int64), np.zeros(len(ids[1]), np.int64)
-    last_a[cut_a], last_b[cut_b] = 1, 1
-    codes[np.arange(len(ids[0])) + before_b] = ids[0] * 4 + last_a
-    codes[np.arange(len(ids[1])) + before_a] = ids[1] * 4 + 2 + last_b
-    of_doc = np.searchsorted(cut_a, docs[0] - 1) + 1
-    all_before = docs[0] + docs[1]
-    start = group = 0
-    for i, end, groups in zip(full, all_before.tolist(), of_doc.tolist()):
-        told = "".join(map(spelled.__getitem__, codes[start:end].tolist()))[:-1]
-        rows[i] = (
-            len(lists[i][0]), len(lists[i][1]), groups - group, groups - group,
-            hashlib.sha256(told.encode()).hexdigest(), links[group:groups],
-        )
-        start, group = end, groups
-    return rows
-
-
-def _spelled(tokens: int) -> list[str]:
-    """Ids in decimal with what follows them: a's inside and at the end of a group, b's alike."""
-    return [f"{i}{mark}" for i in range(tokens) for mark in (",", "|", ",", ";")]
 
 
 def _aligner(a: TokenizerFile, b: TokenizerFile):
@@ -177,12 +249,11 @@ def _aligner(a: TokenizerFile, b: TokenizerFile):
     ])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = (_Side(a), _Side(b))
-        spelled = _spelled(max(len(s.bytes) for s in sides))
+        pair = _Pair(a, b)
         for batch in batches:
             texts = batch.column("text")
             for start, length in slices(texts, SLICE_BYTES):
-                rows = _aligned(pc.fill_null(texts.slice(start, length), "").to_pylist(), sides, spelled)
+                rows = pair.aligned(pc.fill_null(texts.slice(start, length), "").to_pylist())
                 columns = [batch.column("doc_id").slice(start, length).cast(pa.int64())]
                 columns += [pa.array([r[k] for r in rows], fields.field(k + 1).type) for k in range(6)]
                 yield pa.RecordBatch.from_arrays(columns, schema=fields)
@@ -244,15 +315,15 @@ def token_alignment(docs: DataFrame, a: TokenizerFile, b: TokenizerFile) -> Data
         for batch in batches:
             links = batch.column("links")
             lengths = pc.fill_null(pc.list_value_length(links), 0).to_numpy(zero_copy_only=False)
-            place = np.searchsorted(pairs, links.flatten().to_numpy(zero_copy_only=False))
+            flat = links.flatten().to_numpy(zero_copy_only=False)
             upto = np.append(0, np.cumsum(lengths))
-
-            def per_text(values):
-                total = np.append(0, np.cumsum(values, dtype=np.int64))
-                return pa.array(total[upto[1:]] - total[upto[:-1]])
-
+            sums = np.zeros((len(lengths), 2), np.int64)
+            # texts one by one, so that no more than a text's links are looked up at once
+            for i in np.flatnonzero(lengths):
+                place = np.searchsorted(pairs, flat[upto[i] : upto[i + 1]])
+                sums[i] = np.count_nonzero(is_best[place]), counts[place].sum()
             found = {n: batch.column(n) for n in names if n in batch.schema.names}
-            found |= {"n_best": per_text(is_best[place]), "count_sum": per_text(counts[place])}
+            found |= {"n_best": pa.array(sums[:, 0]), "count_sum": pa.array(sums[:, 1])}
             yield pa.RecordBatch.from_arrays([found[n] for n in names], names=names)
 
     kinds = ", ".join(f"{n} {'string' if n == 'groups_sha256' else 'long'}" for n in names)

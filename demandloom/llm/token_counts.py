@@ -5,6 +5,9 @@ its library and its settings apart, digest is the SHA-256 of a text as the token
 Documents meet the cache by digest; each distinct text that is not there is encoded once,
 by one of the documents that have it, and its count is appended. A digest that was appended
 twice (two runs at once) counts once.
+
+Within a task texts are encoded in parts, cut where no token can cross; parts met before are
+not encoded again.
 """
 
 from __future__ import annotations
@@ -18,12 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm.durable import stored
-from demandloom.llm.tokenizers import TokenizerFile, seams
+from demandloom.llm.tokenizers import TokenizerFile
 from demandloom.llm.words import slices
 
 CACHE = "version string, digest binary, n_tokens long"
 SLICE_BYTES = 1 << 20  # of texts encoded at once
-PART_CHARS = 1 << 20  # longer texts are encoded in parts
+KNOWN_PARTS = 1 << 20  # parts of texts whose counts a task remembers
 
 
 def content_digest(text: Column, tokenizer: TokenizerFile) -> Column:
@@ -52,22 +55,19 @@ def _encoder(tokenizer: TokenizerFile):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # rows given twice meet in one task
+        known: dict[str, int] = {}  # most parts of texts are words met before
         for batch in batches:
             digests = batch.column("digest").to_pylist()
             new = [i for i, d in enumerate(digests) if not (d in seen or seen.add(d))]
             batch = batch.take(pa.array(new, pa.int64()))
             texts = batch.column("text")
             for start, length in slices(texts, SLICE_BYTES):
-                counts = [0] * length
-                parts, owners = [], []
-                for i, text in enumerate(pc.fill_null(texts.slice(start, length), "").to_pylist()):
-                    cut = seams(text, PART_CHARS)
-                    # a sentencepiece model puts the space at a part's start itself
-                    cut = [cut[0], *(p[1:] if tokenizer.is_pieces else p for p in cut[1:])]
-                    parts += cut
-                    owners += [i] * len(cut)
-                for i, found in zip(owners, tokenizer.encode(parts)):
-                    counts[i] += len(found)
+                parts = [tokenizer.words(t) for t in pc.fill_null(texts.slice(start, length), "").to_pylist()]
+                unmet = list({p for text in parts for p in text if p not in known})
+                known.update(zip(unmet, map(len, tokenizer.encode(unmet))))
+                counts = [sum(map(known.__getitem__, text)) for text in parts]
+                if len(known) > KNOWN_PARTS:
+                    known.clear()
                 digests = batch.column("digest").slice(start, length)
                 yield pa.RecordBatch.from_arrays([digests.cast(pa.binary()), pa.array(counts, pa.int64())], schema=out)
 

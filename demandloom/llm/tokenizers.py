@@ -6,11 +6,18 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from dataclasses import dataclass, field
+from functools import cached_property
 
-# a space between letters: every tokenizer here starts a token at it, and none joins what is
-# before it to what follows
-SEAM = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+# a single space between other characters: the tokenizers here begin a token at it or drop it,
+# and no token reaches across
+SEAM = re.compile(r"(?<=\S) (?=\S)")
+ENDS = ".,;:!?"  # marks behind a word
+# letters, with apostrophes between them, and what lies between such words
+ASCII_WORDS = re.compile(r"[A-Za-z]+(?:'[A-Za-z]+)*|[^A-Za-z]+")
+WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\W\d_]+")
+LONE_APOSTROPHE = re.compile(r"(?<![^\W\d_])'|'(?![^\W\d_])")
 
 
 @dataclass(frozen=True)
@@ -86,6 +93,71 @@ class TokenizerFile:
             return self.built().encode(texts, num_threads=1)
         return self.built().encode_batch_fast(texts, add_special_tokens=False)
 
+    @cached_property
+    def cuts_at_seams(self) -> bool:
+        """Whether the parts of a text between its seams are encoded as in the text.
+
+        A pieces' model must know no piece with a space behind another character. Others must
+        split texts by a pattern that leaves spaces out or puts them at the start of words.
+        """
+        if self.is_pieces:
+            model = self.built()
+            pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+            return not any(a != "▁" and b == "▁" for p in pieces for a, b in zip(p, p[1:]))
+        pre = json.loads(self.content).get("pre_tokenizer") or {}
+        return self._apart is not None or (pre.get("type") == "ByteLevel" and pre.get("use_regex", True))
+
+    @cached_property
+    def marks_apart(self) -> bool:
+        """Whether marks behind a letter are encoded apart from the word."""
+        if not self.cuts_at_seams:
+            return False
+        if not self.is_pieces:
+            return True
+        model = self.built()
+        pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+        return not any(a.isalpha() and b in ENDS for p in pieces for a, b in zip(p, p[1:]))
+
+    def seams(self, text: str) -> list[str]:
+        """The parts of a text between its seams."""
+        return SEAM.split(text) if self.cuts_at_seams else [text]
+
+    def at_seams(self, text: str) -> list[str]:
+        """The text in parts whose encodings, one behind the other, are that of the text."""
+        first, *rest = self.seams(text)
+        # a sentencepiece model puts the space before a part itself
+        return [first, *(rest if self.is_pieces else [" " + part for part in rest])]
+
+    @cached_property
+    def _apart(self) -> tuple[str, ...] | None:
+        """Strings of special tokens, where the tokenizer takes runs of letters for words of their
+        own and drops white space; else None."""
+        if self.is_pieces:
+            return None
+        told = json.loads(self.content)
+        steps = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if not any(
+            s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")
+            and r"[\p{L}]+" in s["pattern"].get("Regex", "").split("|") for s in steps
+        ):
+            return None
+        return tuple(t["content"] for t in told.get("added_tokens", []))
+
+    def words(self, text: str) -> list[str]:
+        """As ``at_seams``, in smaller parts where the tokenizer allows: words and what lies
+        between them.
+
+        Not so where one could change the other: special tokens hold both, apostrophes that begin
+        a word may belong to it or not, and characters may be composed across a cut.
+        """
+        special = self._apart
+        if (
+            special is None or any(t in text for t in special) or "'" in text and LONE_APOSTROPHE.search(text)
+            or not unicodedata.is_normalized("NFC", text) or "\u03a3" in text
+        ):
+            return self.at_seams(text)
+        return (ASCII_WORDS if text.isascii() else WORDS).findall(text) or [""]
+
     def ids_of(self, encoded) -> list[int]:
         return encoded if self.is_pieces else encoded.ids
 
@@ -112,18 +184,3 @@ def _byte_of() -> dict[str, int]:
     plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
     others = [b for b in range(256) if b not in plain]
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
-
-
-def seams(text: str, most: int) -> list[str]:
-    """The text in parts of about ``most`` characters, cut before spaces between letters, so
-    that very long texts are not encoded at once. A text without such a place stays whole."""
-    if len(text) <= most:
-        return [text]
-    parts, start = [], 0
-    while len(text) - start > most:
-        found = SEAM.search(text, start + most)
-        if found is None:
-            break
-        parts.append(text[start : found.start()])
-        start = found.start()
-    return [*parts, text[start:]]

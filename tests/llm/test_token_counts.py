@@ -80,3 +80,23 @@ def test_given_documents(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert found(docs.withColumn("digest", docs.source), fresh(spark, "cache")) == brute(rows)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_parts_have_the_tokens_of_the_text(spark, name):
+    tokenizer = TokenizerFile.read(public_tokenizers.path(name))
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").collect()]
+    texts += [t for _, t in TEXTS if t] + ["a b", "a  b", " a b ", "é b c", "b é", "á b ́c", "it 's I ll", "x <|endoftext|> y z", "a.b,c-d(e)f_g/h1i2", "a.\tb", "l'été.d'un 's 'x", "it's.'s", "ΑΣ Σ", "e\u0301 a\u0301b", "x²½Ⅷ9٣y", "straße İI ǅ"]
+    for text in texts:
+        for parts in (tokenizer.at_seams(text), tokenizer.words(text)):
+            together = [i for e in tokenizer.encode(parts) for i in tokenizer.ids_of(e)]
+            assert together == list(tokenizer.ids_of(tokenizer.encode([text])[0]))
+
+
+def test_counts_without_memory_are_the_same(spark, monkeypatch):
+    import demandloom.llm.token_counts as module
+
+    monkeypatch.setattr(module, "KNOWN_PARTS", 0)
+    monkeypatch.setattr(module, "SLICE_BYTES", 10)
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    assert found(df, fresh(spark, "cache")) == brute(TEXTS)
