@@ -5,12 +5,13 @@ at least ``support / shards`` times by one shard, so every shard is mined comple
 lowered support, and what is frequent in some shard is a candidate. A second pass counts all
 candidates over the whole corpus, by their words, and keeps those with the full support.
 
-A shard is any number of input partitions, and is mined by a distributed count: tasks count the
-phrases of slices of text exactly, and Spark sums the counts per shard and phrase hash. Hashes
-only choose candidates: two phrases with one hash could make more candidates, never fewer. The
-second pass knows the candidates by a bitmap of fixed size; a phrase that passes it by chance is
-counted like the others and falls by its count. So the broadcast does not grow with the corpus,
-and counts are those of the words themselves.
+A shard is any number of input partitions. Tasks count the phrases of slices of text exactly,
+merge the counts of their slices, and send them on by hash in buckets, whose number grows with
+the text; where a bucket's counts meet they are summed per shard. Hashes only choose
+candidates: two phrases with one hash could make more candidates, never fewer. The second pass
+knows the candidates by a bitmap of fixed size, of which each bucket has a part; a phrase that
+passes it by chance is counted like the others and falls by its count. So the broadcast does
+not grow with the corpus, and counts are those of the words themselves.
 """
 
 from __future__ import annotations
@@ -27,14 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandloom.llm.durable import stored
+from demandloom.llm.durable import parts_for, stored
 from demandloom.llm.words import STEP, mixed, slices
 
-SHARDS = 4
-SLICE_BYTES = 4 << 20  # of text counted at once
+SHARDS = 2
+SLICE_BYTES = 1 << 20  # of text counted at once
+MERGED = 1 << 20  # counts of slices that a task merges before they leave it
+BUCKET_BYTES = 8 << 20  # of text for each bucket
+MOST = 255  # counts in a shard are told apart up to here
 UNKNOWN = "und"
 BITS = 27  # the bitmap of candidates has 2 ** BITS bits
-CHUNK = 10  # and travels in chunks of 2 ** CHUNK words of 64 bits
 SALT = 16  # parts in which the first phrases of a language are looked for
 
 # What separates pieces and words
@@ -98,60 +101,109 @@ def _slices(batches: Iterator[pa.RecordBatch]):
                 yield lang, _Slice(own.slice(start, length).to_pylist())
 
 
-def _shard_counter(shards: int, longest: int):
+def _bucketed(key: np.ndarray, buckets: int):
+    """The bucket of each key, and 32 bits that tell keys of a bucket apart."""
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), key.astype(np.uint32)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray):
+    """Distinct keys in order, and the sums of their counts, up to MOST."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(counts, first) if len(keys) else counts
+    return keys[first], np.minimum(sums, MOST).astype(np.uint8)
+
+
+def _shard_counter(shards: int, longest: int, buckets: int):
+    def sent(shard: int, held: list) -> pa.RecordBatch:
+        keys, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
+        bucket, low = _bucketed(keys, buckets)
+        # keys in order lie in order of buckets
+        ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1
+        starts = np.append(0, ends[:-1])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[starts]), pa.array(np.full(len(starts), shard, np.int32)),
+                pa.array([low[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+                pa.array([counts[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+            ],
+            names=["bucket", "shard", "keys", "counts"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
+        held, size = [], 0
         for lang, part in _slices(batches):
             hashes = part.hashes()
             for columns, counts in part.phrases(longest):
-                key = _keys(lang, hashes, columns).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(np.full(len(key), shard, np.int32)), pa.array(counts.astype(np.int64))],
-                    names=["key", "shard", "n"],
-                )
+                if len(columns):
+                    held.append((_keys(lang, hashes, columns), np.minimum(counts, MOST).astype(np.uint8)))
+                    size += len(columns)
+            if size >= MERGED:
+                yield sent(shard, held)
+                held, size = [], 0
+        if held:
+            yield sent(shard, held)
 
     return count
 
 
-def _bits(key: np.ndarray):
-    """Two places of a key in the bitmap: (word, bit) from different bits of the key."""
-    key, words = key.astype(np.uint64), np.uint64((1 << (BITS - 6)) - 1)
-    yield (key >> np.uint64(70 - BITS)) & words, key & np.uint64(63)
-    yield (key >> np.uint64(76 - 2 * BITS)) & words, (key >> np.uint64(6)) & np.uint64(63)
-
-
-def _bitmap(candidates: DataFrame) -> np.ndarray:
-    """The bitmap of all candidates' keys; its size does not depend on their number."""
-    words = F.lit((1 << (BITS - 6)) - 1).cast("long")
-    key = F.col("key")
-    one = F.lit(1).cast("long")
-    places = F.array(
-        F.struct(F.shiftrightunsigned(key, 70 - BITS).bitwiseAND(words).alias("word"), key.bitwiseAND(F.lit(63)).cast("int").alias("bit")),
-        F.struct(
-            F.shiftrightunsigned(key, 76 - 2 * BITS).bitwiseAND(words).alias("word"),
-            F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(63)).cast("int").alias("bit"),
-        ),
-    )
-    set_ = (
-        candidates.select(F.inline(places))
-        .select("word", F.call_function("shiftleft", one, F.col("bit")).alias("set"))
-        .groupBy("word").agg(F.bit_or("set").alias("set"))
-        .withColumn("chunk", F.shiftright("word", CHUNK))
-    )
+def _places(low: np.ndarray, size: int):
+    """Two bits of a bucket's part of the bitmap, of ``size`` bits, for each key."""
+    for odd in (0x9E3779B1, 0x85EBCA77):
+        yield (low * np.uint32(odd)).astype(np.uint64) * np.uint64(size) >> np.uint64(32)
+
+
+def _miner(local: int, size: int):
+    def mine(key: tuple, parts: pa.Table) -> pa.Table:
+        bits = np.zeros(size, bool)
+        shards = parts.column("shard").to_numpy()
+        for shard in np.unique(shards):
+            own = parts.filter(pa.array(shards == shard))
+            keys, counts = _summed(
+                np.concatenate([np.frombuffer(x, np.uint32) for x in own.column("keys").to_pylist()]),
+                np.concatenate([np.frombuffer(x, np.uint8) for x in own.column("counts").to_pylist()]),
+            )
+            for place in _places(keys[counts >= local], size):
+                bits[place] = True
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    return mine
 
-    def pack(rows: pa.Table) -> pa.Table:
-        chunk = np.zeros(1 << CHUNK, np.int64)
-        chunk[rows.column("word").to_numpy() & ((1 << CHUNK) - 1)] = rows.column("set").to_numpy()
-        return pa.table({"chunk": rows.column("chunk").slice(0, 1), "words": pa.array([chunk.tobytes()], pa.binary())})
 
-    packed = set_.groupBy("chunk").applyInArrow(pack, "chunk long, words binary").toArrow()
-    bitmap = np.zeros(1 << (BITS - 6), np.uint64)
-    for chunk, content in zip(packed.column("chunk").to_pylist(), packed.column("words").to_pylist()):
-        bitmap[chunk << CHUNK : (chunk + 1) << CHUNK] = np.frombuffer(content, np.uint64)
-    return bitmap
+class _Candidates:
+    """The bitmap: which phrases some shard may hold often enough."""
 
+    def __init__(self, buckets: int, found: pa.Table):
+        self.buckets, self.size = buckets, part_bits(buckets)
+        self.bits = np.zeros((buckets, self.size // 8), np.uint8)
+        for bucket, bits in zip(found.column("bucket").to_pylist(), found.column("bits").to_pylist()):
+            self.bits[bucket] = np.frombuffer(bits, np.uint8)
 
-def _phrase_counter(bitmap, longest: int):
+    def hold(self, key: np.ndarray) -> np.ndarray:
+        bucket, low = _bucketed(key, self.buckets)
+        kept = np.ones(len(key), bool)
+        for place in _places(low, self.size):
+            kept &= (self.bits[bucket, place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 > 0
+        return kept
+
+
+def part_bits(buckets: int) -> int:
+    """Bits of the bitmap for each bucket; all of them together do not grow."""
+    return max(8, (1 << BITS) // buckets // 8 * 8)
+
+
+def candidates(texts: DataFrame, longest: int, support: int, shards: int) -> _Candidates:
+    """What is frequent in a shard of (lang, text) rows, at the support lowered in proportion."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
+    buckets = parts_for(texts.sparkSession, size, BUCKET_BYTES)
+    counted = texts.mapInArrow(_shard_counter(shards, longest, buckets), "bucket long, shard int, keys binary, counts binary")
+    mine = _miner(-(-support // shards), part_bits(buckets))
+    return _Candidates(buckets, counted.groupBy("bucket").applyInArrow(mine, "bucket long, bits binary").toArrow())
+
+
+def _phrase_counter(found, longest: int):
     fields = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +211,17 @@ def _phrase_counter(bitmap, longest: int):
             hashes = part.hashes()
             names = pa.array(part.names, pa.binary()).cast(pa.string())
             for columns, counts in part.phrases(longest):
-                if columns.shape[1] == 1:  # all words of the language, under no phrase
+                n = columns.shape[1]
+                if n == 1:  # all words of the language, under no phrase
                     yield _rows(fields, lang, pa.array([""]), 0, np.array([counts.sum()]))
-                kept = np.ones(len(columns), bool)
-                for word, bit in _bits(_keys(lang, hashes, columns)):
-                    kept &= (bitmap.value[word] >> bit) & np.uint64(1) > 0
-                columns, counts = columns[kept], counts[kept]
+                # no phrase is more frequent than what it holds
+                for length in range(1, n + 1):
+                    for start in range(n - length + 1):
+                        kept = found.value.hold(_keys(lang, hashes, columns[:, start : start + length]))
+                        columns, counts = columns[kept], counts[kept]
                 if len(columns):
-                    words = [names.take(pa.array(columns[:, k])) for k in range(columns.shape[1])]
-                    yield _rows(fields, lang, pc.binary_join_element_wise(*words, " "), columns.shape[1], counts)
+                    words = [names.take(pa.array(columns[:, k])) for k in range(n)]
+                    yield _rows(fields, lang, pc.binary_join_element_wise(*words, " "), n, counts)
 
     return count
 
@@ -188,19 +242,14 @@ def frequent_phrases(docs: DataFrame, longest: int, support: int, shards: int =
     phrases lie within pieces, and overlapping occurrences count. Null texts are empty, a null
     language is ``und``; a row given twice counts twice; an empty table has no phrases.
     """
-    if not 1 <= shards <= support:
-        raise ValueError("shards must be between 1 and the support")
+    if not 1 <= shards <= support <= MOST * shards:
+        raise ValueError(f"shards must be between 1 and the support, the support at most {MOST} times that")
     texts = docs.select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
-    local = -(-support // shards)
-    mined = (
-        texts.mapInArrow(_shard_counter(shards, longest), "key long, shard int, n long")
-        .groupBy("key", "shard").agg(F.sum("n").alias("n")).where(F.col("n") >= local)
-    )
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(mined.select("key")))
+    found = docs.sparkSession.sparkContext.broadcast(candidates(texts, longest, support, shards))
     return (
-        texts.mapInArrow(_phrase_counter(bitmap, longest), "lang string, phrase string, words int, n long")
+        texts.mapInArrow(_phrase_counter(found, longest), "lang string, phrase string, words int, n long")
         .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
         .where((F.col("n") >= support) | (F.col("words") == 0))
     )

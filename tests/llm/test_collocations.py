@@ -3,9 +3,12 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 
-from demandloom.llm.collocations import _bitmap, _bits, collocations, frequent_phrases
+from demandloom.llm import collocations as module
+from demandloom.llm.collocations import collocations, frequent_phrases
 
 SCHEMA = "doc_id long, lang string, text string, phrase string"
 
@@ -94,17 +97,22 @@ def test_more_shards_than_support_is_an_error(spark):
         frequent_phrases(spark.createDataFrame([], SCHEMA), 3, 2, 4)
 
 
-def test_bitmap_holds_every_key(spark):
-    import numpy as np
+def test_bitmap_holds_every_frequent_phrase(spark):
+    rows = [(i, "en", f"w{i % 50} x{i % 7}", None) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).select("lang", "text")
+    found = module.candidates(df, 2, 8, 2)
 
-    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 5000)
-    bitmap = _bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+    def held(*words):
+        hashes = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in words], np.uint64)
+        return bool(found.hold(module._keys("en", hashes, np.arange(len(words))[None]))[0])
 
-    def held(key):
-        kept = np.ones(len(key), bool)
-        for word, bit in _bits(key):
-            kept &= (bitmap[word] >> bit) & np.uint64(1) > 0
-        return kept
+    counts, _ = occurrences(rows, 2)
+    assert all(held(*p) for p, n in counts["en"].items() if n >= 8)
+    assert sum(held(f"other{i}") for i in range(10000)) < 10
 
-    assert held(keys.view(np.uint64)).all()
-    assert held(np.random.default_rng(1).integers(0, 2**63 - 1, 100000).astype(np.uint64)).mean() < 0.001
+
+@pytest.mark.parametrize("name", ["MERGED", "BUCKET_BYTES", "SLICE_BYTES", "BITS"])
+def test_sizes_change_no_result(spark, monkeypatch, name):
+    monkeypatch.setattr(module, name, {"BITS": 5}.get(name, 64))
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    assert found(df) == brute(ROWS)
