@@ -184,7 +184,7 @@ def _marked(nodes: pd.DataFrame) -> pd.DataFrame:
 
 def _entered(nodes: pd.DataFrame, reached: pd.DataFrame) -> pd.DataFrame:
     if nodes.empty or reached.empty:
-        return pd.DataFrame({"file": [], "offset": []})
+        return pd.DataFrame({"file": pd.Series([], dtype=str), "offset": pd.Series([], dtype="int64")})
     return _marked(nodes.assign(entry=nodes["offset"].isin(reached["offset"])))[["file", "offset"]]
 
 

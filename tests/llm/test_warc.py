@@ -69,3 +69,20 @@ def test_a_broken_tail_and_a_foreign_file_give_no_rows_behind_the_break(spark, t
     (tmp_path / "other.warc").write_bytes(("junk" + record).encode())
     found = read_archives(spark, str(tmp_path)).collect()
     assert [(r.offset, r.payload_bytes) for r in found] == [(0, 3)]
+
+
+def test_a_split_inside_a_payload_of_false_magic(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = [(1, "a", "start"), (2, "b", FAKE * 60), (3, "c", "end")]
+        assert round_trip(spark, rows, files=1) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_foreign_file_alone_gives_no_rows(spark, tmp_path):
+    record = MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "other.warc").write_bytes(("junk" + record).encode())
+    assert read_archives(spark, str(tmp_path)).count() == 0
