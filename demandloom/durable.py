@@ -25,3 +25,9 @@ def durable(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df.checkpoint(eager=True)
+
+
+def release(df: DataFrame) -> None:
+    """Free what ``durable`` keeps in the session's storage; checkpoints go with their frames."""
+    if checkpoint_dir(df.sparkSession) is None:
+        df.unpersist()

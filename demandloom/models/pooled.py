@@ -1,22 +1,21 @@
-"""Tree ensembles on lagged values, fitted once over all series with Spark MLlib.
+"""Tree ensembles on lagged values, fitted once over all series.
 
-Targets are divided by their series' mean, so that large series do not dominate, and
-multiplied back after prediction.
+Targets are divided by the mean size of their series' values, so that large series do not
+dominate, and multiplied back after prediction. How trees grow is in ``trees``.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.config import Settings
-from demandloom.durable import durable
+from demandloom.durable import durable, release
 from demandloom.functions.arrays import mean
+from demandloom.models import trees as T
 
 LAGS = 7
-ROWS_PER_TASK = 50_000
+BINS = 64
 
 
 def lag_features(df: DataFrame, cfg: Settings, lags: int = LAGS) -> DataFrame:
@@ -34,23 +33,26 @@ def lag_features(df: DataFrame, cfg: Settings, lags: int = LAGS) -> DataFrame:
     ).filter(F.col(f"lag_{lags}").isNotNull())
 
 
-def _features(window: Column, day: Column) -> Column:
-    return array_to_vector(F.concat(window, F.array(F.weekday(day).cast("double"))))
-
-
 def scaled_series(known: DataFrame, cfg: Settings, lags: int) -> DataFrame:
-    level = mean(F.col("y"))
+    """Series with more than ``lags`` values, all finite, as shares of their mean size.
+
+    No share is larger than the number of values, whatever their signs.
+    """
+    finite = F.forall("y", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    level = mean(F.transform("y", F.abs))
     return (
-        known.filter(F.size("y") > lags)
-        .withColumn("_scale", F.when(level != 0, F.abs(level)).otherwise(1.0))
+        known.filter((F.size("y") > lags) & finite)
+        .withColumn("_scale", F.when(level > 0, level).otherwise(1.0))
         .withColumn("_z", F.transform("y", lambda x: x / F.col("_scale")))
     )
 
 
 def training_rows(scaled: DataFrame, cfg: Settings, lags: int) -> DataFrame:
-    """One (features, label) row per day of every series, straight from the arrays."""
+    """(features, label, key) per day of every series, straight from the arrays: the lags, the
+    weekday, the day's value, and a hash of series and day that decides on the row's bags."""
     starts = F.sequence(F.lit(1), F.size("_z") - lags)
     rows = scaled.select(
+        *cfg.groups,
         "first_day",
         F.explode(
             F.transform(
@@ -62,58 +64,70 @@ def training_rows(scaled: DataFrame, cfg: Settings, lags: int) -> DataFrame:
                 ),
             )
         ).alias("r"),
-    )
+    ).withColumn("_day", F.date_add("first_day", F.col("r.offset")))
+    told = F.md5(F.concat_ws("|", *(F.col(g).cast("string") for g in cfg.groups), F.col("_day").cast("string")))
     return rows.select(
-        _features(F.col("r.window"), F.date_add("first_day", F.col("r.offset"))).alias("features"),
+        F.concat(F.col("r.window"), F.array(F.weekday("_day").cast("double"))).alias("features"),
         F.col("r.label").alias("label"),
+        (F.conv(F.substring(told, 1, 8), 16, 10).cast("long") % T.HASH).alias("key"),
     )
 
 
-def _forecast(
-    known: DataFrame, cfg: Settings, steps: int, label: str, lags: int, wanted: Column | None, regressor
-) -> DataFrame:
-    """(model, groups, _start, _path): fit on all series, then predict step by step.
+def fit(known: DataFrame, cfg: Settings, lags: int, growth: T.Growth, boosted: bool, bins: int = BINS) -> T.Ensemble | None:
+    """The ensemble learned from all series, or None where none is long enough.
 
-    The scaled series are kept for the learner's several passes, in an order that a lost
-    part is computed again in: the fixed seed then gives the same trees. Prediction only
-    shifts each series' own lag window, so the steps add no shuffle.
+    The trees depend on the rows alone, neither on their order nor on their partitions.
     """
-    scaled = durable(scaled_series(known, cfg, lags).sortWithinPartitions(*cfg.groups))
+    if not T.WEEKDAYS <= bins <= 256:
+        raise ValueError("bins must be between 7 and 256")
+    scaled = durable(scaled_series(known, cfg, lags))
+    cuts = T.cut_points(scaled.select(F.explode("_z").alias("z")), "z", bins)
     rows = training_rows(scaled, cfg, lags)
-    count = rows.count()
-    if not count:
-        return scaled.select(
-            F.lit(label).alias("model"),
-            *cfg.groups,
-            F.col("first_day").alias("_start"),
-            F.array().cast("array<double>").alias("_path"),
-        )
-    # a tree level is a job: few rows need few tasks in each of hundreds
-    rows = rows.coalesce(max(1, count // ROWS_PER_TASK))
-    model = regressor.setFeaturesCol("features").setLabelCol("label").fit(rows)
-    path = scaled.filter(F.lit(True) if wanted is None else wanted).select(
-        *cfg.groups,
-        "_scale",
-        F.date_add("first_day", F.size("_z") * cfg.freq_days).alias("_start"),
-        F.slice("_z", -lags, lags).alias("_window"),
-        F.array().cast("array<double>").alias("_path"),
-    )
-    for step in range(steps):
-        day = F.date_add("_start", step * cfg.freq_days)
-        told = model.transform(path.withColumn("features", _features(F.col("_window"), day)))
-        path = told.select(
-            *cfg.groups,
-            "_scale",
-            "_start",
-            F.concat(F.slice("_window", 2, lags - 1), F.array("prediction")).alias("_window"),
-            F.concat("_path", F.array("prediction")).alias("_path"),
-        )
-    return path.select(
-        F.lit(label).alias("model"),
-        *cfg.groups,
-        "_start",
-        F.transform("_path", lambda x: x * F.col("_scale")).alias("_path"),
-    )
+    blocks = durable(T.pack(rows, lags, cuts))
+    labels = scaled.select(F.explode(F.slice("_z", F.lit(lags + 1), F.size("_z") - lags)).alias("z"))
+    whole = labels.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.floor(F.col("z") * T.MICRO + 0.5).cast("decimal(38,0)")).alias("z"),
+    ).first()
+    model = None
+    if whole["n"]:
+        if boosted:
+            base = float(whole["z"]) / whole["n"] / T.MICRO
+            model = T.fit_boosted(blocks, growth, cuts, lags + 1, base)
+        else:
+            model = T.fit_forest(blocks, growth, cuts, lags + 1)
+    release(blocks)
+    release(scaled)
+    return model
+
+
+def tree_table(known: DataFrame, model: T.Ensemble | None) -> DataFrame:
+    """The splits of an ensemble: (tree, node, feature, bin, gain), for reports on what the
+    trees look at. Nodes are in heap order; features 0 to lags - 1 are the lags, oldest first,
+    and the last is the weekday."""
+    rows = [
+        (t, int(i), int(tree.feature[i]), int(tree.bin[i]), float(tree.gain[i]))
+        for t, tree in enumerate(model.trees if model else [])
+        for i in (tree.feature >= 0).nonzero()[0]
+    ]
+    kinds = "tree long, node long, feature long, bin long, gain double"
+    return known.sparkSession.createDataFrame(rows, kinds)
+
+
+def _forecast(
+    known: DataFrame, cfg: Settings, steps: int, label: str, lags: int, wanted: Column | None,
+    growth: T.Growth, boosted: bool, bins: int,
+) -> DataFrame:
+    """(model, groups, _start, _path): fit on all series, then predict step by step."""
+    model = fit(known, cfg, lags, growth, boosted, bins)
+    own = scaled_series(known.filter(F.lit(True) if wanted is None else wanted), cfg, lags)
+    start = F.date_add("first_day", F.size("_z") * cfg.freq_days)
+    if model is None:
+        path = F.array().cast("array<double>")
+    else:
+        shares = T.path_forecaster(model, steps, lags, cfg.freq_days)
+        path = F.transform(shares("_z", F.weekday(start)), lambda x: x * F.col("_scale"))
+    return own.select(F.lit(label).alias("model"), *cfg.groups, start.alias("_start"), path.alias("_path"))
 
 
 def random_forest(
@@ -124,11 +138,14 @@ def random_forest(
     lags: int = LAGS,
     trees: int = 100,
     depth: int = 6,
+    min_weight: float = 1.0,
+    column_share: float = 1.0,
+    bins: int = BINS,
     seed: int = 0,
     wanted: Column | None = None,
 ) -> DataFrame:
-    learner = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed)
-    return _forecast(known, cfg, steps, label, lags, wanted, learner)
+    growth = T.Growth(trees=trees, depth=depth, min_weight=min_weight, column_share=column_share, seed=seed)
+    return _forecast(known, cfg, steps, label, lags, wanted, growth, False, bins)
 
 
 def gbt(
@@ -140,8 +157,18 @@ def gbt(
     trees: int = 100,
     depth: int = 6,
     step_size: float = 0.3,
+    l1: float = 0.0,
+    l2: float = 1.0,
+    gamma: float = 0.0,
+    min_weight: float = 1.0,
+    row_share: float = 1.0,
+    column_share: float = 1.0,
+    bins: int = BINS,
     seed: int = 0,
     wanted: Column | None = None,
 ) -> DataFrame:
-    learner = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=step_size, seed=seed)
-    return _forecast(known, cfg, steps, label, lags, wanted, learner)
+    growth = T.Growth(
+        trees=trees, depth=depth, step=step_size, l1=l1, l2=l2, gamma=gamma, min_weight=min_weight,
+        row_share=row_share, column_share=column_share, seed=seed,
+    )
+    return _forecast(known, cfg, steps, label, lags, wanted, growth, True, bins)
