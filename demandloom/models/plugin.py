@@ -9,7 +9,7 @@ series, and no forecast.
 from __future__ import annotations
 
 import importlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
 import numpy as np
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from demandloom.config import Settings
 from demandloom.durable import durable
 
+TOGETHER = 256  # series whose forecasts leave a task in one frame
+
 _MODELS: dict[str, Callable[..., pd.DataFrame]] = {}
 
 
@@ -103,8 +105,7 @@ def _run(known, cfg, steps, label, model, params) -> DataFrame:
     groups, time, target, freq = cfg.groups, cfg.time_column, cfg.target_column, cfg.freq_days
     columns = [*groups, time, target, "error"]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
+    def forecast_one(row) -> pd.DataFrame:
         values = list(row["y"])
         days = pd.date_range(pd.Timestamp(row["first_day"]), periods=len(values), freq=f"{freq}D")
         history = pd.DataFrame({time: days.date, target: values})
@@ -132,6 +133,13 @@ def _run(known, cfg, steps, label, model, params) -> DataFrame:
             forecast[name] = row[name]
         return forecast[columns]
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = frame.to_dict("records")
+            for start in range(0, len(rows), TOGETHER):
+                parts = [forecast_one(row) for row in rows[start : start + TOGETHER]]
+                yield pd.DataFrame({c: np.concatenate([p[c].to_numpy(object) for p in parts]) for c in columns})
+
     fields = [known.schema[name] for name in groups]
     schema = T.StructType(
         [
@@ -141,5 +149,6 @@ def _run(known, cfg, steps, label, model, params) -> DataFrame:
             T.StructField("error", T.StringType()),
         ]
     )
-    found = known.groupBy(*groups).applyInPandas(run, schema)
+    # a series is one row: it is forecast where it lies, without a shuffle
+    found = known.select(*groups, "first_day", "y").mapInPandas(run, schema)
     return found.select(F.lit(label).alias("model"), *columns)

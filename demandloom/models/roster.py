@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from demandloom.config import Settings
 from demandloom.durable import durable
-from demandloom.models import closed_form, plugin, pooled, winters
+from demandloom.models import changepoints, closed_form, plugin, pooled, winters
 
 Builder = Callable[..., Column]
 
@@ -23,14 +23,19 @@ class ClosedForm:
     build: Builder
     # fewest days of history, given the model's parameters
     min_points: Callable[[Mapping[str, Any]], int]
+    # whether the model asks how many days a step is
+    by_days: bool = False
 
 
 CLOSED_FORM: dict[str, ClosedForm] = {
     "mean": ClosedForm(closed_form.mean_forecast, lambda p: 1),
     "moving_average": ClosedForm(closed_form.moving_average, lambda p: p.get("window", 7)),
     "croston": ClosedForm(closed_form.croston, lambda p: 1),
-    "holt_winters": ClosedForm(winters.holt_winters, lambda p: 2 * p.get("period", 7)),
+    "holt_winters": ClosedForm(
+        winters.holt_winters, lambda p: 2 * p.get("period", 7) if p.get("seasonal", "additive") else 2
+    ),
     "trend_seasonal": ClosedForm(closed_form.trend_seasonal, lambda p: 3),
+    "changepoint_trend": ClosedForm(changepoints.changepoint_trend, lambda p: 2, by_days=True),
 }
 
 POOLED = {"random_forest": pooled.random_forest, "gbt": pooled.gbt}
@@ -42,7 +47,7 @@ CLASS_NAMES: dict[str, str] = {
     "NaiveMovingAverage": "moving_average",
     "Croston": "croston",
     "ExponentialSmoothing": "holt_winters",
-    "Prophet": "trend_seasonal",
+    "Prophet": "changepoint_trend",
     "RandomForest": "random_forest",
     "XGBModel": "gbt",
 }
@@ -55,47 +60,86 @@ PARAMETER_NAMES: dict[str, str] = {
     "n_estimators": "trees",
     "max_depth": "depth",
     "learning_rate": "step_size",
-    "lags": "lags",
-    "version": "version",
+    "eta": "step_size",
+    "lambda": "l2",
+    "reg_lambda": "l2",
+    "reg_alpha": "l1",
+    "min_split_loss": "gamma",
+    "min_child_weight": "min_weight",
+    "min_samples_leaf": "min_weight",
+    "subsample": "row_share",
+    "colsample_bytree": "column_share",
+    "max_features": "column_share",
+    "max_bin": "bins",
+    "n_changepoints": "changepoints",
+    "changepoint_prior_scale": "changepoint_prior",
+    "seasonality_mode": "mode",
+    "seasonality_prior_scale": "season_prior",
+    "weekly_seasonality": "weekly",
+    "yearly_seasonality": "yearly",
 }
+# names that mean something else in another model
+OWN_NAMES: dict[str, dict[str, str]] = {"gbt": {"alpha": "l1"}}
 
-# Library parameters that change no forecast, and those that would.
-IGNORED = frozenset(("n_jobs", "nthread", "verbosity", "verbose", "objective", "tree_method", "output_chunk_length"))
-WITHOUT_EFFECT = frozenset(
-    ("gamma", "lambda", "reg_lambda", "reg_alpha", "subsample", "colsample_bytree", "min_child_weight",
-     "trend", "damped", "seasonal", "yearly_seasonality", "weekly_seasonality", "daily_seasonality",
-     "changepoint_prior_scale", "seasonality_mode", "growth")
+# Library parameters that change no forecast; those that would, with the values
+# that switch them off; and other spellings of values.
+IGNORED = frozenset(
+    ("n_jobs", "nthread", "verbosity", "verbose", "objective", "tree_method", "output_chunk_length", "seed")
 )
+WITHOUT_EFFECT: dict[str, tuple[Any, ...]] = {
+    "daily_seasonality": (False, "auto", None),
+    "holidays": (None,),
+    "booster": ("gbtree", None),
+    "colsample_bylevel": (1, None),
+    "colsample_bynode": (1, None),
+    "max_delta_step": (0, None),
+    "scale_pos_weight": (1, None),
+    "bootstrap": (True, None),
+    "criterion": ("squared_error", None),
+    "min_samples_split": (2, None),
+    "max_leaf_nodes": (None,),
+}
+VALUE_NAMES = {"add": "additive", "mul": "multiplicative", "none": None}
 
 # Parameters each model takes.
 PARAMETERS: dict[str, tuple[str, ...]] = {
     "mean": (),
     "moving_average": ("window",),
     "croston": ("version", "alpha"),
-    "holt_winters": ("period", "alpha", "beta", "gamma"),
+    "holt_winters": ("period", "alpha", "beta", "gamma", "trend", "damped", "seasonal", "search"),
     "trend_seasonal": ("period",),
-    "random_forest": ("lags", "trees", "depth", "seed"),
-    "gbt": ("lags", "trees", "depth", "step_size", "seed"),
+    "changepoint_trend": (
+        "growth", "changepoints", "changepoint_range", "changepoint_prior", "mode", "season_prior", "weekly", "yearly", "noise",
+    ),
+    "random_forest": ("lags", "trees", "depth", "min_weight", "column_share", "bins", "seed"),
+    "gbt": (
+        "lags", "trees", "depth", "step_size", "l1", "l2", "gamma", "min_weight", "row_share", "column_share", "bins", "seed",
+    ),
 }
 
-# Label -> model of the default roster; labels break ties between equal metrics.
+# Label -> model; labels break ties between equal metrics. The first roster has the models
+# whose forecasts plain SQL can reproduce.
 DEFAULT_ROSTER: dict[str, dict[str, Any]] = {
-    "ExponentialSmoothing": {"model": "holt_winters", "params": {"period": 7}},
+    "ExponentialSmoothing": {"model": "holt_winters", "params": {"period": 7, "search": "grid"}},
     "TrendSeasonal": {"model": "trend_seasonal", "params": {"period": 7}},
     "Croston": {"model": "croston", "params": {"version": "sba"}},
     "NaiveMean": {"model": "mean", "params": {}},
     "NaiveMovingAverage": {"model": "moving_average", "params": {"window": 7}},
 }
 FULL_ROSTER: dict[str, dict[str, Any]] = {
-    **DEFAULT_ROSTER,
+    "ExponentialSmoothing": {"model": "holt_winters", "params": {"period": 7}},
+    "ChangepointTrend": {"model": "changepoint_trend", "params": {}},
+    "GradientBoostedTrees": {
+        "model": "gbt",
+        "params": {"lags": 7, "depth": 6, "step_size": 0.3, "gamma": 0, "l2": 1, "l1": 0, "seed": 0},
+    },
     "RandomForest": {
         "model": "random_forest",
         "params": {"lags": 7, "trees": 100, "depth": 6, "seed": 0},
     },
-    "GradientBoostedTrees": {
-        "model": "gbt",
-        "params": {"lags": 7, "trees": 100, "depth": 6, "step_size": 0.3, "seed": 0},
-    },
+    "Croston": {"model": "croston", "params": {"version": "sba"}},
+    "NaiveMean": {"model": "mean", "params": {}},
+    "NaiveMovingAverage": {"model": "moving_average", "params": {"window": 7}},
 }
 
 
@@ -109,26 +153,37 @@ def resolve(name: str) -> str:
 
 
 def resolve_params(model: str, params: Mapping[str, Any] | None) -> dict[str, Any]:
-    """The parameters a model takes, under our names.
+    """The parameters a model takes, under our names; a plug-in's are its own.
 
-    Names that only steer a library's machinery are left out; those of its mathematics
-    that no method here has are left out with a warning; any other name is an error.
+    Names that only steer a library's machinery are left out. Those of mathematics that no
+    method here has are left out with a warning, or without one at the value that switches
+    them off; any other name is an error.
     """
-    renamed = {PARAMETER_NAMES.get(k, k): v for k, v in (params or {}).items()}
     if model not in PARAMETERS:
-        return renamed
-    foreign = [k for k in renamed if k not in PARAMETERS[model]]
-    unknown = [k for k in foreign if k not in IGNORED and k not in WITHOUT_EFFECT and k not in PARAMETER_NAMES.values()]
+        return dict(params or {})
+    names = PARAMETER_NAMES | OWN_NAMES.get(model, {})
+    taken: dict[str, Any] = {}
+    unknown, lost = [], []
+    for name, value in (params or {}).items():
+        ours = names.get(name, name)
+        if ours in PARAMETERS[model]:
+            taken[ours] = VALUE_NAMES.get(value, value) if isinstance(value, str) else value
+        elif name in WITHOUT_EFFECT:
+            if value not in WITHOUT_EFFECT[name]:
+                lost.append(name)
+        elif ours not in IGNORED and name not in IGNORED:
+            unknown.append(name)
     if unknown:
         raise ValueError(f"unknown parameters of {model}: {', '.join(sorted(unknown))}")
-    if lost := sorted(k for k in foreign if k in WITHOUT_EFFECT):
-        warnings.warn(f"{model} has no {', '.join(lost)}: its forecasts do not depend on them", stacklevel=2)
-    return {k: v for k, v in renamed.items() if k in PARAMETERS[model]}
+    if lost:
+        warnings.warn(f"{model} has no {', '.join(sorted(lost))}: its forecasts do not depend on them", stacklevel=2)
+    return taken
 
 
 def check_models(roster: Mapping[str, Mapping[str, Any]]) -> None:
-    for entry in roster.values():
-        resolve(entry["model"])
+    """An error for any model, or parameter of one, that is not known."""
+    for _ in _entries(roster):
+        pass
 
 
 def _entries(roster: Mapping[str, Mapping[str, Any]]):
@@ -217,7 +272,8 @@ def closed_form_paths(
         spec = CLOSED_FORM[model]
         runs = (F.size("y") >= spec.min_points(params)) & _is_for(known, label)
         history = F.when(runs, F.col("y"))
-        paths.append(F.when(runs, spec.build(history, steps, **params)).alias(f"_path_{i}"))
+        given = params | {"freq_days": cfg.freq_days} if spec.by_days else params
+        paths.append(F.when(runs, spec.build(history, steps, **given)).alias(f"_path_{i}"))
         models.append(F.struct(F.lit(label).alias("model"), F.col(f"_path_{i}").alias("_path")))
     start = F.date_add("first_day", F.size("y") * cfg.freq_days).alias("_start")
     return known.select(*cfg.groups, "_actual", start, *paths).select(

@@ -81,3 +81,53 @@ def test_offsets_scale_with_the_frequency_but_the_end_does_not():
     assert cfg.start_date == date(2024, 7, 11)
     assert cfg.end_date == date(2024, 8, 7)
     assert cfg.train_end == date(2024, 7, 24)
+
+
+# The model section of a configuration in use.
+MODELS = """
+common:
+  execution_date: 2024-08-08
+models:
+  ExponentialSmoothing:
+    model_cls: ExponentialSmoothing
+    model_params: {random_state: 0, seasonal_periods: 7}
+  Prophet:
+    model_cls: Prophet
+  XGBModel:
+    model_cls: XGBModel
+    model_params:
+      random_state: 0
+      objective: reg:squarederror
+      lags: 7
+      nthread: 1
+      max_depth: 6
+      learning_rate: 0.3
+      gamma: 0
+      lambda: 1
+      alpha: 0
+  RandomForest:
+    model_cls: RandomForest
+    model_params: {random_state: 0, lags: 7, n_jobs: 1, n_estimators: 100, max_depth: 6}
+  Croston:
+    model_cls: Croston
+    model_params: {version: sba}
+  NaiveMean:
+    model_cls: NaiveMean
+  NaiveMovingAverage:
+    model_cls: NaiveMovingAverage
+    model_params: {input_chunk_length: 7}
+"""
+
+
+def test_a_whole_model_section_loads_without_warnings(tmp_path, recwarn):
+    path = tmp_path / "conf.yml"
+    path.write_text(MODELS)
+    assert len(load_settings(str(path)).models) == 7
+    assert not [w for w in recwarn.list if w.category is UserWarning]
+
+
+def test_unknown_parameters_fail_when_settings_are_loaded(tmp_path):
+    path = tmp_path / "conf.yml"
+    path.write_text(MODELS.replace("max_depth: 6}", "max_dept: 6}"))
+    with pytest.raises(ValueError, match="max_dept"):
+        load_settings(str(path))

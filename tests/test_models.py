@@ -8,7 +8,7 @@ from helpers import CFG, P1, day, days, dense, inputs, values
 from pyspark.sql import functions as F
 
 from demandloom.models import closed_form, plugin, pooled, roster, winters
-from demandloom.operators import series
+from demandloom.operators import evaluate, series
 from demandloom.plans import workflow
 
 
@@ -61,7 +61,7 @@ def test_holt_winters_against_the_recursion(spark):
     history = [[float(rng.randint(0, 20)) for _ in range(n)] for n in (14, 15, 20, 33, 13, 68)]
     df = spark.createDataFrame([(i, y) for i, y in enumerate(history)], "i int, y array<double>")
     fixed = df.select("i", winters.holt_winters(F.col("y"), 9, 7, 0.3, 0.1, 0.2).alias("p"))
-    grid = df.select("i", winters.holt_winters(F.col("y"), 9, 7).alias("p"))
+    grid = df.select("i", winters.holt_winters(F.col("y"), 9, 7, search="grid").alias("p"))
     for frame, sets in ((fixed, [(0.3, 0.1, 0.2)]), (grid, winters.GRID)):
         for i, path in values(frame):
             if len(history[i]) < 14:
@@ -71,9 +71,70 @@ def test_holt_winters_against_the_recursion(spark):
             assert path == pytest.approx(best[1])
 
 
-def test_holt_winters_needs_all_parameters_or_none():
+def smooth_by_hand(y, steps, m, a, b, g, phi=1.0, trend=True, seasonal="additive"):
+    """Error and forecast by the textbook's recursion."""
+    m = m if seasonal else 1
+    level = sum(y[:m]) / m
+    slope = (sum(y[m : 2 * m]) / m - level) / m if trend else 0.0
+    factor = seasonal == "multiplicative"
+    season = [v / level for v in y[:m]] if factor else [v - level for v in y[:m]]
+    error = 0.0
+    for t in range(m, len(y)):
+        old, base = season[t % m], level + phi * slope
+        error += (y[t] - (base * old if factor else base + old)) ** 2
+        level = a * (y[t] / old if factor else y[t] - old) + (1 - a) * base
+        slope = phi * slope + b * (level - base) if trend else 0.0
+        season[t % m] = g * (y[t] / level if factor else y[t] - level) + (1 - g) * old
+    ahead, grown = [], 0.0
+    for h in range(1, steps + 1):
+        grown += phi**h
+        line, slot = level + grown * slope, season[(len(y) + h - 1) % m]
+        ahead.append(line * slot if factor else line + slot)
+    return error, ahead
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [{"damped": True}, {"seasonal": "multiplicative"}, {"seasonal": None}, {"trend": None}, {"trend": None, "seasonal": None},
+     {"damped": True, "seasonal": "multiplicative"}],
+)
+def test_parts_of_smoothing_against_the_recursion(spark, parts):
+    rng = random.Random(5)
+    history = [[float(rng.randint(5, 20)) for _ in range(n)] for n in (14, 20, 33, 68)]
+    df = spark.createDataFrame([(i, y) for i, y in enumerate(history)], "i int, y array<double>")
+    seasonal, trend = parts.get("seasonal", "additive"), parts.get("trend", "additive")
+    found = df.select("i", winters.holt_winters(F.col("y"), 9, 7, 0.3, 0.1, 0.2, **parts).alias("p"))
+    for i, path in values(found):
+        phi = winters.DAMPING if parts.get("damped") else 1.0
+        g = 0.2 if seasonal else 0.0
+        assert path == pytest.approx(smooth_by_hand(history[i], 9, 7, 0.3, 0.1, g, phi, bool(trend), seasonal)[1])
+
+
+def test_fitted_smoothing_is_near_a_dense_grid_and_never_above_the_small_one(spark):
+    rng = random.Random(8)
+    history = [[30 + 0.4 * t + 6 * (t % 7) + rng.gauss(0, s) for t in range(n)] for n, s in ((60, 1), (45, 5), (68, 12))]
+    df = spark.createDataFrame([(i, y) for i, y in enumerate(history)], "i int, y array<double>")
+    errors = df.select("i", winters.in_sample_error(F.col("y")).alias("f"), winters.in_sample_error(F.col("y"), "grid").alias("g"))
+    dense_grid = [0.001, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.8, 0.999]
+    for i, fit, grid in values(errors):
+        best = min(smooth_by_hand(history[i], 1, 7, a, b, g)[0] for a in dense_grid for b in dense_grid for g in dense_grid)
+        assert fit <= grid and fit <= best * 1.01
+    short = spark.createDataFrame([([1.0] * 13,), (None,)], "y array<double>")
+    assert values(short.select(winters.in_sample_error(F.col("y")))) == [(None,), (None,)]
+
+
+def test_season_as_a_factor_needs_positive_histories(spark):
+    rows = dense("2024-07-04", 35, value=lambda i: 0.0) + dense("2024-07-04", 35, city="up", value=lambda i: 5.0 + i % 7)
+    entry = {"HW": {"model": "ExponentialSmoothing", "params": {"seasonal_periods": 7, "seasonal": "mul", "damped": True}}}
+    found, errors = roster.forecast_with_errors(arrays(spark, rows), CFG, entry, "full", errors=True)
+    assert {r["city"] for r in found.collect()} == {"up"}
+    assert values(errors, "city", "error") == [("B1", "incomplete forecast")]
+
+
+@pytest.mark.parametrize("bad", [{"alpha": 0.1}, {"trend": "x"}, {"seasonal": "x"}, {"search": "x"}])
+def test_holt_winters_rejects(bad):
     with pytest.raises(ValueError):
-        winters.holt_winters(F.col("y"), 1, alpha=0.1)
+        winters.holt_winters(F.col("y"), 1, **bad)
 
 
 def test_trend_seasonal(spark):
@@ -271,5 +332,68 @@ def test_class_style_models(spark):
 def test_unknown_parameters_are_rejected():
     with pytest.raises(ValueError, match="windw"):
         roster.resolve_params("moving_average", {"windw": 3})
-    with pytest.warns(UserWarning, match="gamma"):
-        assert roster.resolve_params("gbt", {"gamma": 1, "n_jobs": 4, "n_estimators": 5}) == {"trees": 5}
+    with pytest.raises(ValueError, match="reg_lambda"):
+        roster.resolve_params("random_forest", {"reg_lambda": 3})
+    with pytest.warns(UserWarning, match="booster"):
+        assert roster.resolve_params("gbt", {"booster": "dart", "n_jobs": 4, "n_estimators": 5}) == {"trees": 5}
+
+
+def test_parameters_that_switch_nothing_on_pass_quietly(recwarn):
+    given = {"booster": "gbtree", "alpha": 0, "lambda": 1, "gamma": 0, "max_delta_step": 0, "min_child_weight": 2}
+    assert roster.resolve_params("gbt", given) == {"l1": 0, "l2": 1, "gamma": 0, "min_weight": 2}
+    assert roster.resolve_params("changepoint_trend", {"daily_seasonality": False, "seasonality_mode": "multiplicative"}) == {
+        "mode": "multiplicative"
+    }
+    assert not recwarn.list
+
+
+def test_plugins_do_not_shuffle(spark):
+    known = spark.createDataFrame([("B1", P1, day("2024-07-01"), [1.0, 2.0])], "city string, product_id string, first_day date, y array<double>")
+    found = plugin.plugin_forecast_only(known, CFG, 2, "x", "last_value")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert values(found, "date", "sales") == [(day("2024-07-03"), 2.0), (day("2024-07-04"), 2.0)]
+
+
+def test_a_plugin_forecasts_and_fails_in_batches(spark, monkeypatch):
+    def odd(pdf, steps):
+        if int(pdf["city"].iloc[0]) % 3 == 0:
+            raise RuntimeError("no")
+        return plugin.last_value(pdf, steps)
+
+    monkeypatch.setattr(plugin, "TOGETHER", 4)
+    plugin.register_model("odd", odd)
+    known = spark.createDataFrame(
+        [(str(k), P1, day("2024-07-01"), [float(k)]) for k in range(30)], "city string, product_id string, first_day date, y array<double>"
+    )
+    found, errors = plugin.plugin_forecast(known, CFG, 2, "x", "odd")
+    assert found.count() == 40 and errors.count() == 10
+
+
+def test_scores_and_champions_of_all_models_by_sql_over_the_stored_forecasts(spark, tmp_path):
+    import duckdb
+
+    rows = []
+    for k in range(4):
+        rows += dense("2024-07-01", 38, city=f"c{k}", value=lambda i, k=k: (k + 1) * (5.0 + i % 7) + (i * 31 * (k + 1)) % 9)
+    models = {
+        label: {"model": e["model"], "params": e["params"] | ({"trees": 3, "depth": 3} if e["model"] in roster.POOLED else {})}
+        for label, e in roster.FULL_ROSTER.items()
+    }
+    known = arrays(spark, rows)
+    on_test = roster.forecast_series(known, CFG, models, "test")
+    actual = workflow.test_rows(known, CFG)
+    on_test.write.parquet(str(tmp_path / "f"))
+    actual.write.parquet(str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    metrics = evaluate.forecast_metrics(actual, stored, CFG, ["mae", "rmse"])
+    champions = evaluate.best_models(metrics, CFG)
+    con = duckdb.connect()
+    scored = f"""select f.model, f.city, f.product_id, avg(abs(f.sales - a.sales)) as mae, sqrt(avg(power(f.sales - a.sales, 2))) as rmse
+from '{tmp_path}/f/*.parquet' f join '{tmp_path}/a/*.parquet' a using (city, product_id, date) group by 1, 2, 3"""
+    expected = con.execute(f"select model, city, mae, rmse from ({scored}) order by 1, 2").fetchall()
+    assert len(expected) == 7 * 4
+    found = metrics.groupBy("model", "city").pivot("metric", ["mae", "rmse"]).agg(F.first("value"))
+    for f, e in zip(values(found), expected):
+        assert f[:2] == e[:2] and f[2:] == pytest.approx(e[2:])
+    best = con.execute(f"select model, city from ({scored}) qualify row_number() over (partition by city order by mae, model) = 1 order by 1, 2")
+    assert values(champions, "model", "city") == best.fetchall()
