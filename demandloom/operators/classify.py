@@ -20,19 +20,26 @@ def demand_classes(
 ) -> DataFrame:
     """Average demand interval, squared variation of the demand sizes, and the class.
 
-    A series without any positive demand has no interval and is ``no_demand``.
+    A series without any positive demand has no interval and is ``no_demand``. The variation
+    comes from exact sums of whole millionths, so no order of rows changes it; where a value
+    or sum has more than 38 digits, it comes from floating-point moments instead.
     """
     positive = F.when(F.col(cfg.target_column) > 0, F.col(cfg.target_column))
+    exact = F.round(positive, 6).try_cast("decimal(18,6)")
     measured = filled.groupBy(*cfg.groups).agg(
         F.count(F.lit(1)).alias("count"),
         F.count(positive).alias("_n"),
-        F.stddev_pop(positive).alias("_sd"),
-        F.avg(positive).alias("_mean"),
+        F.count(exact).alias("_exact"),
+        F.try_sum(exact).cast("double").alias("_sum"),
+        F.try_sum(exact * exact).cast("double").alias("_squares"),
+        F.pow(F.stddev_pop(positive) / F.avg(positive), 2).alias("_moments"),
     )
+    square = F.col("_sum") * F.col("_sum")
+    varied = F.when((F.col("_exact") == F.col("_n")) & (square > 0), (F.col("_n") * F.col("_squares") - square) / square)
     rare, wild = F.col("adi") > adi_threshold, F.col("cv2") > cv2_threshold
     return (
         measured.withColumn("adi", F.when(F.col("_n") > 0, F.col("count") / F.col("_n")))
-        .withColumn("cv2", F.pow(F.col("_sd") / F.col("_mean"), 2))
+        .withColumn("cv2", F.coalesce(varied, "_moments"))
         .withColumn(
             "class",
             F.when(F.col("_n") == 0, "no_demand")

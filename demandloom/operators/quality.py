@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,7 +109,8 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, missing, distinct, minimum and maximum of every column, as text.
 
     Exact distinct counts cost one copy of each row per column before the map-side
-    combine; ``approximate`` replaces them with sketches of fixed size.
+    combine; ``approximate`` replaces them with sketches of fixed size, and
+    ``profile_sketches`` gives sketches that can be kept and merged.
     """
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     columns = df.columns
@@ -140,9 +141,105 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+# A quantile sketch of this size errs by less than this share of the ranks, a
+# distinct count by less than this share of itself (about three standard errors each).
+SKETCH_SIZE, RANK_ERROR = 400, 0.02
+DISTINCT_BITS, DISTINCT_ERROR = 12, 0.05
+QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+def _numeric(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
+def profile_sketches(df: DataFrame) -> DataFrame:
+    """(column, rows, distinct, quantiles): sketches of every column in one pass.
+
+    ``distinct`` is a sketch of the different values, ``quantiles`` one of a numeric column's
+    distribution (null for others). They are of fixed size whatever the rows, and those of
+    parts of a table (days, files) can be merged: keep them beside the data and profile any
+    union without reading it again.
+    """
+    numeric = _numeric(df)
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(df.columns):
+        aggregates.append(F.count(c).alias(f"known_{i}"))
+        aggregates.append(F.hll_sketch_agg(F.col(c).cast("string"), DISTINCT_BITS).alias(f"distinct_{i}"))
+        if c in numeric:
+            aggregates.append(F.kll_sketch_agg_double(F.col(c).cast("double"), SKETCH_SIZE).alias(f"quantiles_{i}"))
+    empty = F.lit(None).cast("binary")
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column"), F.col("rows"), F.col(f"known_{i}").alias("known"),
+                F.col(f"distinct_{i}").alias("distinct"),
+                (F.col(f"quantiles_{i}") if c in numeric else empty).alias("quantiles"),
+            )
+            for i, c in enumerate(df.columns)
+        )
+    )
+    return df.agg(*aggregates).select(F.inline(rows))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One row per column from sketches of several parts."""
+    return sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("known").alias("known"),
+        F.hll_union_agg("distinct").alias("distinct"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+    )
+
+
+def sketched_profile(sketches: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """(column, rows, missing, distinct, quantile, value): estimates from sketches, one row per
+    quantile of a numeric column and one without for others.
+
+    Ranks err by less than ``RANK_ERROR``, distinct counts by less than ``DISTINCT_ERROR`` of
+    themselves; a column without values has 0 distinct and null quantiles.
+    """
+    asked = F.array(*(F.lit(float(q)) for q in quantiles))
+    none = F.array(F.struct(F.lit(None).cast("double").alias("quantile"), F.lit(None).cast("double").alias("value")))
+    values = F.zip_with(
+        asked, F.kll_sketch_get_quantile_double("quantiles", asked),
+        lambda q, v: F.struct(q.alias("quantile"), v.alias("value")),
+    )
+    usable = F.kll_sketch_get_n_double("quantiles") > 0
+    return sketches.select(
+        "column", "rows", (F.col("rows") - F.col("known")).alias("missing"),
+        F.hll_sketch_estimate("distinct").alias("distinct"),
+        F.inline(F.when(usable, values).otherwise(none)),
+    )
+
+
+def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(left, right, value) for every pair of numeric columns, in one pass and fixed memory.
+
+    A pair's rows are those with both values; a column that does not vary has null.
+    """
+    columns = list(columns or _numeric(df))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    if not pairs:
+        raise ValueError("correlations need two numeric columns or more")
+
+    def value(a: str, b: str) -> Column:
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        spread = F.stddev_pop(x) * F.stddev_pop(y)
+        return F.when(spread > 0, F.covar_pop(a, b) / spread)
+
+    wide = df.agg(*(value(a, b).alias(f"corr_{i}") for i, (a, b) in enumerate(pairs)))
+    rows = F.array(
+        *(
+            F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"corr_{i}").alias("value"))
+            for i, (a, b) in enumerate(pairs)
+        )
+    )
+    return wide.select(F.inline(rows))
+
+
 def numeric_profile(df: DataFrame) -> DataFrame:
     """Mean, standard deviation, zeros and negatives of every numeric column."""
-    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    columns = _numeric(df)
     wide = df.agg(
         *(F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)),
         *(F.stddev(c).alias(f"std_{i}") for i, c in enumerate(columns)),

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom import schemas
-from demandloom.durable import durable
+from demandloom.durable import durable, release
 
 
 @dataclass(frozen=True)
@@ -94,10 +97,13 @@ def replace_partitions(
 ) -> None:
     """Replace the partitions of the given values of the one partition column.
 
-    A value without rows leaves its partition empty, so nothing of an earlier run stays
-    behind. With ``drop_others`` all other partitions go. Each partition is written in its
-    own folder, so no session setting matters and writers of different values do not
-    meet.
+    All partitions are first written to fresh folders; only when the last one is complete do
+    their locations change, each in one step of the catalog. Readers see a partition's old rows
+    or its new ones, and a job that fails leaves every old partition as it was. A value without
+    rows leaves its partition empty, so nothing of an earlier run stays behind. With
+    ``drop_others`` all other partitions go. No session setting matters, and writers of
+    different values do not meet. The files that were replaced before last are deleted; those
+    just replaced stay for readers that have begun.
     """
     spark = df.sparkSession
     (column,) = spec.partitions
@@ -105,19 +111,59 @@ def replace_partitions(
     name, values = _quoted(database, spec.name), list(values)
     # read once for each value
     rows = durable(df.select(*spec.columns))
-    folder = _location(spark, name)
-    for value in values:
-        path = f"{folder}/{column}={quote(value, safe='')}"
-        rows.where(F.col(column) == value).drop(column).write.mode("overwrite").parquet(path)
-        spark.sql(
-            f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_quoted(column)} = {_literal(value)}) "
-            f"LOCATION {_literal(path)}"
-        )
+    versions = f"{_location(spark, name)}/{VERSIONS}"
+    before = {value: _partition_folder(spark, name, column, value) for value in values}
+    run = uuid.uuid4().hex
+    written = {value: f"{versions}/{quote(value, safe='')}/{run}" for value in values}
+    for value, path in written.items():
+        rows.where(F.col(column) == value).drop(column).write.parquet(path)
+    for value, path in written.items():
+        partition = f"PARTITION ({_quoted(column)} = {_literal(value)})"
+        if before[value] is None:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} LOCATION {_literal(path)}")
+        else:
+            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION {_literal(path)}")
     spark.catalog.refreshTable(name)
+    for value, path in written.items():
+        _delete_others(spark, os.path.dirname(path), {path, before[value] or path})
+    release(rows)
     if drop_others:
-        present = {r[column] for r in spark.read.table(name).select(column).distinct().collect()}
-        for value in sorted(present - set(values)):
+        for value in sorted(set(partition_values(spark, database, spec.name)) - set(values)):
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_quoted(column)} = {_literal(value)})")
+            _delete_others(spark, f"{versions}/{quote(value, safe='')}", set())
+
+
+# readers of the table's folder pass over folders with such names
+VERSIONS = ".versions"
+
+
+def partition_values(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Values of the one partition column, from the catalog alone."""
+    shown = spark.sql(f"SHOW PARTITIONS {_quoted(database, table)}").collect()
+    return [unquote(row["partition"].split("=", 1)[1]) for row in shown]
+
+
+def _partition_folder(spark: SparkSession, name: str, column: str, value: str) -> str | None:
+    """Where a partition's files lie, or None where there is no such partition."""
+    try:
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({_quoted(column)} = {_literal(value)})")
+        return told.where("col_name = 'Location'").first()["data_type"].rstrip("/")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PARTITIONS_NOT_FOUND", "_LEGACY_ERROR_TEMP_1231"):
+            raise
+        return None
+
+
+def _delete_others(spark: SparkSession, folder: str, kept: set[str]) -> None:
+    """Delete what lies in a folder, but for the paths to keep."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return
+    names = {k.rsplit("/", 1)[1] for k in kept}
+    for status in files.listStatus(path):
+        if status.getPath().getName() not in names:
+            files.delete(status.getPath(), True)
 
 
 def _location(spark: SparkSession, name: str) -> str:

@@ -1,3 +1,4 @@
+import pytest
 from helpers import P1, P2, day, values
 
 from demandloom import schemas
@@ -74,3 +75,46 @@ def test_profiles_of_nothing(spark):
     empty = frames(spark)[0].limit(0)
     assert values(quality.duplicate_rate(empty)) == [(0, 0, None)]
     assert quality.profile_columns(empty).filter("missing_pct is null").count() == 5
+
+
+def test_sketches_of_parts_merge_into_the_profile_of_the_whole(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [(int(v), float(v) if v % 50 else None, f"t{v % 3000}") for v in rng.integers(0, 40000, 20000)]
+    df = spark.createDataFrame(rows, "a long, b double, c string").repartition(5)
+    whole = quality.profile_sketches(df)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    parts = quality.profile_sketches(df.where("a < 10000")).unionByName(quality.profile_sketches(df.where("a >= 10000")))
+    exact = {"a": len({r[0] for r in rows}), "b": len({r[1] for r in rows if r[1] is not None}), "c": len({r[2] for r in rows})}
+    ordered = {"a": sorted(r[0] for r in rows), "b": sorted(r[1] for r in rows if r[1] is not None)}
+    for sketches in (whole, quality.merge_sketches(parts)):
+        profile = quality.sketched_profile(sketches).collect()
+        assert {r["column"] for r in profile} == {"a", "b", "c"}
+        for r in profile:
+            assert r["rows"] == 20000
+            assert r["missing"] == (sum(x[1] is None for x in rows) if r["column"] == "b" else 0)
+            assert abs(r["distinct"] - exact[r["column"]]) <= quality.DISTINCT_ERROR * exact[r["column"]]
+            if r["column"] == "c":
+                assert r["quantile"] is None and r["value"] is None
+            else:
+                v = ordered[r["column"]]
+                assert abs(np.searchsorted(v, r["value"], "right") / len(v) - r["quantile"]) <= quality.RANK_ERROR
+
+
+def test_sketches_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a long, c string")
+    profile = quality.sketched_profile(quality.profile_sketches(empty))
+    assert sorted((r["column"], r["rows"], r["missing"], r["distinct"], r["value"]) for r in profile.collect()) == [
+        ("a", 0, 0, 0, None), ("c", 0, 0, 0, None)
+    ]
+
+
+def test_correlations(spark):
+    df = spark.createDataFrame([(1, 2.0, 5.0), (2, 4.0, 5.0), (3, None, 5.0), (4, 8.0, 5.0)], "x long, y double, z double")
+    found = {(r["left"], r["right"]): r["value"] for r in quality.correlations(df).collect()}
+    assert found[("x", "y")] == pytest.approx(1.0)
+    assert found[("x", "z")] is None and found[("y", "z")] is None
+    with pytest.raises(ValueError):
+        quality.correlations(df.select("x"))

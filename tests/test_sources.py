@@ -146,3 +146,36 @@ def test_local_frame_catalog_and_schema_helpers(spark, database):
     assert tables.read_table(spark, database, "t").count() == 2
     tables.use_catalog(spark, "spark_catalog")
     assert spark.catalog.currentCatalog() == "spark_catalog"
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_rows(spark, database):
+    from pyspark.sql import functions as F
+
+    old = forecasts(spark, ("A", "p", 1.0), ("B", "p", 2.0))
+    tables.replace_partitions(old, database, FORECAST, ["A", "B"])
+    before = values(tables.read_table(spark, database, "f"))
+    bad = forecasts(spark, ("A", "x", 5.0), ("B", "x", 6.0)).withColumn(
+        "sales", F.when(F.col("model") == "B", F.raise_error(F.lit("lost"))).otherwise(F.col("sales"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_partitions(bad, database, FORECAST, ["A", "B"])
+    assert values(tables.read_table(spark, database, "f")) == before
+
+
+def test_readers_that_have_begun_keep_their_rows(spark, database):
+    tables.replace_partitions(forecasts(spark, ("A", "p", 1.0)), database, FORECAST, ["A"])
+    begun = tables.read_table(spark, database, "f")
+    begun.queryExecution = begun._jdf.queryExecution().executedPlan()
+    tables.replace_partitions(forecasts(spark, ("A", "p", 2.0)), database, FORECAST, ["A"])
+    assert values(tables.read_table(spark, database, "f"), "sales") == [(2.0,)]
+    assert begun.select("sales").count() == 1
+
+
+def test_values_with_special_characters(spark, database):
+    names = ["a b", "x/y=z", "100%", "it's", "\u00e9"]
+    for v in (1.0, 2.0):
+        tables.replace_partitions(forecasts(spark, *((n, "p", v) for n in names)), database, FORECAST, names)
+    assert values(tables.read_table(spark, database, "f"), "model", "sales") == sorted((n, 2.0) for n in names)
+    assert sorted(tables.partition_values(spark, database, "f")) == sorted(names)
+    tables.replace_partitions(forecasts(spark, ("k", "p", 3.0)), database, FORECAST, ["k"], drop_others=True)
+    assert tables.partition_values(spark, database, "f") == ["k"]
