@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from demandloom.models.trees import bag_constants, poisson_limits
+
 START, END, TRAIN_END = "date '2024-01-01'", "date '2024-01-30'", "date '2024-01-23'"
 
 CTES: dict[str, str] = {}
@@ -252,9 +254,10 @@ select city, product_id, adi, cv2,
             else 'smooth' end as class, count
 from (select city, product_id, count(*) as count, count(*) filter (where sales > 0) as pos,
              count(*) / nullif(cast(count(*) filter (where sales > 0) as double), 0) as adi,
-             power(stddev_pop(sales) filter (where sales > 0)
-                   / (avg(sales) filter (where sales > 0)), 2) as cv2
-      from {filled} group by city, product_id) m"""
+             (pos * cast(sum(cast(exact as decimal(36, 6)) * exact) as double) - cast(sum(exact) as double) * cast(sum(exact) as double))
+               / (cast(sum(exact) as double) * cast(sum(exact) as double)) as cv2
+      from (select *, case when sales > 0 then cast(round(sales, 6) as decimal(18, 6)) end as exact from {filled}) e
+      group by city, product_id) m"""
 
 
 CTES["a_classes"] = _classes("a_filled")
@@ -276,6 +279,7 @@ def sql(final: str) -> str:
     return f"with recursive {views}\n{final}" if views else final
 
 
+_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _KEYS = "city, product_id"
 _VALUE = "round(value, 6) as value"
 _SALES = "round(sales, 6) as sales"
@@ -374,11 +378,13 @@ from (select count(*) as n from v_sales group by {columns}) x"""
 # of the series' mean
 CTES["p_series"] = """
 select city, product_id, y, n, last_day,
-       case when list_avg(y) <> 0 then abs(list_avg(y)) else 1.0 end as scale
+       case when list_avg([abs(x) for x in y]) > 0 then list_avg([abs(x) for x in y]) else 1.0 end as scale
 from a_arr where h = 'full' and n > 7"""
 CTES["p_rows"] = """
 select [x / scale for x in y[i : i + 6]] as lags, y[i + 7] / scale as label,
-       isodow(last_day - cast(n - i - 7 as integer)) - 1 as weekday
+       isodow(last_day - cast(n - i - 7 as integer)) - 1 as weekday,
+       cast('0x' || substr(md5(city || '|' || product_id || '|' || cast(last_day - cast(n - i - 7 as integer) as varchar)),
+                           1, 8) as bigint) % 4294967291 as key
 from (select *, unnest(range(1, n - 6)) as i from p_series) x"""
 
 # the plug-in of ``model_failures``: the last value carried forward, complete for every
@@ -394,6 +400,81 @@ select s.city, s.product_id,
 from f_series s join a_filled f on f.city = s.city and f.product_id = s.product_id and f.date > {TRAIN_END}
 group by s.city, s.product_id, s.kind"""
 
+# cut points: cells of 1/256, of whole millionths, at which another 64th of the values begins
+CTES["p_cells"] = """
+select cell, sum(n) over (order by cell) - n as before, sum(n) over () as total
+from (select floor(floor(x / scale * 1000000 + 0.5) * 256 / 1000000) as cell, count(*) as n
+      from (select unnest(y) as x, scale from p_series) v group by 1) c"""
+CTES["p_cuts"] = """
+select list(cell order by cell) as cuts from (
+  select cell, 64 * before // total as share, lag(64 * before // total) over (order by cell) as last
+  from p_cells) c where share > last"""
+# one row per training row and feature: the bin of its value
+CTES["p_codes"] = """
+select row, key, micro, feature - 1 as feature,
+       case when feature <= 7
+            then len([c for c in cuts if c <= floor(floor(lags[feature] * 1000000 + 0.5) * 256 / 1000000)])
+            else weekday end as code
+from (select row_number() over () as row, key, lags, weekday, cast(floor(label * 1000000 + 0.5) as bigint) as micro,
+             unnest(range(1, 9)) as feature from p_rows) r cross join p_cuts"""
+CTES["p_rounds"] = """
+select *, floor((base - micro / 1000000) * 1048576 + 0.5) as g
+from p_codes cross join (select cast(sum(micro) as double) / count(*) / 1000000 as base from p_codes where feature = 0) b"""
+
+BAGS = 5  # trees whose bags and first splits are compared
+_CONSTANTS = ", ".join("({}, {}, {})".format(t, *bag_constants(0, t)) for t in range(BAGS))
+CTES["p_bags"] = f"""
+select row, t as tree, len([x for x in {poisson_limits()} if x <= (key::hugeint * a + b) % 4294967291]) as w
+from p_codes cross join (values {_CONSTANTS}) c(t, a, b) where feature = 0"""
+
+
+def _histogram(rows: str, keys: str, score: str, least: str = "0") -> str:
+    """The best split per group of rows (keys, feature, code, w, g)."""
+    return f"""
+select {keys}, feature, code as bin, gain from (
+  select *, {score.format("lg", "lw")} + {score.format("(tg - lg)", "(tw - lw)")} - {score.format("tg", "tw")} as raw
+  from (select *, sum(w) over (partition by {keys}, feature order by code) as lw,
+               sum(g) over (partition by {keys}, feature order by code) as lg,
+               sum(w) over (partition by {keys}, feature) as tw, sum(g) over (partition by {keys}, feature) as tg
+        from (select {keys}, feature, code, cast(sum(w) as double) as w, cast(sum(g) as double) as g
+              from ({rows}) r group by {keys}, feature, code) h where w > 0) s
+  where lw >= 1 and tw - lw >= 1) q cross join lateral (select {least} as gain) l where gain > 0
+qualify row_number() over (partition by {keys} order by gain desc, feature, code) = 1"""
+
+
+# soft threshold 0.5, l2 1, gamma 0.01; sums of gradients are in 2 ** -20
+_BOOSTED = "power(greatest(abs({0} / 1048576) - 0.5, 0), 2) / ({1} + 1)"
+CTES["p_root"] = _histogram("select 0 as node, feature, code, 1 as w, g from p_rounds", "node", _BOOSTED, "0.5 * raw - 0.01")
+CTES["p_second"] = _histogram(
+    """select 1 + cast(s.code > p.bin as integer) as node, r.feature, r.code, 1 as w, r.g
+from p_rounds r join p_root p on true join p_rounds s on s.row = r.row and s.feature = p.feature""",
+    "node", _BOOSTED, "0.5 * raw - 0.01",
+)
+CTES["p_forest"] = _histogram(
+    "select tree, feature, code, w, w * micro as g from p_codes join p_bags using (row)", "tree",
+    "power({0} / 1000000, 2) / {1}", "raw",
+)
+
+# one changepoint c at the last of the first 80 percent: y = a + b t + d (t - c)+ with
+# penalties (noise / prior) squared, noise 0.05 of the largest value, by determinants
+CTES["k_points"] = """
+select city, product_id, n, last_day, size, v / size as z, (i - 1) / cast(greatest(n - 1, 1) as double) as t,
+       (floor(n * 0.8) - 1) / greatest(n - 1, 1) as c
+from (select city, product_id, n, last_day, unnest(y) as v, unnest(range(1, n + 1)) as i,
+             case when list_max([abs(x) for x in y]) > 0 then list_max([abs(x) for x in y]) else 1.0 end as size
+      from a_arr where h = 'full' and n >= 3) p"""
+CTES["k_sums"] = """
+select city, product_id, n, last_day, size, c, count(*) + 0.0001 as a11, sum(t) as a12, sum(u) as a13,
+       sum(t * t) + 0.0001 as a22, sum(t * u) as a23, sum(u * u) + 1.0 as a33, sum(z) as b1, sum(t * z) as b2,
+       sum(u * z) as b3
+from (select *, greatest(t - c, 0.0) as u from k_points) p group by city, product_id, n, last_day, size, c"""
+CTES["k_solved"] = """
+select *, a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) as det,
+       b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3) as d1,
+       a11 * (b2 * a33 - b3 * a23) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13) as d2,
+       a11 * (a22 * b3 - a23 * b2) - a12 * (a12 * b3 - a13 * b2) + b1 * (a12 * a23 - a22 * a13) as d3
+from k_sums"""
+
 _POOLED_DAYS = """
 select city, product_id, last_day + cast(k as integer) as date
 from (select *, unnest(range(1, 10)) as k from p_series) x"""
@@ -492,10 +573,10 @@ row_number() over (partition by {_KEYS} order by date) - 1 as pos, {_SALES} from
     ),
     "series_count": sql(f"select count(*) as series from (select distinct {_KEYS} from v_input) x"),
     "demand_classes": sql(
-        f"select {_KEYS}, round(adi, 4) as adi, round(cv2, 4) as cv2, class, count from a_classes"
+        f"select {_KEYS}, round(adi, 10) as adi, round(cv2, 10) as cv2, class, count from a_classes"
     ),
     "demand_classes_sparse": sql(
-        f"select {_KEYS}, round(adi, 4) as adi, round(cv2, 4) as cv2, class, count from o_classes"
+        f"select {_KEYS}, round(adi, 10) as adi, round(cv2, 10) as cv2, class, count from o_classes"
     ),
     "class_distribution": sql(
         """select class, count(*) as series,
@@ -536,7 +617,7 @@ from (select *, unnest(range(1, steps + 1)) as k from a_arr where h = 'full') x"
     ),
     "pooled_training_rows": sql(
         "select " + ", ".join(f"round(lags[{8 - k}], 6) as lag_{k}" for k in range(1, 8))
-        + ", weekday, round(label, 6) as label from p_rows"
+        + ", weekday, round(label, 6) as label, key from p_rows"
     ),
     "forecast_random_forest_bounds": sql(
         f"select 'random_forest' as model, {_KEYS}, date, true as within from ({_POOLED_DAYS}) x"
@@ -556,18 +637,18 @@ select 'champion' as kind, model, {_KEYS}, 'mae' as detail from f_champions"""
 s.points >= m.need as eligible
 from (select {_KEYS}, count(*) filter (where date <= {TRAIN_END}) as points
       from c_filled group by {_KEYS}) s
-cross join (values ('ExponentialSmoothing', 14), ('TrendSeasonal', 3), ('Croston', 1),
+cross join (values ('ExponentialSmoothing', 14), ('ChangepointTrend', 2), ('Croston', 1),
   ('NaiveMean', 1), ('NaiveMovingAverage', 7), ('RandomForest', 8),
   ('GradientBoostedTrees', 8)) m(model, need)"""
     ),
-    "model_forecasts": sql(
+    "model_forecasts_closed_form": sql(
         f"select model, {_KEYS}, date, {_SALES} from a_forecast where h = 'full'"
     ),
-    "forecasts_on_test": sql(
+    "forecasts_on_test_closed_form": sql(
         f"select model, {_KEYS}, date, {_SALES} from a_forecast where h = 'test'"
     ),
     # evaluation
-    "forecast_metrics": sql(
+    "forecast_metrics_closed_form": sql(
         f"""select model, {_KEYS}, metric, round(value, 6) as value from (
 select * from a_metrics
 union all
@@ -575,35 +656,35 @@ select model, {_KEYS}, 'mape' as metric,
        avg(case when y <> 0 then abs(y - p) / y when y <> p then cast('Infinity' as double) end) as value
 from a_pairs group by 1, 2, 3) x"""
     ),
-    "extended_metrics": _extended(),
-    "best_models": sql(f"select model, {_KEYS}, metric, {_VALUE} from a_best"),
-    "champion_forecast": sql(f"select model, {_KEYS}, date, {_SALES} from a_champion"),
-    "champion_mean_metric": sql("select round(avg(value), 6) as value from a_best"),
-    "metric_summary": sql(
+    "extended_metrics_closed_form": _extended(),
+    "best_models_closed_form": sql(f"select model, {_KEYS}, metric, {_VALUE} from a_best"),
+    "champion_forecast_closed_form": sql(f"select model, {_KEYS}, date, {_SALES} from a_champion"),
+    "champion_mean_metric_closed_form": sql("select round(avg(value), 6) as value from a_best"),
+    "metric_summary_closed_form": sql(
         """select model, round(median(value), 6) as median, round(avg(value), 6) as mean,
 count(*) as count from a_metrics where metric = 'mae' group by model"""
     ),
     # publishing
-    "weekly_forecast": sql(f"select {_KEYS}, date, {_SALES} from c_weekly"),
-    "output_periods": sql("select distinct date from c_weekly"),
-    "unforecast_series": sql(f"select distinct {_KEYS} from c_missing"),
-    "fallback_forecast": sql(f"select {_KEYS}, date, {_SALES} from c_fallback"),
-    "demand_output": sql(f"select {_KEYS}, date, {_SALES} from c_output"),
-    "output_by_date": sql("select date, round(sum(sales), 4) as sales from c_output group by date"),
+    "weekly_forecast_closed_form": sql(f"select {_KEYS}, date, {_SALES} from c_weekly"),
+    "output_periods_closed_form": sql("select distinct date from c_weekly"),
+    "unforecast_series_closed_form": sql(f"select distinct {_KEYS} from c_missing"),
+    "fallback_forecast_closed_form": sql(f"select {_KEYS}, date, {_SALES} from c_fallback"),
+    "demand_output_closed_form": sql(f"select {_KEYS}, date, {_SALES} from c_output"),
+    "output_by_date_closed_form": sql("select date, round(sum(sales), 4) as sales from c_output group by date"),
     "published_demand_closed_form": sql(f"select {_KEYS}, date, {_SALES} from a_output"),
     "published_demand_all_models": sql(f"select {_KEYS}, date, true as usable from a_output"),
     # reports
-    "metrics_with_champion": sql(
+    "metrics_with_champion_closed_form": sql(
         f"""select model, {_KEYS}, metric, {_VALUE} from (
 select * from a_metrics where metric = 'mae'
 union
 select 'Champion' as model, {_KEYS}, metric, value from a_best) x"""
     ),
-    "champion_vs_actual": sql(f"select model, {_KEYS}, date, {_SALES} from a_compared"),
-    "volume_by_model": sql(
+    "champion_vs_actual_closed_form": sql(f"select model, {_KEYS}, date, {_SALES} from a_compared"),
+    "volume_by_model_closed_form": sql(
         "select model, round(sum(sales), 4) as sales from a_compared group by model"
     ),
-    "volume_by_model_date": sql(
+    "volume_by_model_date_closed_form": sql(
         "select model, date, round(sum(sales), 4) as sales from a_compared group by model, date"
     ),
     "table_diff": sql(
@@ -613,4 +694,56 @@ union all
 select 'right' as side, * from (
   (select {_KEYS}, date, {_SALES} from v_input) except all (select {_KEYS}, date, {_SALES} from v_cold)) r"""
     ),
+    # one SQL, whichever models there are: these rows do not depend on forecast values
+    "output_periods": sql("select distinct date from c_weekly"),
+    "unforecast_series": sql(f"select distinct {_KEYS} from c_missing"),
+    "fallback_forecast": sql(f"select {_KEYS}, date, {_SALES} from c_fallback"),
+    "user_metrics_closed_form": sql(
+        f"""select model, {_KEYS}, 'worst_day' as metric, round(max(abs(y - p)), 6) as value from a_pairs group by 1, 2, 3
+union all
+select model, {_KEYS}, 'total_miss' as metric, round(abs(sum(y - p)), 6) as value from a_pairs group by 1, 2, 3"""
+    ),
+    "boosted_first_tree": sql(
+        """select cast(0 as bigint) as tree, cast(node as bigint) as node, cast(feature as bigint) as feature,
+cast(bin as bigint) as bin, round(gain, 4) as gain from (select * from p_root union all select * from p_second) x"""
+    ),
+    "forest_first_splits": sql(
+        """select cast(tree as bigint) as tree, cast(0 as bigint) as node, cast(feature as bigint) as feature,
+cast(bin as bigint) as bin, round(gain, 4) as gain from p_forest"""
+    ),
+    "holt_winters_fit_error": sql(f"select {_KEYS}, case when n >= 14 then true end as not_worse from a_arr where h = 'full'"),
+    "forecast_one_changepoint": sql(
+        f"""select 'changepoint_trend' as model, {_KEYS}, last_day + cast(k as integer) as date,
+round(size * (d1 + d2 * t + d3 * (t - c)) / det, 6) as sales
+from (select *, (n - 1 + k) / cast(n - 1 as double) as t from (
+  select *, unnest(range(1, 10)) as k from k_solved) x) y"""
+    ),
+    "sketched_quantiles": """select "column", quantile, true as near
+from (values ('zipcode'), ('sales')) c("column")
+cross join (values (0.05::double), (0.25::double), (0.5::double), (0.75::double), (0.95::double)) q(quantile)""",
+    "sketched_columns": sql(
+        "\nunion all\n".join(
+            f"""select '{c}' as "column", count(*) as rows, count(*) - count({v}) as missing, true as near from v_located"""
+            for c, v in (("country", "country"), ("product_id", "product_id"), ("date", "date"), ("zipcode", "zipcode"),
+                         ("sales", "nullif(try_cast(sales as double), cast('NaN' as double))"), ("city", "city"))
+        )
+    ),
+    "correlations": "\nunion all\n".join(
+        f"select '{a}' as \"left\", '{b}' as \"right\", round(corr({a}, {b}), 6) as value from lineitem"
+        for i, a in enumerate(_MEASURES) for b in _MEASURES[i + 1 :]
+    ),
+    "largest_sales": sql(
+        f"select {_KEYS}, date, {_SALES} from v_input order by round(sales, 6) desc, {_KEYS}, date limit 10"
+    ),
+    "ordered_diff": sql(
+        f"""select side, {_KEYS}, date, sales, position from (with l as (
+  select {_KEYS}, date, {_SALES}, row_number() over (order by {_KEYS}, date) - 1 as position from v_input),
+r as (
+  select {_KEYS}, date, {_SALES}, row_number() over (order by {_KEYS},
+    case when city = 'NATION_1' then date '2024-01-31' - date else date - date '2024-01-01' end) - 1 as position
+  from v_input)
+select 'left' as side, * from (select * from l except all select * from r) x
+union all
+select 'right' as side, * from (select * from r except all select * from l) y) z"""
+    ),
 }

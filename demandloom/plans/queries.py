@@ -11,24 +11,26 @@ from dataclasses import replace
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.durable import durable
-from demandloom.models import plugin, pooled, roster
+from demandloom.functions.casts import lenient_double
+from demandloom.functions.metrics import PandasMetric
+from demandloom.models import plugin, pooled, roster, trees, winters
 from demandloom.operators import classify, demand, evaluate, publish, quality, reports, series
 from demandloom.operators.ranges import measure_ranges
 from demandloom.plans import fixtures as fx
-from demandloom.plans import workflow
+from demandloom.plans import oracles, workflow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CFG = fx.EVENTS
 
-# Models whose forecasts plain SQL can reproduce.
-ROSTER = roster.DEFAULT_ROSTER
+# Models whose forecasts plain SQL can reproduce, and all models.
+CLOSED_FORM = roster.DEFAULT_ROSTER
+FULL = roster.FULL_ROSTER
 EXTENDED = ("mae", "mse", "rmse", "mape", "mape_pct", "wmape", "smape", "bias", "r2", "rmsle", "mase",
             "r2_score", "marre", "ope", "coefficient_of_variation", "rmsse")
 
@@ -38,6 +40,30 @@ def query(function: Query) -> Query:
     return function
 
 
+def both_rosters(function: Callable) -> Callable:
+    """A query over all models under its own name, and one over the closed-form models, whose
+    rows SQL can give, under that name and ``_closed_form``."""
+
+    def over(models):
+        return lambda spark, d: function(spark, d, models)
+
+    QUERIES[function.__name__] = over(FULL)
+    QUERIES[f"{function.__name__}_closed_form"] = over(CLOSED_FORM)
+    return function
+
+
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def shared(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What several queries of one session start from, made once: learners are fitted once for
+    all reports on them."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _SHARED:
+        _SHARED[key] = durable(build())
+    return _SHARED[key]
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
@@ -61,22 +87,32 @@ def _filled(spark, d):
     return series.gap_fill(series.history_window(fx.demand(spark, d), CFG), CFG)
 
 
-def _on_test(arrays):
-    return roster.forecast_series(arrays, CFG, ROSTER, "test")
+def _forecasts(spark, d, models, horizon):
+    """Series arrays and the roster's forecasts for a horizon."""
+    arrays = _arrays(spark, d)
+    if models is CLOSED_FORM:
+        arrays = durable(arrays)
+        return arrays, roster.forecast_series(arrays, CFG, models, horizon)
+    arrays = shared(spark, d, "arrays", lambda: arrays)
+    return arrays, shared(spark, d, horizon, lambda: roster.forecast_series(arrays, CFG, models, horizon))
 
 
-def _scored(spark, d, metrics=None):
-    """Split rows, test forecasts and metrics, from series arrays and forecasts made once."""
-    arrays = durable(_arrays(spark, d))
-    on_test = durable(_on_test(arrays))
+def _scored(spark, d, models, metrics=None):
+    """Series arrays, test rows, test forecasts and metrics, from forecasts made once."""
+    arrays, on_test = _forecasts(spark, d, models, "test")
+    on_test = durable(on_test)
     actual = workflow.test_rows(arrays, CFG)
     return arrays, actual, on_test, evaluate.forecast_metrics(actual, on_test, CFG, metrics)
 
 
-def _cold(spark, d):
+def _cold(spark, d, models):
     """Demand, champions' forecasts and rolling sums with two cities never forecast."""
-    daily = durable(fx.cold_start_demand(spark, d))
-    forecast = workflow.champions_from(daily, CFG, ROSTER)
+    if models is CLOSED_FORM:
+        daily = durable(fx.cold_start_demand(spark, d))
+        forecast = workflow.champions_from(daily, CFG, models)
+    else:
+        daily = shared(spark, d, "cold", lambda: fx.cold_start_demand(spark, d))
+        forecast = shared(spark, d, "cold champions", lambda: workflow.champions_from(daily, CFG, models))
     return daily, publish.weekly_forecast(forecast, CFG)
 
 
@@ -203,6 +239,49 @@ def numeric_profile(spark, d):
     return rounded(quality.numeric_profile(fx.demand(spark, d)), "mean", "std", digits=4)
 
 
+def _sketched(spark, d):
+    """Sketches of two halves of the sales, merged, and the located sales they are of."""
+    sold = _located(spark, d).withColumn("sales", lenient_double(F.col("sales")))
+    halves = [quality.profile_sketches(sold.where(F.weekday("date") % 2 == k)) for k in (0, 1)]
+    return sold, quality.sketched_profile(quality.merge_sketches(halves[0].unionByName(halves[1])))
+
+
+@query
+def sketched_quantiles(spark, d):
+    """Whether the share of values up to each quantile found is the one asked for."""
+    sold, profile = _sketched(spark, d)
+    found = profile.where("quantile is not null").select("column", "quantile", "value")
+    long = sold.select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in ("zipcode", "sales")
+    )))).where("v is not null and not isnan(v)")
+    ranks = long.join(F.broadcast(found), "column").groupBy("column", "quantile").agg(
+        F.avg((F.col("v") < F.col("value")).cast("double")).alias("below"),
+        F.avg((F.col("v") <= F.col("value")).cast("double")).alias("upto"),
+    )
+    error = quality.RANK_ERROR
+    near = (F.col("below") <= F.col("quantile") + error) & (F.col("upto") >= F.col("quantile") - error)
+    return ranks.select("column", "quantile", near.alias("near"))
+
+
+@query
+def sketched_columns(spark, d):
+    """Rows and missing values, and whether the distinct count is near the exact one."""
+    sold, profile = _sketched(spark, d)
+    exact = quality.profile_columns(sold).select("column", F.col("distinct").alias("exact"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= quality.DISTINCT_ERROR * F.col("exact")
+    return profile.select("column", "rows", "missing", "distinct").distinct().join(exact, "column").select(
+        "column", "rows", "missing", near.alias("near")
+    )
+
+
+@query
+def correlations(spark, d):
+    return rounded(quality.correlations(fx.table(spark, d, "lineitem"), _MEASURES), "value")
+
+
+_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 @query
 def duplicate_rate(spark, d):
     return quality.duplicate_rate(fx.sales(spark, d))
@@ -259,7 +338,7 @@ def series_count(spark, d):
 
 
 def _classes(df):
-    return rounded(df, "adi", "cv2", digits=4)
+    return rounded(df, "adi", "cv2", digits=10)
 
 
 @query
@@ -310,10 +389,52 @@ QUERIES["forecast_moving_average"] = _single("moving_average", window=7)
 QUERIES["forecast_croston_sba"] = _single("croston", version="sba")
 QUERIES["forecast_croston_classic"] = _single("croston", version="classic")
 QUERIES["forecast_holt_winters"] = _single("holt_winters", period=7, alpha=0.3, beta=0.1, gamma=0.2)
-QUERIES["forecast_holt_winters_grid"] = _single("holt_winters", period=7)
+QUERIES["forecast_holt_winters_grid"] = _single("holt_winters", period=7, search="grid")
+QUERIES["forecast_holt_winters_fitted"] = _single("holt_winters", period=7)
 QUERIES["forecast_trend_seasonal"] = _single("trend_seasonal", period=7)
-QUERIES["forecast_random_forest"] = _single("random_forest", lags=7, trees=100, depth=6, seed=0)
-QUERIES["forecast_gbt"] = _single("gbt", lags=7, trees=100, depth=6, step_size=0.3, seed=0)
+QUERIES["forecast_changepoint_trend"] = _single("changepoint_trend")
+# one changepoint, no season, and a given noise: three equations
+QUERIES["forecast_one_changepoint"] = _single("changepoint_trend", changepoints=1, weekly=False, yearly=False, noise=0.05)
+
+
+def _learner(name: str, label: str):
+    def run(spark, d):
+        # the model is fitted once for all reports on the roster
+        found = _forecasts(spark, d, FULL, "full")[1].filter(F.col("model") == label)
+        return found.withColumn("model", F.lit(name))
+
+    QUERIES[f"forecast_{name}"] = lambda spark, d: rounded(run(spark, d), "sales")
+    return run
+
+
+_random_forest = _learner("random_forest", "RandomForest")
+_gbt = _learner("gbt", "GradientBoostedTrees")
+
+
+def _splits(spark, d, boosted, **growth):
+    known, _ = roster.history_of(_arrays(spark, d), CFG, "full")
+    model = pooled.fit(known, CFG, pooled.LAGS, trees.Growth(**growth), boosted)
+    return rounded(pooled.tree_table(known, model), "gain", digits=4)
+
+
+@query
+def boosted_first_tree(spark, d):
+    return _splits(spark, d, True, trees=1, depth=2, step=0.3, l1=0.5, l2=1.0, gamma=0.01, seed=0)
+
+
+@query
+def forest_first_splits(spark, d):
+    return _splits(spark, d, False, trees=oracles.BAGS, depth=1, seed=0)
+
+
+@query
+def holt_winters_fit_error(spark, d):
+    """Whether the searched parameters leave no larger error than the grid's best."""
+    known, _ = roster.history_of(_arrays(spark, d), CFG, "full")
+    errors = known.select(
+        *CFG.groups, winters.in_sample_error(F.col("y")).alias("fit"), winters.in_sample_error(F.col("y"), "grid").alias("grid")
+    )
+    return errors.select(*CFG.groups, (F.col("fit") <= F.col("grid")).alias("not_worse"))
 
 
 @query
@@ -395,10 +516,10 @@ def model_failures(spark, d):
 def pooled_training_rows(spark, d):
     known, _ = roster.history_of(_arrays(spark, d), CFG, "full")
     rows = pooled.training_rows(pooled.scaled_series(known, CFG, pooled.LAGS), CFG, pooled.LAGS)
-    values = vector_to_array("features")
+    values = F.col("features")
     return rows.select(
         *(F.round(values[pooled.LAGS - k], 6).alias(f"lag_{k}") for k in range(1, pooled.LAGS + 1)),
-        values[pooled.LAGS].cast("long").alias("weekday"), F.round("label", 6).alias("label"),
+        values[pooled.LAGS].cast("long").alias("weekday"), F.round("label", 6).alias("label"), "key",
     )
 
 
@@ -406,10 +527,8 @@ def pooled_training_rows(spark, d):
 def forecast_random_forest_bounds(spark, d):
     """Days forecast, and whether each value lies between the smallest and the largest share
     of a mean that a forest of averages can give."""
-    arrays = durable(_arrays(spark, d))
-    entry = {"random_forest": {"model": "random_forest", "params": roster.FULL_ROSTER["RandomForest"]["params"]}}
-    found = roster.forecast_series(arrays, CFG, entry, "full")
-    known, _ = roster.history_of(arrays, CFG, "full")
+    found = _random_forest(spark, d)
+    known, _ = roster.history_of(_arrays(spark, d), CFG, "full")
     scaled = pooled.scaled_series(known, CFG, pooled.LAGS)
     # one row
     ends = pooled.training_rows(scaled, CFG, pooled.LAGS).agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
@@ -423,7 +542,7 @@ def forecast_random_forest_bounds(spark, d):
 @query
 def forecast_gbt_days(spark, d):
     finite = F.col("sales").isNotNull() & ~F.isnan("sales") & (F.abs("sales") < float("inf"))
-    return QUERIES["forecast_gbt"](spark, d).select("model", *CFG.groups, "date", finite.alias("finite"))
+    return _gbt(spark, d).select("model", *CFG.groups, "date", finite.alias("finite"))
 
 
 @query
@@ -441,30 +560,30 @@ def model_eligibility(spark, d):
     return table.withColumns({c: F.col(c).cast("long") for c in ("points", "min_points")})
 
 
-@query
-def model_forecasts(spark, d):
-    return rounded(roster.forecast_series(_arrays(spark, d), CFG, ROSTER, "full"), "sales")
+@both_rosters
+def model_forecasts(spark, d, models):
+    return rounded(_forecasts(spark, d, models, "full")[1], "sales")
 
 
-@query
-def forecasts_on_test(spark, d):
-    return rounded(_on_test(_arrays(spark, d)), "sales")
+@both_rosters
+def forecasts_on_test(spark, d, models):
+    return rounded(_forecasts(spark, d, models, "test")[1], "sales")
 
 
 # ---- evaluation ----------------------------------------------------------------------
 
 
-@query
-def forecast_metrics(spark, d):
-    return rounded(_scored(spark, d, ["rmse", "mae", "mape"])[3], "value")
+@both_rosters
+def forecast_metrics(spark, d, models):
+    return rounded(_scored(spark, d, models, ["rmse", "mae", "mape"])[3], "value")
 
 
-@query
-def extended_metrics(spark, d):
-    arrays = durable(_arrays(spark, d))
+@both_rosters
+def extended_metrics(spark, d, models):
+    arrays, on_test = _forecasts(spark, d, models, "test")
     scored = evaluate.forecast_metrics(
         workflow.test_rows(arrays, CFG),
-        _on_test(arrays),
+        on_test,
         CFG,
         EXTENDED,
         train=workflow.train_rows(arrays, CFG),
@@ -474,64 +593,83 @@ def extended_metrics(spark, d):
     return scored.withColumn("value", digits)
 
 
-@query
-def best_models(spark, d):
-    return rounded(evaluate.best_models(_scored(spark, d)[3], CFG), "value")
+def _worst_day():
+    # built in here, it travels to the executors by value
+    def worst_day(actual, predicted):
+        """A user metric over two pandas series."""
+        return (actual - predicted).abs().max()
 
+    return worst_day
 
-@query
-def champion_forecast(spark, d):
-    arrays, _, _, metrics = _scored(spark, d, ["mae"])
+
+def total_miss(actual, predicted):
+    """A user metric over two columns."""
+    return F.abs(F.sum(actual - predicted))
+
+
+@both_rosters
+def user_metrics(spark, d, models):
+    return rounded(_scored(spark, d, models, [PandasMetric(_worst_day()), total_miss])[3], "value")
+
+
+@both_rosters
+def best_models(spark, d, models):
+    return rounded(evaluate.best_models(_scored(spark, d, models)[3], CFG), "value")
+
+
+@both_rosters
+def champion_forecast(spark, d, models):
+    metrics = _scored(spark, d, models, ["mae"])[3]
     champions = evaluate.best_models(metrics, CFG)
-    ahead = roster.forecast_series(arrays, CFG, ROSTER, "full")
+    ahead = _forecasts(spark, d, models, "full")[1]
     return rounded(evaluate.champion_forecast(ahead, champions, CFG), "sales")
 
 
-@query
-def champion_mean_metric(spark, d):
-    champions = evaluate.best_models(_scored(spark, d, ["mae"])[3], CFG)
+@both_rosters
+def champion_mean_metric(spark, d, models):
+    champions = evaluate.best_models(_scored(spark, d, models, ["mae"])[3], CFG)
     return rounded(evaluate.champion_mean_metric(champions), "value")
 
 
-@query
-def metric_summary(spark, d):
-    scored = _scored(spark, d, ["mae"])[3]
+@both_rosters
+def metric_summary(spark, d, models):
+    scored = _scored(spark, d, models, ["mae"])[3]
     return rounded(evaluate.metric_summary(scored), "median", "mean")
 
 
 # ---- publishing ----------------------------------------------------------------------
 
 
-@query
-def weekly_forecast(spark, d):
-    return rounded(_cold(spark, d)[1], "sales")
+@both_rosters
+def weekly_forecast(spark, d, models):
+    return rounded(_cold(spark, d, models)[1], "sales")
 
 
-@query
-def output_periods(spark, d):
-    return publish.output_periods(_cold(spark, d)[1], CFG)
+@both_rosters
+def output_periods(spark, d, models):
+    return publish.output_periods(_cold(spark, d, models)[1], CFG)
 
 
-@query
-def unforecast_series(spark, d):
-    return publish.unforecast_series(*_cold(spark, d), CFG)
+@both_rosters
+def unforecast_series(spark, d, models):
+    return publish.unforecast_series(*_cold(spark, d, models), CFG)
 
 
-@query
-def fallback_forecast(spark, d):
-    return rounded(publish.fallback_forecast(*_cold(spark, d), CFG), "sales")
+@both_rosters
+def fallback_forecast(spark, d, models):
+    return rounded(publish.fallback_forecast(*_cold(spark, d, models), CFG), "sales")
 
 
-@query
-def demand_output(spark, d):
-    daily, weekly = _cold(spark, d)
+@both_rosters
+def demand_output(spark, d, models):
+    daily, weekly = _cold(spark, d, models)
     fallback = publish.fallback_forecast(daily, weekly, CFG)
     return rounded(publish.demand_output(weekly, fallback, CFG), "sales")
 
 
-@query
-def output_by_date(spark, d):
-    daily, weekly = _cold(spark, d)
+@both_rosters
+def output_by_date(spark, d, models):
+    daily, weekly = _cold(spark, d, models)
     fallback = publish.fallback_forecast(daily, weekly, CFG)
     output = publish.demand_output(weekly, fallback, CFG)
     return rounded(reports.volume_by(output, ["date"], CFG), "sales", digits=4)
@@ -539,51 +677,74 @@ def output_by_date(spark, d):
 
 @query
 def published_demand_closed_form(spark, d):
-    return rounded(workflow.published_demand(fx.demand(spark, d), CFG, ROSTER), "sales")
+    return rounded(workflow.published_demand(fx.demand(spark, d), CFG, CLOSED_FORM), "sales")
+
+
+def _published(spark, d):
+    return shared(spark, d, "published", lambda: workflow.published_demand(fx.demand(spark, d), CFG, FULL))
 
 
 @query
 def published_demand(spark, d):
-    return rounded(workflow.published_demand(fx.demand(spark, d), CFG, roster.FULL_ROSTER), "sales")
+    return rounded(_published(spark, d), "sales")
 
 
 @query
 def published_demand_all_models(spark, d):
     # what SQL can say of a roster with learners: which series and days are published
     usable = F.col("sales").isNotNull() & ~F.isnan("sales") & (F.col("sales") >= 0)
-    return published_demand(spark, d).select("city", "product_id", "date", usable.alias("usable"))
+    return _published(spark, d).select("city", "product_id", "date", usable.alias("usable"))
 
 
 # ---- reports -------------------------------------------------------------------------
 
 
-@query
-def metrics_with_champion(spark, d):
-    scored = _scored(spark, d)[3]
+@both_rosters
+def metrics_with_champion(spark, d, models):
+    scored = _scored(spark, d, models)[3]
     report = reports.metrics_with_champion(scored, evaluate.best_models(scored, CFG), "mae")
     return rounded(report, "value")
 
 
-def _comparison(spark, d):
-    arrays, actual, on_test, metrics = _scored(spark, d, ["mae"])
+def _comparison(spark, d, models):
+    arrays, actual, on_test, metrics = _scored(spark, d, models, ["mae"])
     labelled = actual.withColumn("split", F.lit("test"))
     champions = evaluate.best_models(metrics, CFG)
     return reports.champion_vs_actual(on_test, champions, labelled, CFG)
 
 
-@query
-def champion_vs_actual(spark, d):
-    return rounded(_comparison(spark, d), "sales")
+@both_rosters
+def champion_vs_actual(spark, d, models):
+    return rounded(_comparison(spark, d, models), "sales")
+
+
+@both_rosters
+def volume_by_model(spark, d, models):
+    return rounded(reports.volume_by(_comparison(spark, d, models), ["model"], CFG), "sales", digits=4)
+
+
+@both_rosters
+def volume_by_model_date(spark, d, models):
+    return rounded(reports.volume_by(_comparison(spark, d, models), ["model", "date"], CFG), "sales", digits=4)
 
 
 @query
-def volume_by_model(spark, d):
-    return rounded(reports.volume_by(_comparison(spark, d), ["model"], CFG), "sales", digits=4)
+def largest_sales(spark, d):
+    days = rounded(fx.demand(spark, d), "sales")
+    return reports.head(days, 10, F.desc("sales"), "city", "product_id", "date")
 
 
 @query
-def volume_by_model_date(spark, d):
-    return rounded(reports.volume_by(_comparison(spark, d), ["model", "date"], CFG), "sales", digits=4)
+def ordered_diff(spark, d):
+    """One city's days the other way round: the same rows, in another order."""
+    days = rounded(fx.demand(spark, d), "sales")
+    turned = F.when(F.col("city") == "NATION_1", F.date_diff(F.lit(CFG.execution_date), "date")).otherwise(
+        F.date_diff("date", F.lit(CFG.start_date))
+    )
+    found = reports.ordered_diff(
+        days.orderBy("city", "product_id", "date"), days.orderBy("city", "product_id", turned)
+    )
+    return found.withColumnRenamed(reports.POSITION, "position")
 
 
 @query
