@@ -32,7 +32,9 @@ SLICE_BYTES = 1 << 20  # of texts aligned at once
 TOGETHER = 8192  # words encoded as one text
 KNOWN_PARTS = 1 << 17  # parts of texts whose alignment a task remembers
 
-ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<long>"
+LINK = np.dtype("<u8")  # a's id in the lower half, b's in the upper
+ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
+LOOKED_UP = 1 << 20  # links whose counts a task looks up at once
 
 
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray):
@@ -163,7 +165,7 @@ class _Pair:
         a, b = ids
         ends = [np.cumsum(side.lengths[i]) for side, i in zip(self.sides, ids)]
         cut_a, cut_b = shared_cuts(*ends, *upto)
-        links = (a[cut_a] * len(self.sides[1].bytes) + b[cut_b]).tobytes()
+        links = np.column_stack([a[cut_a], b[cut_b]]).astype("<u4").view(LINK).tobytes()
         # a's tokens come before b's in a group: each moves behind the other side's earlier ones
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         last_a[cut_a], last_b[cut_b] = 1, 1
@@ -176,7 +178,7 @@ class _Pair:
         links_upto = np.searchsorted(cut_a, upto[0] - 1) + 1
         found, token, link, n_a, n_b = [], 0, 0, 0, 0
         for to_a, to_b, to_link in zip(upto[0].tolist(), upto[1].tolist(), links_upto.tolist()):
-            found.append(("".join(pieces[token : to_a + to_b]), links[8 * link : 8 * to_link], to_a - n_a, to_b - n_b))
+            found.append(("".join(pieces[token : to_a + to_b]), links[LINK.itemsize * link : LINK.itemsize * to_link], to_a - n_a, to_b - n_b))
             token, link, n_a, n_b = to_a + to_b, to_link, to_a, to_b
         return found
 
@@ -213,8 +215,10 @@ class _Pair:
         words = [w if w and w[-1].isalpha() else p for w, p in zip(words, unmet)]
         new = list({w for w in words if w not in self.known_words})
         # the library needs a hundred times the memory of what it encodes at once
-        for start in range(0, len(new), TOGETHER):
-            some = new[start : start + TOGETHER]
+        plain = [w for w in new if w == w.strip()]
+        # white space at an end of a text would run into the seam
+        alone = [[w] for w in new if w != w.strip()]
+        for some in [*(plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)), *alone]:
             found = self.words(some)
             self.known_words.update((w, found.get(w)) for w in some)
         behind = {m: self.marks(m) for m in {p[len(w) :] for w, p in zip(words, unmet)} if m}
@@ -233,19 +237,20 @@ class _Pair:
         for own in parts:
             found = [self.known[p] for p in own]
             if not found or None in found:
-                rows.append((0, 0, 0, 0, "", np.zeros(0, np.int64)))
+                rows.append((0, 0, 0, 0, "", b""))
                 continue
-            told = "".join([f[0] for f in found])[:-1]
-            links = np.frombuffer(b"".join([f[1] for f in found]), np.int64)
-            n_a, n_b = sum([f[2] for f in found]), sum([f[3] for f in found])
-            rows.append((n_a, n_b, len(links), len(links), hashlib.sha256(told.encode()).hexdigest(), links))
+            told, links, n_a, n_b = zip(*found)
+            links = b"".join(links)
+            groups = len(links) // LINK.itemsize
+            digest = hashlib.sha256("".join(told)[:-1].encode()).hexdigest()
+            rows.append((sum(n_a), sum(n_b), groups, groups, digest, links))
         return rows
 
 
 def _aligner(a: TokenizerFile, b: TokenizerFile):
     fields = pa.schema([
         ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("links", pa.list_(pa.int64())),
+        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("links", pa.binary()),
     ])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,28 +269,33 @@ def _aligner(a: TokenizerFile, b: TokenizerFile):
 def aligned(docs: DataFrame, a: TokenizerFile, b: TokenizerFile) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links) of every row.
 
-    ``links`` has one number per shared cut, the id of a's token times the size of b's
-    vocabulary plus the id of b's token. Texts that are null, empty or not spelled exactly by
+    ``links`` has two numbers of 32 bits per shared cut, the ids of a's and b's token. Texts that are null, empty or not spelled exactly by
     the tokens of both have none.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_aligner(a, b), ALIGNED)
 
 
+def _runs(links: pa.Array):
+    """(texts, their links as one array, how many each has) of runs of texts that have no more
+    than ``LOOKED_UP`` links together, or of a single text."""
+    for start, length in slices(links, LOOKED_UP * LINK.itemsize):
+        some = links.slice(start, length).to_pylist()
+        yield start, np.frombuffer(b"".join(some), LINK), np.array([len(x) // LINK.itemsize for x in some])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(pair, n) over a task's links: as many rows as there are different pairs."""
-    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pairs, counts = np.zeros(0, LINK), np.zeros(0, np.int64)
     for batch in batches:
-        links = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-        new, times = np.unique(links, return_counts=True)
-        pairs, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-        summed = np.zeros(len(pairs), np.int64)
-        np.add.at(summed, place, np.concatenate([counts, times]))
-        counts = summed
-    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
+        for _, links, _ in _runs(batch.column(0)):
+            new, times = np.unique(links, return_counts=True)
+            pairs, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, times]), len(pairs)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(counts)], names=["pair", "n"])
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
-    """(pair, n): how many links of the corpus hold each pair of ids."""
+    """(pair, n): how many links of the corpus hold each pair of ids, b's in the upper half."""
     return links.select("links").mapInArrow(_counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -299,29 +309,28 @@ def token_alignment(docs: DataFrame, a: TokenizerFile, b: TokenizerFile) -> Data
     table gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
-    size = len(b.token_bytes())
     links = stored(aligned(docs, a, b), "links")
     # bounded by the vocabularies, see above
-    table = pair_counts(links).toArrow().sort_by("pair")
-    pairs = table.column("pair").to_numpy()
-    counts = table.column("n").to_numpy()
-    best = np.zeros(size, np.int64)
-    np.maximum.at(best, pairs % size, counts)
-    known = spark.sparkContext.broadcast((pairs, counts, counts == best[pairs % size]))
+    table = pair_counts(links).toArrow()
+    pairs = table.column("pair").to_numpy().view(LINK)
+    order = np.argsort(pairs)
+    pairs, counts = pairs[order], table.column("n").to_numpy()[order]
+    # the pairs of a b token lie together
+    first = np.flatnonzero(np.append(True, np.diff(pairs >> LINK.type(32)) != 0)) if len(pairs) else order
+    best = np.repeat(np.maximum.reduceat(counts, first), np.diff(np.append(first, len(pairs)))) if len(pairs) else counts
+    known = spark.sparkContext.broadcast((pairs, counts, counts == best))
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, counts, is_best = known.value
         for batch in batches:
-            links = batch.column("links")
-            lengths = pc.fill_null(pc.list_value_length(links), 0).to_numpy(zero_copy_only=False)
-            flat = links.flatten().to_numpy(zero_copy_only=False)
-            upto = np.append(0, np.cumsum(lengths))
-            sums = np.zeros((len(lengths), 2), np.int64)
-            # texts one by one, so that no more than a text's links are looked up at once
-            for i in np.flatnonzero(lengths):
-                place = np.searchsorted(pairs, flat[upto[i] : upto[i + 1]])
-                sums[i] = np.count_nonzero(is_best[place]), counts[place].sum()
+            sums = np.zeros((batch.num_rows, 2), np.int64)
+            for start, links, lengths in _runs(batch.column("links")):
+                place = np.searchsorted(pairs, links)
+                ends = np.cumsum(lengths)
+                for k, values in enumerate((is_best[place], counts[place])):
+                    total = np.append(0, np.cumsum(values, dtype=np.int64))
+                    sums[start : start + len(lengths), k] = total[ends] - total[ends - lengths]
             found = {n: batch.column(n) for n in names if n in batch.schema.names}
             found |= {"n_best": pa.array(sums[:, 0]), "count_sum": pa.array(sums[:, 1])}
             yield pa.RecordBatch.from_arrays([found[n] for n in names], names=names)

@@ -88,6 +88,14 @@ def test_given_documents(spark):
     assert found(docs) == expected([tuple(r) for r in docs.select("doc_id", "text").collect()])
 
 
+def test_few_links_at_once(spark, monkeypatch):
+    monkeypatch.setattr(module, "LOOKED_UP", 3)
+    monkeypatch.setattr(module, "SLICE_BYTES", 40)
+    monkeypatch.setattr(module, "TOGETHER", 2)
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string").coalesce(2)
+    assert found(df) == expected(TEXTS)
+
+
 def test_empty_table(spark):
     assert found(spark.createDataFrame([], "doc_id long, text string")) == []
 
@@ -96,7 +104,7 @@ def test_linked_pairs_are_bounded_by_the_vocabularies(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     bytes_a, bytes_b = A.token_bytes(), B.token_bytes()
     for row in pair_counts(aligned(docs, A, B)).collect():
-        a, b = bytes_a[row["pair"] // len(bytes_b)], bytes_b[row["pair"] % len(bytes_b)]
+        a, b = bytes_a[row["pair"] & 0xFFFFFFFF], bytes_b[row["pair"] >> 32]
         assert a.endswith(b) or b.endswith(a)
 
 
