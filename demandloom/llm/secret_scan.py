@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by form, false positives removed by a random forest.
 
-A candidate is a run of at least sixteen letters, digits and ``_ + / = -`` with a digit. What
-tells a key from a number or a name is learnt from labelled findings: the candidate's length
+A candidate is whatever is assigned to a name like token or password, of any length and form,
+or a run of at least twelve letters, digits and ``_ + / = -`` with a digit. What tells a key from a number or a name is learnt from labelled findings: the candidate's length
 and character transitions, how far words of the corpus cover it, the path it was found
 under, and the words beside it.
 
@@ -32,11 +32,13 @@ SLICE_BYTES = 8_000_000
 MOST_TRAINING = 20_000  # labelled findings the forest is fitted on, those of smallest hash
 DICTIONARY = 50_000  # most frequent words of the corpus
 TREES, DEPTH = 30, 8
-CANDIDATE = re.compile(r"[A-Za-z0-9_+/=\-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9_+/=\-]{12,}")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
+# a name, an assignment, and a value in quotes or up to the next space
 NAMED = re.compile(
-    r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth)\w*[\"']?\s*[:=]\s*[\"']?$", re.I
+    r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth)[\w-]*[\"']?\s*[:=]\s*"
+    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"',;]+))", re.I
 )
 BESIDE = 48  # characters on either side that neighbouring words are taken from
 FEATURES = (
@@ -44,27 +46,37 @@ FEATURES = (
 )
 
 
+def _spans(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, named) of a text's candidates, in order; none lies in another."""
+    found = [(*m.span(m.lastindex), True) for m in NAMED.finditer(text)]
+    taken = iter([*found, (len(text) + 1, 0, True)])
+    nearest = next(taken)
+    others = []
+    for m in CANDIDATE.finditer(text):
+        while nearest[1] <= m.start() and nearest[0] <= len(text):
+            nearest = next(taken)
+        if m.end() <= nearest[0] and DIGIT.search(m[0]):
+            others.append((*m.span(), False))
+    return sorted(found + others)
+
+
 def find_candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, path, start, candidate, before, after, named) of ``docs(doc_id, text,
     source)``: every candidate with the text beside it. ``start`` counts code points;
     ``named`` tells that it is assigned to a name like token or password."""
 
     def run(batches):
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32())
+        names = ("doc_id", "path", "start", "candidate", "before", "after", "named")
         for batch in batches:
-            out = {k: [] for k in ("doc_id", "path", "start", "candidate", "before", "after", "named")}
-            for doc_id, text, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for m in CANDIDATE.finditer(text or ""):
-                    if DIGIT.search(m[0]):
-                        before = text[max(0, m.start() - BESIDE) : m.start()]
-                        out["doc_id"].append(doc_id)
-                        out["path"].append(path)
-                        out["start"].append(m.start())
-                        out["candidate"].append(m[0])
-                        out["before"].append(before)
-                        out["after"].append(text[m.end() : m.end() + BESIDE])
-                        out["named"].append(int(NAMED.search(before) is not None))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out))
+            for first, length in slices(batch.column(1), SLICE_BYTES):
+                rows = []
+                for doc_id, text, path in zip(*(batch.column(i).slice(first, length).to_pylist() for i in range(3))):
+                    for start, end, named in _spans(text or ""):
+                        before = text[max(0, start - BESIDE) : start]
+                        rows.append((doc_id, path, start, text[start:end], before, text[end : end + BESIDE], int(named)))
+                columns = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names)
 
     return docs.select("doc_id", "text", "source").mapInArrow(
         run, "doc_id long, path string, start long, candidate string, before string, after string, named int"
@@ -142,8 +154,8 @@ class Evidence:
             kinds.count("d") / n,
             kinds.count("u") / n,
             -sum(p * math.log2(p) for p in shares),
-            sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1),
-            sum(self.bigrams.get(lower[i : i + 2], unseen) for i in range(n - 1)) / (n - 1),
+            sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
+            sum(self.bigrams.get(lower[i : i + 2], unseen) for i in range(n - 1)) / max(1, n - 1),
             float(covered.mean()),
             self.path_odds.get(path or "", 0.0),
             max((self.before_odds.get(w, 0.0) for w in _beside(before)[-3:]), key=abs, default=0.0),
