@@ -16,6 +16,7 @@ for the second pass, over the stored links: no token is shuffled.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm.durable import stored
-from demandloom.llm.tokenizers import ENDS, SEAM, TokenizerFile
+from demandloom.llm.tokenizers import ENDS, LETTER, SEAM, TokenizerFile
 from demandloom.llm.words import slices
 
 SLICE_BYTES = 1 << 20  # of texts aligned at once
+# marks behind a letter, up to the next seam or the end; the character that tells them from parts
+# of the same marks behind a space is in no text that is cut
+MARKS = re.compile(rf"(?<={LETTER.pattern})[{ENDS}]+(?= \S|\Z)")
+MARK = "\x01"
+MARKED = f" {MARK}\\g<0>"
 TOGETHER = 8192  # words encoded as one text
-KNOWN_PARTS = 1 << 17  # parts of texts whose alignment a task remembers
+KNOWN_PARTS = 1 << 18  # parts of texts whose alignment a task remembers
 
 LINK = np.dtype("<u8")  # a's id in the lower half, b's in the upper
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
@@ -158,7 +164,6 @@ class _Pair:
         # ids in decimal with what follows them: a's inside and at the end of a group, b's alike
         self.told = [f"{i}{mark}" for i in range(tokens) for mark in (",", "|", ",", ";")]
         self.known: dict[str, Found | None] = {}
-        self.known_words: dict[str, Found | None] = {}
 
     def grouped(self, ids, upto) -> list[Found]:
         """The groups of several parts; ``upto`` counts the tokens up to each part's end."""
@@ -198,44 +203,36 @@ class _Pair:
             return None
         return self.grouped(ids, [np.array([len(i)]) for i in ids])[0]
 
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text; those that are marks behind a word begin with ``MARK``. None of a
+        text that is taken whole."""
+        if not text or not self.cut or MARK in text:
+            return []
+        return SEAM.split(MARKS.sub(MARKED, text) if self.marks_apart else text)
+
     def learn(self, parts: set[str]) -> None:
         """Remember the alignment of these parts."""
         unmet = [p for p in parts if p not in self.known]
         if len(self.known) + len(unmet) > KNOWN_PARTS:
             self.known.clear()
             unmet = list(parts)
-        if len(self.known_words) + len(unmet) > KNOWN_PARTS:
-            self.known_words.clear()
-        if not self.cut:
-            for p in unmet:
-                self.known[p] = self.words([p]).get(p)
-            return
-        words = [p.rstrip(ENDS) for p in unmet] if self.marks_apart else unmet
-        # marks that do not follow a letter are part of the word
-        words = [w if w and w[-1].isalpha() else p for w, p in zip(words, unmet)]
-        new = list({w for w in words if w not in self.known_words})
-        # the library needs a hundred times the memory of what it encodes at once
-        plain = [w for w in new if w == w.strip()]
+        self.known.update((p, self.marks(p[1:])) for p in unmet if p[0] == MARK)
+        words = [p for p in unmet if p[0] != MARK]
         # white space at an end of a text would run into the seam
-        alone = [[w] for w in new if w != w.strip()]
+        plain = [w for w in words if w == w.strip()]
+        alone = [[w] for w in words if w != w.strip()]
+        # the library needs a hundred times the memory of what it encodes at once
         for some in [*(plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)), *alone]:
             found = self.words(some)
-            self.known_words.update((w, found.get(w)) for w in some)
-        behind = {m: self.marks(m) for m in {p[len(w) :] for w, p in zip(words, unmet)} if m}
-        for p, w in zip(unmet, words):
-            word = self.known_words[w]
-            if len(w) < len(p):
-                mark = behind[p[len(w) :]]
-                word = word and mark and (word[0] + mark[0], word[1] + mark[1], word[2] + mark[2], word[3] + mark[3])
-            self.known[p] = word
+            self.known.update((w, found.get(w)) for w in some)
 
     def aligned(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, links) of each text."""
-        parts = [(SEAM.split(t) if self.cut else [t]) if t else [] for t in texts]
+        parts = [self.parts(t) for t in texts]
         self.learn({p for own in parts for p in own})
         rows = []
-        for own in parts:
-            found = [self.known[p] for p in own]
+        for text, own in zip(texts, parts):
+            found = [self.known[p] for p in own] if own or not text else [self.words([text]).get(text)]
             if not found or None in found:
                 rows.append((0, 0, 0, 0, "", b""))
                 continue

@@ -14,6 +14,7 @@ from functools import cached_property
 # and no token reaches across
 SEAM = re.compile(r"(?<=\S) (?=\S)")
 ENDS = ".,;:!?"  # marks behind a word
+LETTER = re.compile(r"[^\W\d_²³¹¼½¾]")
 # letters, with apostrophes between them, and what lies between such words
 ASCII_WORDS = re.compile(r"[A-Za-z]+(?:'[A-Za-z]+)*|[^A-Za-z]+")
 WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\W\d_]+")
@@ -116,7 +117,7 @@ class TokenizerFile:
             return True
         model = self.built()
         pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-        return not any(a.isalpha() and b in ENDS for p in pieces for a, b in zip(p, p[1:]))
+        return not any(b in ENDS and LETTER.match(a) for p in pieces for a, b in zip(p, p[1:]))
 
     def seams(self, text: str) -> list[str]:
         """The parts of a text between its seams."""

@@ -132,7 +132,7 @@ def test_cuts_are_the_common_ends(texts):
 def test_parts_align_as_whole_texts(spark, monkeypatch, cut):
     monkeypatch.setattr(module, "KNOWN_PARTS", 400)
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()][:60]
-    odd = ["a.b c, d", "a ... b", "x., y!? z", "é. ñ, 1. 2", " lead", "trail ", "a\u00a0. b", "²! ½.", "▁ good words", "a▁. b"]
+    odd = ["a.b c, d", "a ... b", "x., y!? z", "é. ñ, 1. 2", " lead", "trail ", "a\u00a0. b", "²! ½.", "▁ good words", "a▁. b", "a. \x01. b.", "x ... y... z", "\x01", "a.. . b"]
     odd += [t for _, t in TEXTS if t and len(t) < 100]
     rows += [(10**6 + i, t) for i, t in enumerate(odd)]
     pair = module._Pair(A, B)
