@@ -1,8 +1,9 @@
 """WARC archives written from pages, and read back in splits by boundary-chain verification.
 
 Archives are plain files of records, each task of the writer making one. A reader of a
-split sees the magic ``WARC/1.1`` line, but so may a payload hold it. So each place of the
-magic is only a candidate: with its header's Content-Length it names its successor. Pointer
+split sees the magic of a record's first line, but so may a payload hold it. So each place of
+the magic, with a version behind it, is only a candidate: with its header's Content-Length it
+names its successor. Pointer
 jumping from the start of each file keeps the candidates that a chain of records reaches;
 magic inside payloads is not among them, whatever follows it.
 
@@ -22,7 +23,8 @@ from pyspark.sql.window import Window
 
 from demandloom.llm.durable import durable
 
-MAGIC = "WARC/1.1\r\n"
+MAGIC = "WARC/1."
+VERSIONS = ("0", "1")  # of records that are read; 1.1 is written
 END = "\r\n\r\n"
 PAGE_URN = "urn:x-page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,7 +80,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = "197
         return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
     header = F.concat(
-        F.lit(MAGIC),
+        F.lit(f"{MAGIC}{VERSIONS[-1]}\r\n"),
         field("WARC-Type", F.when(is_revisit, "revisit").otherwise("response")),
         field("WARC-Record-ID", F.concat(F.lit(f"<{PAGE_URN}"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))),
         field("WARC-Date", F.lit(date)),
@@ -114,9 +116,9 @@ def _fields(header: Column) -> list[Column]:
     return [
         field("Content-Length", r"(\d{1,18})").cast("long").alias("length"),
         field("WARC-Type", r"(\S+)").alias("record_type"),
-        field("WARC-Record-ID", rf"<{PAGE_URN}(-?\d+)>").cast("long").alias("page_id"),
+        field("WARC-Record-ID", r"(\S+)").alias("record_id"),
         field("WARC-Target-URI", r"(\S+)").alias("url"),
-        field("WARC-Refers-To", rf"<{PAGE_URN}(-?\d+)>").cast("long").alias("refers_to"),
+        field("WARC-Refers-To", r"(\S+)").alias("refers_to_id"),
         field("WARC-Payload-Digest", r"sha1:(\S+)").alias("declared_digest"),
         field("X-Payload-Length", r"(\d{1,18})").cast("long").alias("declared_bytes"),
     ]
@@ -188,26 +190,41 @@ def _entered(nodes: pd.DataFrame, reached: pd.DataFrame) -> pd.DataFrame:
     return _marked(nodes.assign(entry=nodes["offset"].isin(reached["offset"])))[["file", "offset"]]
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(file, offset, page_id, url, record_type, refers_to, payload_bytes, payload_digest,
-    intact) of every record that the chains of the files under ``path`` reach.
+def page_of(record_id: Column) -> Column:
+    """The page_id in an id that ``write_archives`` gave a record; null for others'."""
+    found = F.regexp_extract(record_id, rf"^<{PAGE_URN}(-?\d+)>$", 1)
+    return F.when(found != "", found).cast("long")
 
-    Digest and length are those of the payload found; a revisit, which has none, gives
-    those it names. ``intact`` tells that a payload has the digest its record names. A
-    record that its file's end cuts off is left out, and so is all behind it; a file that
-    does not begin with a record, and an empty folder of archives, give no rows.
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = False, resolve: bool = False) -> DataFrame:
+    """(file, offset, record_id, page_id, url, record_type, refers_to_id, refers_to,
+    payload_bytes, payload_digest, intact) of every record, of version 1.0 or 1.1, that the
+    chains of the files under ``path`` reach; with ``payloads`` also ``payload``, the block's
+    bytes.
+
+    Ids are as the archive has them; page_id and refers_to are the pages that ids of
+    ``write_archives`` name, else null. Digest and length are those of the payload found; a
+    revisit, which has none, gives those it names, and with ``resolve`` the payload of the
+    record it refers to. ``intact`` tells that a payload has the digest its record names, and
+    is null where it names none by SHA-1. A record that its file's end cuts off is left out,
+    and so is all behind it; a file that does not begin with a record, and an empty folder of
+    archives, give no rows.
     """
     size = len(MAGIC)
-    header = F.when(F.instr("value", END) > 0, F.substring_index("value", END, 1))
+    header = F.when(
+        (F.instr("value", END) > 0) & F.substring("value", 1, 3).isin(*(f"{v}\r\n" for v in VERSIONS)),
+        F.substring_index("value", END, 1),
+    )
     pieces = _pieces(spark, path).withColumn("header", header).select(
         "file", "split", "at", "bytes", "hash", "value",
         F.octet_length("header").alias("header_bytes"), *_fields(F.col("header")),
     )
     whole = F.col("bytes") == F.col("header_bytes") + F.col("length") + 2 * len(END)
+    block = F.when(F.col("whole"), _payload(F.col("value"), F.col("header_bytes"), F.col("length")))
     pieces = durable(
-        pieces.withColumn("whole", F.coalesce(whole, F.lit(False)))
-        .withColumn("digest", F.when(F.col("whole"), base32_sha1(_payload(F.col("value"), F.col("header_bytes"), F.col("length")))))
-        .drop("value")
+        pieces.withColumn("whole", F.coalesce(whole, F.lit(False))).withColumn("payload", block)
+        .withColumn("digest", base32_sha1(F.col("payload")))
+        .drop("value", *(() if payloads else ("payload",)))
     )
     # offsets: pieces within a split, splits within a file
     within = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -227,18 +244,37 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     records = durable(placed.join(chain, ["file", "offset"], "left").drop("split"))
     found = records.where("reached and whole")
     if not records.where("reached and not whole").isEmpty():
-        found = found.unionByName(_joined(spark, path, records))
-    return (
-        found.select(
-            "file", "offset", "page_id", "url", "record_type", "refers_to",
-            F.when(F.col("record_type") == "revisit", F.col("declared_bytes")).otherwise(F.col("length")).alias("payload_bytes"),
-            F.when(F.col("record_type") == "revisit", F.col("declared_digest")).otherwise(F.col("digest")).alias("payload_digest"),
-            ((F.col("record_type") == "revisit") | (F.col("digest") == F.col("declared_digest"))).alias("intact"),
-        )
+        found = found.unionByName(_joined(spark, path, records, payloads))
+    revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    found = found.select(
+        "file", "offset", "record_id", page_of(F.col("record_id")).alias("page_id"), "url", "record_type",
+        "refers_to_id", page_of(F.col("refers_to_id")).alias("refers_to"),
+        F.when(revisit, F.col("declared_bytes")).otherwise(F.col("length")).alias("payload_bytes"),
+        F.when(revisit, F.col("declared_digest")).otherwise(F.col("digest")).alias("payload_digest"),
+        (revisit | (F.col("digest") == F.col("declared_digest"))).alias("intact"),
+        *(["payload"] if payloads else []),
+    )
+    return _resolved(found) if payloads and resolve else found
+
+
+def _resolved(found: DataFrame) -> DataFrame:
+    """Records whose revisits have the payload of the record they refer to.
+
+    A response may be referred to by a third of all records: both sides are joined in parts."""
+    found = found.withColumn("_salt", F.pmod(F.xxhash64("file", "offset"), F.lit(SALTS)))
+    revisits, others = found.where("record_type = 'revisit'"), found.where("record_type is null or record_type <> 'revisit'")
+    wanted = revisits.select(F.col("refers_to_id").alias("_id")).distinct()
+    named = (
+        others.join(wanted, F.col("record_id") == F.col("_id"), "left_semi")
+        .groupBy(F.col("record_id").alias("_id")).agg(F.first("payload").alias("_payload"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
+    met = revisits.join(named, (F.col("refers_to_id") == F.col("_id")) & (F.col("_salt") == F.col("_part")), "left")
+    filled = met.withColumn("payload", F.col("_payload")).select(*found.columns)
+    return others.unionByName(filled).drop("_salt")
 
 
-def _joined(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
+def _joined(spark: SparkSession, path: str, records: DataFrame, payloads: bool) -> DataFrame:
     """Records of several pieces: their payloads hold the magic.
 
     Every piece belongs to the last record that begins at or before it. Only the pieces of
@@ -264,8 +300,9 @@ def _joined(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
         ).alias("value")
     )
     return (
-        records.where("reached and not whole").join(bodies, ["file", "offset"])
+        records.where("reached and not whole").drop("payload").join(bodies, ["file", "offset"])
         .where(F.octet_length("value") >= F.col("header_bytes") + len(END) + F.col("length"))
-        .withColumn("digest", base32_sha1(_payload(F.col("value"), F.col("header_bytes"), F.col("length"))))
-        .drop("value")
+        .withColumn("payload", _payload(F.col("value"), F.col("header_bytes"), F.col("length")))
+        .withColumn("digest", base32_sha1(F.col("payload")))
+        .drop("value", *(() if payloads else ("payload",)))
     )

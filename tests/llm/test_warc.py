@@ -4,8 +4,9 @@ import hashlib
 import pytest
 
 from demandloom.llm.durable import fresh
-from demandloom.llm.warc import MAGIC, read_archives, write_archives
+from demandloom.llm.warc import read_archives, write_archives
 
+MAGIC = "WARC/1.1\r\n"
 SCHEMA = "page_id long, url string, html string"
 FAKE = MAGIC + "WARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
 ROWS = [
@@ -86,3 +87,41 @@ def test_a_foreign_file_alone_gives_no_rows(spark, tmp_path):
     record = MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     (tmp_path / "other.warc").write_bytes(("junk" + record).encode())
     assert read_archives(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("split", [700, 128_000_000])
+def test_payloads_come_back_and_revisits_are_resolved(spark, split):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        path = fresh(spark, "warc-test")
+        write_archives(spark.createDataFrame(ROWS, SCHEMA).coalesce(2), path)
+        wanted = sorted(((p, (h or "").encode()) for p, _, h in ROWS), key=str)
+        found = read_archives(spark, path, payloads=True, resolve=True).collect()
+        assert sorted(((r.page_id, bytes(r.payload)) for r in found), key=str) == wanted
+        plain = read_archives(spark, path, payloads=True).collect()
+        assert all((bytes(r.payload) == b"") == (r.record_type == "revisit" or r.payload_bytes == 0) for r in plain)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Version 1.0, ids and record types of a crawler, a revisit of a record of another file."""
+    block = "HTTP/1.1 200 OK\r\n\r\nbody WARC/1.0\r\n inside"
+    one = (
+        "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 4\r\n\r\ninfo\r\n\r\n"
+        f"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <urn:uuid:2>\r\nWARC-Target-URI: http://x\r\n"
+        f"Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    )
+    two = (
+        "WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:3>\r\nWARC-Refers-To: <urn:uuid:2>\r\n"
+        "Content-Length: 0\r\n\r\n\r\n\r\nWARC/1.2\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    )
+    (tmp_path / "a.warc").write_bytes(one.encode())
+    (tmp_path / "b.warc").write_bytes(two.encode())
+    found = {r.record_id: r for r in read_archives(spark, str(tmp_path), payloads=True, resolve=True).collect()}
+    assert set(found) == {"<urn:uuid:1>", "<urn:uuid:2>", "<urn:uuid:3>"}
+    assert bytes(found["<urn:uuid:2>"].payload).decode() == block == bytes(found["<urn:uuid:3>"].payload).decode()
+    assert found["<urn:uuid:2>"].url == "http://x" and found["<urn:uuid:2>"].page_id is None
+    assert found["<urn:uuid:3>"].refers_to_id == "<urn:uuid:2>" and found["<urn:uuid:1>"].intact is None
