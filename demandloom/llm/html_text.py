@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.llm.durable import durable
 from demandloom.llm.words import slices
 
 SLICE_BYTES = 16_000_000
@@ -310,7 +311,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     given twice is returned twice, and votes twice. An empty table gives none.
     """
     pages = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    winners = host_paths(pages)
+    # counted and joined: the pages are parsed for it once
+    winners = durable(host_paths(pages))
     # a host may have a third of all pages: its row goes to many tasks
     if winners.count() <= BROADCAST_ROWS:
         joined = pages.join(F.broadcast(winners), "host", "left")
