@@ -188,6 +188,9 @@ def _search(docs: DataFrame, items) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """``docs`` without the documents that hold a test item; rows without doc_id stay."""
+    """``docs`` without the documents that hold a test item; rows without doc_id stay.
+
+    Null and empty texts hold none and stay; rows given twice stay or go together; without items
+    all rows stay; an empty table gives none; all columns are kept."""
     hit = contaminated(docs.where("doc_id is not null"), benchmark, rate).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)

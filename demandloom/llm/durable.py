@@ -46,3 +46,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``fresh`` named, when nothing reads it any more."""
+    if not path.startswith(scratch(spark) + "/"):
+        raise ValueError(f"{path} is not in the scratch folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

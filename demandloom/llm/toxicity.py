@@ -210,7 +210,7 @@ def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 6_000) ->
     """Fit on at most ``most`` labelled rows, those of smallest hash, none held out.
 
     Labels that are null are skipped; of several labels of a document the largest holds.
-    The bound keeps training in one process; it does not bound what is scored.
+    The bound keeps training in one task; it does not bound what is scored.
     """
     known = (
         labels.where("toxic is not null and doc_id is not null")
@@ -220,18 +220,36 @@ def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 6_000) ->
     have = docs.where("text is not null").select(F.col("doc_id").alias("id")).distinct()
     present = known.join(have, known.doc_id == have.id, "left_semi")
     chosen = smallest_hashes(present, ["doc_id"], most)
-    # at most ``most`` rows
+    # at most ``most`` rows, so one task holds them and the arrays of the training; the driver
+    # gets the trained numbers
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+        .select(F.xxhash64("doc_id").alias("place"), "doc_id", "text", F.col("toxic").cast("double").alias("toxic"))
     )
-    return fit_toxicity(rows["text"].combine_chunks(), np.array(rows["toxic"].to_pylist(), float))
+
+    def fit(batches):
+        held = [b for b in batches if b.num_rows]
+        if held:
+            table = pa.Table.from_batches(held).sort_by([("place", "ascending"), ("doc_id", "ascending")])
+            model = fit_toxicity(table["text"].combine_chunks(), table["toxic"].to_numpy())
+            values = [[x] for x in (model.margins.tobytes(), model.bias, model.slope, model.shift)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(values, (pa.binary(), *[pa.float64()] * 3))], ["margins", "bias", "slope", "shift"]
+            )
+
+    found = rows.coalesce(1).mapInArrow(fit, "margins binary, bias double, slope double, shift double").first()
+    if found is None:
+        return fit_toxicity(pa.array([], pa.string()), np.zeros(0))
+    return ToxicityModel(np.frombuffer(found["margins"], np.float32), found["bias"], found["slope"], found["shift"])
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose text scores ``threshold`` or more; rows do not move,
-    and all columns are kept."""
+    and all columns are kept.
+
+    Null, empty and blank texts score near 0 and stay; rows given twice stay or go together;
+    rows without doc_id are scored as any other; an empty table gives none."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
     at = docs.columns.index("text")
 
