@@ -82,13 +82,15 @@ def fit(known: DataFrame, cfg: Settings, lags: int, growth: T.Growth, boosted: b
         raise ValueError("bins must be between 7 and 256")
     scaled = durable(scaled_series(known, cfg, lags))
     cuts = T.cut_points(scaled.select(F.explode("_z").alias("z")), "z", bins)
-    rows = training_rows(scaled, cfg, lags)
-    blocks = durable(T.pack(rows, lags, cuts))
     labels = scaled.select(F.explode(F.slice("_z", F.lit(lags + 1), F.size("_z") - lags)).alias("z"))
     whole = labels.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.floor(F.col("z") * T.MICRO + 0.5).cast("decimal(38,0)")).alias("z"),
     ).first()
+    # a pass over the blocks is a job: no more tasks than there are full blocks, which changes
+    # no tree
+    packed = T.pack(training_rows(scaled, cfg, lags), lags, cuts)
+    blocks = durable(packed.coalesce(max(1, -(-whole["n"] // T.BLOCK))))
     model = None
     if whole["n"]:
         if boosted:
