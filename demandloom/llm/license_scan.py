@@ -1,11 +1,16 @@
 """Licence statements in texts: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Lines with a word of licences go on in overlapping windows of words,
-each a sparse bag of hashed word n-grams, to a multinomial logistic regression over licence
-families and one class for text that is no licence. It is trained in numpy on edited copies
-of the families' templates and on lines of the corpus. A temperature fitted on held-back
-copies calibrates it. What it predicts with too little confidence, or what shares too
-little wording with the family's templates, is ``unknown``.
+A paragraph lies between blank lines; its lines are joined, so a notice may be wrapped anywhere.
+Paragraphs go in overlapping windows of words, each a sparse bag of hashed word n-grams, to a
+multinomial logistic regression over licence families and one class for text that is no
+licence. It is trained in numpy on edited copies of the families' templates and on lines of the
+corpus. A temperature fitted on held-back copies calibrates it. What it predicts with too
+little confidence, or what shares too little wording with the family's templates, is
+``unknown``. Every window that is taken for a licence counts; those of one family that touch
+are one statement.
+
+Only windows with a word that licence notices are known by are classified: of the templates
+all have one, and a statement without any is not found.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ WINDOW, STRIDE = 40, 20  # words
 COPIES = 60  # edited copies of each template
 MOST_LINES = 4_000  # corpus lines that train the class of other text
 MIN_PROBABILITY = 0.5
+SURE = 0.8  # both, for parts of windows
 MIN_SHARED = 0.5  # of the template's or the window's word pairs
 
 # The wording of common licence notices, by family.
@@ -85,7 +91,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Confidential and proprietary. Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ),
 }
-# words that make a line a candidate; a statement without any of them is not looked for
+# words that make a window a candidate; a statement without any of them is not looked for
 CUES = re.compile(
     r"licen[sc]|copyright|spdx|public domain|creative commons|\bcc[ -]by|\bcc0\b|all rights reserved|"
     r"permission is hereby|redistribution|free software|warrant(?:y|ies)|proprietary|\bgnu\b",
@@ -197,63 +203,118 @@ def fit_licenses(lines: list[str], rounds: int = 300, rate: float = 2.0, decay:
     return LicenseModel(families, weights, bias, float(min(losses, key=losses.get)))
 
 
-def _windows(words: list[str]) -> list[list[str]]:
-    return [words[i : i + WINDOW] for i in range(0, max(1, len(words) - STRIDE), STRIDE)]
+def paragraphs(text: str) -> list[tuple[int, str]]:
+    """(first line, text) of the parts between blank lines, lines joined by spaces."""
+    found, lines, first = [], [], 0
+    for at, line in enumerate(text.split("\n")):
+        if line.strip():
+            first = first if lines else at
+            lines.append(line)
+        elif lines:
+            found.append((first, " ".join(lines)))
+            lines = []
+    return [*found, (first, " ".join(lines))] if lines else found
+
+
+def cued_windows(paragraph: str) -> list[tuple[int, list[str]]]:
+    """(first word, words) of the paragraph's windows that have a cue."""
+    cues = [m.span() for m in CUES.finditer(paragraph)]
+    if not cues:
+        return []
+    spans = [m.span() for m in WORD.finditer(paragraph)]
+    found = []
+    for i in range(0, max(1, len(spans) - STRIDE), STRIDE):
+        window = spans[i : i + WINDOW]
+        if window and any(a < window[-1][1] and b > window[0][0] for a, b in cues):
+            found.append((i, [paragraph[a:b].lower() for a, b in window]))
+    return found
 
 
 def scan_licenses(
     docs: DataFrame, min_probability: float = MIN_PROBABILITY, min_shared: float = MIN_SHARED, most: int = MOST_LINES
 ) -> DataFrame:
-    """(doc_id, line, family, predicted, probability, shared, confirmed) of every line of
-    ``docs(doc_id, text)`` that the classifier takes for a licence statement.
-
-    ``line`` counts from 0, ``predicted`` is the likeliest family of the line's likeliest
-    window, ``shared`` the share of word pairs in common with the family's nearest
-    template. ``family`` is ``predicted`` where probability and shared wording are enough,
-    else ``unknown``. Null and empty texts have no such lines; a document given twice is
-    returned twice; rows without doc_id are scanned too; an empty table gives none.
+    """(doc_id, line, word, words, family, predicted, probability, shared, confirmed) of every
+    statement of ``docs(doc_id, text)`` that the classifier takes for a licence's.
+
+    ``line``, from 0, is the first of the statement's paragraph, ``word`` and ``words`` tell
+    where in the paragraph's words it lies. ``predicted`` is its likeliest family, ``shared``
+    the share of word pairs in common with the family's nearest template; both and the
+    probability are those of its best window. ``family`` is ``predicted`` where probability and
+    shared wording are enough, else ``unknown``. Null and empty texts have no statements; a
+    document given twice is returned twice; rows without doc_id are scanned too; an empty table
+    gives none.
     """
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split("text", "\n")).alias("body"))
-    # bounded by ``most``: lines of the corpus without a cue, those of smallest hash
-    plain = lines.where(~F.lower("body").rlike(CUES.pattern)).where("body rlike '[^ ]'")
-    others = smallest_hashes(plain, ["body"], most).collect()
-    model = fit_licenses([r.body for r in others])
+    # bounded by ``most``: lines of the corpus, those of smallest hash, of them those without a cue
+    sample = smallest_hashes(lines.where("body rlike '[^ ]'"), ["body"], most).collect()
+    model = fit_licenses([r.body for r in sample if not CUES.search(r.body)])
     shared_model = spark.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(batches):
         m = LicenseModel(*shared_model.value)
         pairs = {f: [_pairs(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
         kinds = {
-            "doc_id": pa.int64(), "line": pa.int32(), "family": pa.string(), "predicted": pa.string(),
-            "probability": pa.float64(), "shared": pa.float64(), "confirmed": pa.bool_(),
+            "doc_id": pa.int64(), "line": pa.int32(), "word": pa.int32(), "words": pa.int32(), "family": pa.string(),
+            "predicted": pa.string(), "probability": pa.float64(), "shared": pa.float64(), "confirmed": pa.bool_(),
         }
         for batch in batches:
             out = {k: [] for k in kinds}
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py()
-                if not text or not CUES.search(text):
+                if not text:
                     continue
-                for at, line in enumerate(text.split("\n")):
-                    if not CUES.search(line):
-                        continue
-                    windows = [w for w in _windows(words_of(line)) if w]
-                    if not windows:
-                        continue
-                    p = m.predict(windows)
-                    window = int((1 - p[:, -1]).argmax())
-                    if p[window].argmax() == len(m.families) - 1:
-                        continue
-                    k = int(p[window, :-1].argmax())
-                    family, own = m.families[k], _pairs(windows[window])
-                    common = max(len(own & t) / min(len(own), len(t)) for t in pairs[family])
-                    sure = bool(p[window, k] >= min_probability and common >= min_shared)
-                    row = (doc_id.as_py(), at, family if sure else UNKNOWN, family, float(p[window, k]), common, sure)
-                    for name, value in zip(kinds, row):
-                        out[name].append(value)
+                for line, paragraph in paragraphs(text):
+                    for found in _statements(cued_windows(paragraph), m, pairs):
+                        word, words, family, probability, common = found
+                        sure = probability >= min_probability and common >= min_shared
+                        row = (doc_id.as_py(), line, word, words, family if sure else UNKNOWN, family, probability, common, sure)
+                        for name, value in zip(kinds, row):
+                            out[name].append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in kinds.items()], list(kinds))
 
     return docs.select("doc_id", "text").mapInArrow(
         run,
-        "doc_id long, line int, family string, predicted string, probability double, shared double, confirmed boolean",
+        "doc_id long, line int, word int, words int, family string, predicted string, probability double, "
+        "shared double, confirmed boolean",
     )
+
+
+def _statements(windows, m: LicenseModel, pairs) -> list[tuple[int, int, str, float, float]]:
+    """(first word, words, family, probability, shared) of runs of touching windows of one family.
+
+    A window may hold notices of several families: where it is a licence's, its parts of half and
+    a quarter of the length are classified as well, and count if they are sure of their family.
+    """
+    none = len(m.families) - 1
+
+    def licences(some, least: float):
+        found = []
+        for start in range(0, len(some), 256):
+            part = some[start : start + 256]
+            for (at, words), p in zip(part, m.predict([w for _, w in part])):
+                k = int(p[:none].argmax())
+                if p.argmax() != none and p[k] >= least:
+                    own = _pairs(words)
+                    shared = max(len(own & t) / min(len(own), len(t)) for t in pairs[m.families[k]])
+                    found.append((at, len(words), m.families[k], float(p[k]), shared))
+        return found
+
+    whole = licences(windows, 0.0)
+    texts = dict(windows)
+    smaller = {
+        (at + i, size): texts[at][i : i + size]
+        for at, n, *_ in whole for size in (WINDOW // 2, WINDOW // 4) for i in range(0, max(1, n - size // 2), size // 2)
+    }
+    sure = [f for f in licences([(at, w) for (at, _), w in smaller.items()], SURE) if f[4] >= SURE]
+    runs: dict[str, list] = {}
+    for new in sorted(whole + sure):
+        at, n, family, p, shared = new
+        own = runs.setdefault(family, [])
+        if own and at <= own[-1][0] + own[-1][1]:
+            first, length, _, before_p, before_shared = own[-1]
+            best = max((before_shared, before_p), (shared, p))
+            own[-1] = (first, max(length, at + n - first), family, best[1], best[0])
+        else:
+            own.append(new)
+    return sorted(f for own in runs.values() for f in own)
