@@ -233,6 +233,9 @@ def train_from_labels(docs: DataFrame, labels: DataFrame, most: int = 6_000) ->
         if held:
             table = pa.Table.from_batches(held).sort_by([("place", "ascending"), ("doc_id", "ascending")])
             model = fit_toxicity(table["text"].combine_chunks(), table["toxic"].to_numpy())
+            del table, held
+            # the worker stays for other tasks, what it trained with need not
+            pa.default_memory_pool().release_unused()
             values = [[x] for x in (model.margins.tobytes(), model.bias, model.slope, model.shift)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(values, (pa.binary(), *[pa.float64()] * 3))], ["margins", "bias", "slope", "shift"]
