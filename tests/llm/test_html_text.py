@@ -87,3 +87,12 @@ def test_winning_path_is_used_only_where_a_page_has_it():
     source = "<body><div class='x'><p>text here</p></div></body>"
     assert page_text(source, ["body>div.y"]) == "text here"
     assert parsed(source).path(parsed(source).best()) == "body>div.x"
+
+
+def test_many_hosts_are_joined_by_a_shuffle(spark, monkeypatch):
+    from demandloom.llm import html_text
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    few = sorted(tuple(r) for r in html_text.extract_pages(pages).collect())
+    monkeypatch.setattr(html_text, "BROADCAST_ROWS", -1)
+    assert sorted(tuple(r) for r in html_text.extract_pages(pages).collect()) == few

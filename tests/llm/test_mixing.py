@@ -84,3 +84,17 @@ def test_nulls_blanks_repeats_and_empty_tables(spark):
 def test_one_source_keeps_its_size(spark):
     docs = spark.createDataFrame([(i, "w " * (i + 1), "s") for i in range(30)], SCHEMA)
     assert sum(r.taken for r in mix(docs).collect()) == sum(range(1, 31))
+
+
+def test_documents_of_one_size_in_parts_are_taken_as_often(spark, monkeypatch):
+    from demandloom.llm import mixing
+
+    rows = [(i, "same words in all of them", f"s{i % 3}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def copies():
+        return sorted(tuple(r) for r in mixing.mix(docs).groupBy("target", "copies").count().collect())
+
+    whole = copies()
+    monkeypatch.setattr(mixing, "PART", 4)
+    assert copies() == whole

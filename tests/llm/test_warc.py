@@ -125,3 +125,10 @@ def test_archives_of_others(spark, tmp_path):
     assert bytes(found["<urn:uuid:2>"].payload).decode() == block == bytes(found["<urn:uuid:3>"].payload).decode()
     assert found["<urn:uuid:2>"].url == "http://x" and found["<urn:uuid:2>"].page_id is None
     assert found["<urn:uuid:3>"].refers_to_id == "<urn:uuid:2>" and found["<urn:uuid:1>"].intact is None
+
+
+def test_many_revisits_are_joined_by_a_shuffle(spark, monkeypatch):
+    from demandloom.llm import warc
+
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", -1)
+    assert round_trip(spark, ROWS) == expected(ROWS)
