@@ -98,3 +98,35 @@ def test_documents_of_one_size_in_parts_are_taken_as_often(spark, monkeypatch):
     whole = copies()
     monkeypatch.setattr(mixing, "PART", 4)
     assert copies() == whole
+
+
+def test_rates_solve_each_sources_dual(spark):
+    """The tilt against a bisection in plain Python: sum of size * min(3, exp(k * size)) is the target."""
+    import math
+
+    rows = corpus(seed=4)
+    found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by_source = {}
+    sources = {r[0]: r[2] for r in rows}
+    for r in found:
+        by_source.setdefault(sources[r.doc_id], []).append(r)
+    checked = 0
+    for own in by_source.values():
+        sizes, target = [r.size for r in own if r.size], own[0].target
+        if not sizes:
+            continue
+
+        def words(k):
+            return sum(s * min(3.0, math.exp(min(k * s, 50.0))) for s in sizes)
+
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            low, high = ((low + high) / 2, high) if words((low + high) / 2) < target else (low, (low + high) / 2)
+        if words(high) < target * (1 - 1e-6):  # every document three times and still too few
+            continue
+        for r in own:
+            if r.size:
+                expected = min(3.0, math.exp(min(high * r.size, 50.0)))
+                assert abs(r.rate - expected) < 1e-3 * max(1.0, expected), (r, expected)
+                checked += 1
+    assert checked > 100
