@@ -90,14 +90,15 @@ def fit(known: DataFrame, cfg: Settings, lags: int, growth: T.Growth, boosted: b
     # a pass over the blocks is a job: no more tasks than there are full blocks, which changes
     # no tree
     packed = T.pack(training_rows(scaled, cfg, lags), lags, cuts)
-    blocks = durable(packed.coalesce(max(1, -(-whole["n"] // T.BLOCK))))
+    parts = max(1, -(-whole["n"] // T.BLOCK))
+    blocks = durable(packed.coalesce(parts))
     model = None
     if whole["n"]:
         if boosted:
             base = float(whole["z"]) / whole["n"] / T.MICRO
-            model = T.fit_boosted(blocks, growth, cuts, lags + 1, base)
+            model = T.fit_boosted(blocks, growth, cuts, lags + 1, base, parts == 1)
         else:
-            model = T.fit_forest(blocks, growth, cuts, lags + 1)
+            model = T.fit_forest(blocks, growth, cuts, lags + 1, parts == 1)
     release(blocks)
     release(scaled)
     return model

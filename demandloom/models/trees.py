@@ -252,13 +252,14 @@ def _sums(codes, weights, sums, slot, slots, bins):
 
 def grow_level(
     blocks: DataFrame, growth: Growth, trees: dict[int, Tree], level: int, features: int, bins: int,
-    before: Ensemble | None = None,
+    before: Ensemble | None = None, one_part: bool = False,
 ) -> list:
     """The best splits of all nodes of a level of these trees, as rows (tree, node, feature,
     bin, gain, w, g, left_w, left_g).
 
     With ``before`` the sums are of gradients of squared error after ``before``'s trees, which
-    the block's margins do not hold yet; else they are of labels under bag weights.
+    the block's margins do not hold yet; else they are of labels under bag weights. Where the
+    blocks are ``one_part``, its sums are whole and need not move.
     """
     first, slots = (1 << level) - 1, 1 << level
     boosted = before is not None
@@ -313,8 +314,17 @@ def grow_level(
         values = [t, node, *found[:3], float(w[0].sum()), float(g[0].sum()), *found[3:]]
         return pa.table({n: [v] for n, v in zip(_SPLIT, values)})
 
-    tasks = blocks.mapInArrow(tallied, "tree int, node int, w binary, g binary")
+    def split_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        choose = _typed(chosen)
+        for batch in tallied(batches):
+            for i in range(batch.num_rows):
+                key = (batch.column(0)[i], batch.column(1)[i])
+                yield from choose(key, pa.Table.from_batches([batch.slice(i, 1)])).to_batches()
+
     kinds = "tree int, node int, feature int, bin int, gain double, w double, g double, left_w double, left_g double"
+    if one_part:
+        return blocks.mapInArrow(split_here, kinds).collect()
+    tasks = blocks.mapInArrow(tallied, "tree int, node int, w binary, g binary")
     return tasks.groupBy("tree", "node").applyInArrow(_typed(chosen), kinds).collect()
 
 
@@ -349,7 +359,7 @@ def _take(splits: list, trees: dict[int, Tree], leaf) -> dict[int, Tree]:
     return grown
 
 
-def fit_forest(blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: int) -> Ensemble:
+def fit_forest(blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: int, one_part: bool = False) -> Ensemble:
     """Bagged trees; a level of all of them is one pass."""
     bins = max(len(cuts) + 1, WEEKDAYS)
     forest = [Tree.of_depth(growth.depth) for _ in range(growth.trees)]
@@ -359,13 +369,15 @@ def fit_forest(blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: in
         grown, order = {}, sorted(alive)
         for start in range(0, len(order), at_once):
             some = {t: alive[t] for t in order[start : start + at_once]}
-            splits = grow_level(blocks, growth, some, level, features, bins)
+            splits = grow_level(blocks, growth, some, level, features, bins, one_part=one_part)
             grown |= _take(splits, some, lambda g, w: g / w if w else 0.0)
         alive = grown
     return Ensemble(cuts, 0.0, forest, mean_of_trees=True)
 
 
-def fit_boosted(blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: int, base: float) -> Ensemble:
+def fit_boosted(
+    blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: int, base: float, one_part: bool = False
+) -> Ensemble:
     """Trees on the gradients of squared error, each shrunk by the step size."""
     bins = max(len(cuts) + 1, WEEKDAYS)
     model, fresh = Ensemble(cuts, base), Ensemble(cuts, 0.0)
@@ -379,7 +391,8 @@ def fit_boosted(blocks: DataFrame, growth: Growth, cuts: np.ndarray, features: i
         tree = Tree.of_depth(growth.depth)
         alive = {t: tree}
         for level in range(growth.depth):
-            alive = _take(grow_level(with_margins, growth, alive, level, features, bins, fresh), alive, leaf)
+            splits = grow_level(with_margins, growth, alive, level, features, bins, fresh, one_part)
+            alive = _take(splits, alive, leaf)
             if not alive:
                 break
         model.trees.append(tree)
