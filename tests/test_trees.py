@@ -214,3 +214,17 @@ def test_tree_table(spark):
     table = pooled.tree_table(df, model).collect()
     assert len(table) == sum((t.feature >= 0).sum() for t in model.trees) and min(r["gain"] for r in table) > 0
     assert pooled.tree_table(df, None).count() == 0
+
+
+@pytest.mark.parametrize("boosted", [True, False])
+def test_one_block_takes_few_jobs(spark, boosted):
+    """As many trees again need no more jobs; a level or a tree of one block is no job of its own."""
+    context, jobs = spark.sparkContext, []
+    for n in (5, 10):
+        group = f"fit-{boosted}-{n}"
+        context.setJobGroup(group, group)
+        model = pooled.fit(known(spark), CFG, 7, replace(GROWTH if boosted else FOREST, trees=n), boosted)
+        assert len(model.trees) == n and all(tree.feature[0] >= 0 for tree in model.trees)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(group)))
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] <= 15
